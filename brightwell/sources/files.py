@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +26,24 @@ def describe_schema(schema: str | T.StructType) -> list[tuple[str, str, bool, di
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
              null_value: str | None = None, policy: str = "FAILFAST", **options) -> DataFrame:
-    """CSV with a header. Without a schema Spark reads the file once more to infer it."""
+    """CSV with a header. Without a schema Spark reads the file once more to infer it.
+
+    With DROPMALFORMED every column is parsed, also for a query that needs only
+    some: whether a row is dropped must not depend on the query.
+    """
     reader = spark.read.option("header", True).option("mode", policy)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     for key, value in options.items():
         reader = reader.option(key, value)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(to_schema(schema))
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return rows.where(_reads_all(rows.columns)) if policy == "DROPMALFORMED" else rows
+
+
+def _reads_all(columns: Sequence[str]) -> Column:
+    """Always true, but keeps the scan from leaving columns unparsed."""
+    return F.xxhash64(*columns) >= F.lit(-(2 ** 63))
 
 
 class Checked(NamedTuple):
@@ -50,8 +60,10 @@ def read_csv_checked(spark: SparkSession, path: str, schema: str | T.StructType,
     wide = T.StructType([*to_schema(schema).fields, T.StructField(CORRUPT, T.StringType())])
     rows = read_csv(spark, path, wide, policy="PERMISSIVE",
                     columnNameOfCorruptRecord=CORRUPT, **options)
-    return Checked(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-                   rows.where(F.col(CORRUPT).isNotNull()))
+    # Spark refuses a query that reads the corrupt column alone, such as a count.
+    names_all = _reads_all(to_schema(schema).names)
+    return Checked(rows.where(F.col(CORRUPT).isNull() & names_all).drop(CORRUPT),
+                   rows.where(F.col(CORRUPT).isNotNull() & names_all))
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
