@@ -11,8 +11,8 @@ from brightwell.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", streaming=True, **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         "spark.sql.streaming.metricsEnabled": "false"})
