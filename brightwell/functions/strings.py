@@ -23,9 +23,13 @@ CATEGORY_SPELLINGS = (
 )
 
 
+# The characters that separate words.
+WHITE_SPACE = " \t\n\x0b\f\r"
+
+
 def words(text: Column) -> Column:
-    """Array of the white-space separated words, empty ones left out."""
-    return F.filter(F.split(text, r"\s+"), lambda word: word != "")
+    """Array of the white-space separated words; blank text gives one empty word."""
+    return F.split(F.btrim(text, F.lit(WHITE_SPACE)), r"\s+")
 
 
 def clean_word(word: Column) -> Column:

@@ -35,6 +35,47 @@ def distinct_count(df: DataFrame, column: str, rsd: float = 0.02) -> Column:
     return F.count_distinct(column)
 
 
+MASK_BITS = 63
+
+
+def small_domain(df: DataFrame, column: str, limit: int = MASK_BITS) -> list | None:
+    """The distinct values of a column if there are at most ``limit``, else None.
+
+    Reads one column; at most ``limit + 1`` values come back.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
+    return sorted(r[0] for r in found) if len(found) <= limit else None
+
+
+def value_mask(column: str, values: Sequence) -> Column:
+    """Aggregate: one bit per value that occurs. A long is all the state, where
+    a set per group would leave hash aggregation and an exact distinct count
+    would copy every row."""
+    position = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
+    bits = F.call_function("shiftleft", F.lit(1).cast("long"), (position - 1).cast("int"))
+    return F.bit_or(F.when(position > 0, bits))
+
+
+def masked_count(mask: Column) -> Column:
+    return F.coalesce(F.bit_count(mask), F.lit(0)).cast("long")
+
+
+def masked_values(mask: Column, values: Sequence) -> Column:
+    """The values a mask stands for, in order."""
+    flags = [F.when(F.getbit(mask, F.lit(i)) == 1, F.lit(v)) for i, v in enumerate(values)]
+    return F.array_compact(F.array(*flags))
+
+
+def few_distinct(df: DataFrame, column: str) -> Column:
+    """Distinct count of a column that is expected to hold few values.
+
+    A table is asked first: few values are counted by bit mask, many by the
+    exact distinct count. A stream gets the estimate.
+    """
+    values = None if df.isStreaming else small_domain(df, column)
+    return masked_count(value_mask(column, values)) if values else distinct_count(df, column)
+
+
 def distribution(value: str, digits: int = 6) -> dict[str, Column]:
     """Sample spread and population shape of one column."""
     number = F.col(value).cast("double")
@@ -152,39 +193,43 @@ def customer_value(lines: DataFrame, customer: str, order: str, value: Column, q
                  round_half_up(ratio(F.col("customer_value"), F.col("order_count"))))
 
 
-def market_summary(lines: DataFrame, market: str, customer: str, order: str, value: Column) -> DataFrame:
-    return lines.groupBy(market).agg(
+def market_summary(orders: DataFrame, market: str, customer: str, order: str, value: str,
+                   lines: str) -> DataFrame:
+    """Customers, orders and revenue by market, from one row per order (or part
+    of an order) with its value and its number of lines."""
+    return orders.groupBy(market).agg(
         F.count_distinct(customer).alias("active_customers"),
         F.count_distinct(order).alias("total_orders"),
         total(value).alias("market_revenue"),
-        mean(value).alias("avg_transaction_value"),
+        ratio(F.sum(value), F.sum(lines)).alias("avg_transaction_value"),
     ).withColumns({
         "orders_per_customer": round_half_up(ratio("total_orders", "active_customers")),
         "revenue_per_customer": round_half_up(ratio("market_revenue", "active_customers"))})
 
 
-def product_matrix(lines: DataFrame, product: str, name: str, order: str, customer: str,
-                   value: Column, quantity: str) -> DataFrame:
-    return lines.groupBy(product).agg(
-        F.min(name).alias("product_name"),
+def product_matrix(lines: DataFrame, products: DataFrame, product: str, name: str, order: str,
+                   customer: str, value: Column, quantity: str) -> DataFrame:
+    """Volume, reach and revenue per product. Names are joined to the finished
+    totals: one row per product instead of one per line."""
+    totals = lines.groupBy(product).agg(
         total(money(quantity)).alias("total_quantity"),
         F.count_distinct(order).alias("order_frequency"),
         F.count_distinct(customer).alias("customer_reach"),
-        total(value).alias("total_revenue"),
-    ).withColumns({
+        total(value).alias("total_revenue"))
+    return totals.join(products.select(product, F.col(name).alias("product_name")), product).withColumns({
         "revenue_per_unit": round_half_up(ratio("total_revenue", "total_quantity")),
         "avg_quantity_per_order": round_half_up(ratio("total_quantity", "order_frequency"))})
 
 
 def weekly_summary(df: DataFrame, market: str, date: Column, year: int, order: str,
-                   quantity: str, value: Column) -> DataFrame:
+                   quantity: Column, value: Column) -> DataFrame:
     """One year by ISO week: invoices, quantity, value."""
     # A range instead of year(date), so that the filter reaches the scan.
     in_year = (date >= F.lit(f"{year}-01-01")) & (date < F.lit(f"{year + 1}-01-01"))
     return (df.where(in_year)
             .groupBy(market, F.weekofyear(date).alias("week_number"))
             .agg(F.count_distinct(order).alias("num_invoices"),
-                 total(money(quantity)).alias("total_quantity"),
+                 total(quantity).alias("total_quantity"),
                  total(value).alias("invoice_value")))
 
 

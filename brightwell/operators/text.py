@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.functions.numbers import ratio
@@ -22,13 +22,20 @@ def raw_word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
 
 
 def word_count(df: DataFrame, text: str) -> DataFrame:
-    return tokens(df, text).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    """Counts of the cleaned words.
+
+    Raw words are counted first, so that cleaning and its regular expression
+    run once per distinct raw word and not once per word of the corpus.
+    """
+    raw = (df.select(F.explode(words(F.col(text))).alias("raw"))
+           .groupBy("raw").agg(F.count(F.lit(1)).alias("n")))
+    return (raw.select(clean_word(F.col("raw")).alias("word"), "n").where(F.col("word").isNotNull())
+            .groupBy("word").agg(F.sum("n").alias("count")))
 
 
 def words_containing(df: DataFrame, text: str, part: str) -> DataFrame:
     """Counts of the cleaned words that contain a text."""
-    return (tokens(df, text).where(F.contains(F.col("word"), F.lit(part)))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
+    return word_count(df, text).where(F.contains(F.col("word"), F.lit(part)))
 
 
 def corpus_statistics(df: DataFrame, text: str) -> DataFrame:
@@ -50,20 +57,15 @@ def corpus_statistics(df: DataFrame, text: str) -> DataFrame:
 
 
 def word_lengths(df: DataFrame, text: str) -> DataFrame:
-    return (tokens(df, text).groupBy(F.length("word").alias("word_length"))
-            .agg(F.count(F.lit(1)).alias("count")))
-
-
-def _pairs(line_words: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.size(line_words) - 1),
-        lambda i: F.struct(F.lower(F.element_at(line_words, i)).alias("first_word"),
-                           F.lower(F.element_at(line_words, i + 1)).alias("second_word")))
+    return (word_count(df, text).groupBy(F.length("word").alias("word_length"))
+            .agg(F.sum("count").alias("count")))
 
 
 def bigrams(df: DataFrame, text: str) -> DataFrame:
     """Neighbouring words of one line, with counts; pairs never cross a line end."""
-    lines = df.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
-    return (lines.select(words(F.col("line")).alias("w")).where(F.size("w") > 1)
-            .select(F.inline(_pairs(F.col("w"))))
+    lines = df.select(F.explode(F.split(F.lower(F.col(text)), "\n")).alias("line"))
+    split = lines.select(words(F.col("line")).alias("w")).where(F.size("w") > 1)
+    n = F.size("w") - 1
+    pairs = F.arrays_zip(F.slice("w", 1, n).alias("first_word"), F.slice("w", 2, n).alias("second_word"))
+    return (split.select(F.inline(pairs).alias("first_word", "second_word"))
             .groupBy("first_word", "second_word").agg(F.count(F.lit(1)).alias("count")))

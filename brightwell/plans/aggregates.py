@@ -206,9 +206,12 @@ SELECT o_orderpriority, CAST(week(o_orderdate) AS INT) AS week_number, count(DIS
   {sql_total(sql_money('l_quantity'))} AS total_quantity, {sql_total(SQL_REVENUE)} AS invoice_value
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE year(o_orderdate) = 1997 GROUP BY ALL""")
 def weekly_summary(t):
-    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return agg.weekly_summary(lines, "o_orderpriority", F.col("o_orderdate"), 1997, "o_orderkey",
-                              "l_quantity", revenue())
+    # Lines become one row per order on the partitioning the join needs anyway.
+    per_order = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum(money("l_quantity")).alias("qty"), F.sum(revenue()).alias("rev"))
+    joined = t.orders.join(per_order, F.col("l_orderkey") == F.col("o_orderkey"))
+    return agg.weekly_summary(joined, "o_orderpriority", F.col("o_orderdate"), 1997, "o_orderkey",
+                              F.col("qty"), F.col("rev"))
 
 
 def _sales(t):
@@ -233,8 +236,12 @@ WITH s AS (SELECT c_mktsegment, count(DISTINCT c_custkey) AS active_customers, c
 SELECT *, {sql_round(sql_ratio('total_orders', 'active_customers'))} AS orders_per_customer,
   {sql_round(sql_ratio('market_revenue', 'active_customers'))} AS revenue_per_customer FROM s""")
 def market_summary(t):
-    lines = _sales(t).join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
-    return agg.market_summary(lines, "c_mktsegment", "c_custkey", "o_orderkey", revenue())
+    per_order = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum(revenue()).alias("rev"), F.count(revenue()).alias("lines"))
+    orders = (t.orders.select("o_orderkey", "o_custkey")
+              .join(per_order, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")))
+    return agg.market_summary(orders, "c_mktsegment", "c_custkey", "o_orderkey", "rev", "lines")
 
 
 @query("product_matrix", f"""
@@ -245,8 +252,8 @@ WITH s AS (SELECT p_partkey, min(p_name) AS product_name, {sql_total(sql_money('
 SELECT *, {sql_round(sql_ratio('total_revenue', 'total_quantity'))} AS revenue_per_unit,
   {sql_round(sql_ratio('total_quantity', 'order_frequency'))} AS avg_quantity_per_order FROM s""")
 def product_matrix(t):
-    lines = _sales(t).join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    return agg.product_matrix(lines, "p_partkey", "p_name", "o_orderkey", "o_custkey", revenue(), "l_quantity")
+    lines = _sales(t).withColumnRenamed("l_partkey", "p_partkey")
+    return agg.product_matrix(lines, t.part, "p_partkey", "p_name", "o_orderkey", "o_custkey", revenue(), "l_quantity")
 
 
 @query("category_performance", f"""

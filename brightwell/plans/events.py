@@ -275,9 +275,7 @@ def _fraud_sql(size_s, slide_s):
         "string_agg(DISTINCT country, ',' ORDER BY country) AS countries_list",
         "string_agg(DISTINCT channel, ',' ORDER BY channel) AS channels_list"])
     span = f"CAST({derived.SQL_SECONDS.format(earlier='first_ts', later='last_ts')} AS DOUBLE) / 60"
-    return f"""SELECT * EXCLUDE (usd, first_ts, last_ts, country_count, city_count, channel_count),
-  CAST(country_count AS INT) AS country_count, CAST(city_count AS INT) AS city_count,
-  CAST(channel_count AS INT) AS channel_count,
+    return f"""SELECT * EXCLUDE (usd, first_ts, last_ts),
   CASE WHEN fraud_score >= 80 THEN 'CRITICAL' WHEN fraud_score >= 60 THEN 'HIGH' WHEN fraud_score >= 40 THEN 'MEDIUM'
     WHEN fraud_score >= 20 THEN 'LOW' ELSE 'MINIMAL' END AS fraud_level, {sql_round('usd')} AS total_amount,
   {sql_round(sql_ratio('usd', 'transaction_count'))} AS avg_amount_per_txn, {sql_round(span, 1)} AS activity_span_minutes

@@ -3,8 +3,10 @@
 Input columns: event_timestamp, transaction_type, channel, country, city,
 merchant, account_id, amount_usd, transaction_fee, is_high_value,
 is_international, risk_score. All functions return unsorted rows and run on a
-table or a stream. On a stream distinct counts are estimates with bounded state;
-``collect_set`` is used only for the few countries, cities and channels.
+table or a stream. On a table, columns of few values (countries, cities,
+channels) are counted by bit mask. On a stream distinct counts are estimates
+with bounded state, and only the fraud report keeps small sets, of countries,
+cities and channels, since its score needs exact counts.
 """
 
 from __future__ import annotations
@@ -25,7 +27,14 @@ from brightwell.functions.numbers import (
     round_half_up,
     sum_when,
 )
-from brightwell.operators.aggregate import distinct_count
+from brightwell.operators.aggregate import (
+    distinct_count,
+    few_distinct,
+    masked_count,
+    masked_values,
+    small_domain,
+    value_mask,
+)
 
 TS = "event_timestamp"
 USD = "amount_usd"
@@ -101,8 +110,8 @@ def hourly_windows(df: DataFrame, size: str = "1 hour") -> DataFrame:
         "p95_amount": round_half_up(F.percentile_approx(USD, 0.95)),
         "p99_amount": round_half_up(F.percentile_approx(USD, 0.99)),
         "unique_customers": distinct_count(df, "account_id"),
-        "countries_served": distinct_count(df, "country"),
-        "cities_served": distinct_count(df, "city"),
+        "countries_served": few_distinct(df, "country"),
+        "cities_served": few_distinct(df, "city"),
         **shares,
         "high_value_pct": percent(count_when("is_high_value"), rows()),
         "international_pct": percent(count_when("is_international"), rows()),
@@ -195,18 +204,28 @@ def moving_averages(df: DataFrame, size: str = "5 minutes", slide: str = "1 minu
 def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seconds",
                   min_score: int = 20) -> DataFrame:
     """Accounts with unusual activity: score, level and time span."""
-    few = {name: F.size(F.collect_set(column)) for name, column in
-           (("country_count", "country"), ("city_count", "city"), ("channel_count", "channel"))}
+    seen = {"country": "countries_list", "city": None, "channel": "channels_list"}
+    metrics, counts, lists = {}, {}, {}
+    for column, listed in seen.items():
+        values = None if df.isStreaming else small_domain(df, column)
+        if values:
+            metrics[f"__{column}"] = value_mask(column, values)
+            counts[f"{column}_count"] = masked_count(F.col(f"__{column}"))
+            found = masked_values(F.col(f"__{column}"), values)
+        else:
+            metrics[f"__{column}"] = F.array_sort(F.collect_set(column))
+            counts[f"{column}_count"] = F.size(f"__{column}").cast("long")
+            found = F.col(f"__{column}")
+        if listed:
+            lists[listed] = F.array_join(found, ",")
     activity = windowed(df, size, ["account_id"], {
-        "transaction_count": rows(), "usd": _usd_sum(), **few,
-        "merchant_count": distinct_count(df, "merchant"),
+        "transaction_count": rows(), "usd": _usd_sum(), **metrics,
+        "merchant_count": few_distinct(df, "merchant"),
         "high_value_count": count_when("is_high_value"),
         "avg_risk_score": round_half_up(mean("risk_score"), 1),
         "max_amount": round_half_up(F.max(USD)),
         "first_ts": F.min(TS), "last_ts": F.max(TS),
-        "countries_list": F.array_join(F.array_sort(F.collect_set("country")), ","),
-        "channels_list": F.array_join(F.array_sort(F.collect_set("channel")), ","),
-    }, slide)
+    }, slide).withColumns(counts)
     # Points per sign of fraud.
     score = points([
         (F.col("transaction_count") >= 10, 30), (F.col("country_count") >= 3, 25),
@@ -214,12 +233,13 @@ def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seco
         (F.col("channel_count") >= 3, 10)])
     return (activity.withColumn("fraud_score", score).where(F.col("fraud_score") >= min_score)
             .withColumns({
+                **lists,
                 "fraud_level": at_least(F.col("fraud_score"), FRAUD_LEVELS, "MINIMAL"),
                 "total_amount": round_half_up("usd"),
                 "avg_amount_per_txn": round_half_up(ratio("usd", "transaction_count")),
                 "activity_span_minutes": round_half_up(
                     seconds_between(F.col("first_ts"), F.col("last_ts")) / F.lit(60.0), 1)})
-            .drop("usd", "first_ts", "last_ts"))
+            .drop("usd", "first_ts", "last_ts", *metrics))
 
 
 def velocity_windows(df: DataFrame, size: str = "3 minutes", slide: str = "30 seconds",
@@ -254,7 +274,7 @@ def trend_windows(df: DataFrame, size: str = "15 minutes", slide: str = "5 minut
         "avg_amount": round_half_up(mean(USD)), **mix, **shares,
         "avg_risk_score": round_half_up(mean("risk_score"), 1),
         "high_value_pct": percent(count_when("is_high_value"), rows()),
-        "countries_active": distinct_count(df, "country"),
+        "countries_active": few_distinct(df, "country"),
         "unique_customers": distinct_count(df, "account_id"),
     }, slide).withColumns({
         "start_time": F.date_format("window_start", "HH:mm"),
