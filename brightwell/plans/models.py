@@ -31,6 +31,33 @@ def hash_split_counts(t):
         n_rows().alias("n_rows"), F.count_distinct("l_orderkey").alias("n_orders"))
 
 
+@query("hash_split_checks", """
+SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, TRUE AS share_is_close FROM lineitem""")
+def hash_split_checks(t):
+    # An order in both parts would be counted twice.
+    parts = hash_split_counts(t)
+    return parts.agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_orders").alias("n_orders"),
+        F.max(F.when(F.col("split") == "train", F.col("n_rows"))).alias("train")).select(
+        "n_rows", "n_orders", (F.abs(F.col("train") / F.col("n_rows") - 0.8) < 0.05).alias("share_is_close"))
+
+
+@query("linreg_coefficients", f"""
+WITH c AS (SELECT avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my,
+  var_pop(l_quantity) AS s11, var_pop(l_discount) AS s22, covar_pop(l_quantity, l_discount) AS s12,
+  covar_pop(l_quantity, l_extendedprice) AS s1y, covar_pop(l_discount, l_extendedprice) AS s2y FROM lineitem),
+b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+  (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM c)
+SELECT 'l_quantity' AS name, {sql_round('b1', 3)} AS weight FROM b
+UNION ALL SELECT 'l_discount', {sql_round('b2', 3)} FROM b
+UNION ALL SELECT 'intercept', {sql_round('my - b1 * m1 - b2 * m2', 3)} FROM b""")
+def linreg_coefficients(t):
+    features = ["l_quantity", "l_discount"]
+    model = reg.fit(t.lineitem.select(*features, "l_extendedprice"), features, "l_extendedprice")
+    found = t.spark.createDataFrame(list(reg.coefficients(model, features).items()), "name STRING, weight DOUBLE")
+    return found.select("name", round_half_up("weight", 3).alias("weight"))
+
+
 @query("linreg_predict")
 def linreg_predict(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", *FEATURES)
@@ -156,6 +183,18 @@ def connected_components(t):
     return g.connected_components(derived.place_graph(t))
 
 
-@query("page_rank")
+def _rank_sql(rounds: int) -> str:
+    """PageRank written out round by round."""
+    steps = "r0 AS (SELECT DISTINCT id, CAST(1 AS DOUBLE) AS rank FROM vertices)"
+    for i in range(1, rounds + 1):
+        steps += f""", r{i} AS (SELECT v.id, 0.15 + 0.85 * (COALESCE(g.got, 0)
+  + (SELECT COALESCE(sum(rank), 0) FROM r{i - 1} WHERE id NOT IN (SELECT src FROM edges))
+    / (SELECT count(*) FROM r0)) AS rank
+  FROM r{i - 1} v LEFT JOIN (SELECT e.dst, sum(r.rank / o.n) AS got FROM edges e JOIN r{i - 1} r ON r.id = e.src
+    JOIN (SELECT src, count(*) AS n FROM edges GROUP BY src) o ON o.src = e.src GROUP BY e.dst) g ON g.dst = v.id)"""
+    return f"WITH {derived.SQL_PLACES}, {steps} SELECT id, {sql_round('rank', 6)} AS rank FROM r{rounds}"
+
+
+@query("page_rank", _rank_sql(5))
 def page_rank(t):
-    return g.page_rank(derived.place_graph(t), iterations=5).select("id", F.round("rank", 6).alias("rank"))
+    return g.page_rank(derived.place_graph(t), iterations=5).select("id", round_half_up("rank", 6).alias("rank"))

@@ -176,6 +176,21 @@ def test_salted_jobs_equal_plain_jobs(spark):
     assert rows(salted) == rows(large.groupBy("k").agg(F.sum("id"), F.count(F.lit(1))))
 
 
+def test_few_values_are_counted_by_mask_and_many_exactly(spark):
+    df = spark.range(600).selectExpr("id % 3 AS k", "CASE WHEN id % 7 = 0 THEN NULL ELSE 'v' || (id % 5) END AS few",
+                                     "'m' || (id % 101) AS many", "CAST(NULL AS STRING) AS none")
+    assert agg.small_domain(df, "few") == ["v0", "v1", "v2", "v3", "v4"] and agg.small_domain(df, "many") is None
+    wanted = {c: F.count_distinct(c).alias(c) for c in ("few", "many", "none")}
+    got = df.groupBy("k").agg(*[agg.few_distinct(df, c).alias(c) for c in wanted])
+    assert rows(got) == rows(df.groupBy("k").agg(*wanted.values()))
+    listed = df.where("k = 1 AND id < 6").agg(agg.value_mask("few", ["v0", "v1", "v2", "v3", "v4"]).alias("m")).select(
+        agg.masked_values(F.col("m"), ["v0", "v1", "v2", "v3", "v4"]).alias("v"))
+    assert listed.first()["v"] == ["v1", "v4"]
+    wide = spark.range(63).selectExpr("'x' || lpad(id, 2, '0') AS v")
+    values = agg.small_domain(wide, "v")
+    assert len(values) == 63 and wide.agg(agg.masked_count(agg.value_mask("v", values))).first()[0] == 63
+
+
 # Text and logs --------------------------------------------------------------------
 
 LINES = ["Spark is fast, Spark is fun!", "", "  Été d'été -- (spark) 2x", "one"]

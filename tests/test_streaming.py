@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from brightwell.operators import text
+from brightwell.session import STREAM_DEFAULTS
 from brightwell.sinks import streams as sinks
 from brightwell.sources import streams as sources
 from brightwell.streaming import combine, decode, latency, routing, rules, run, windows
@@ -343,3 +344,16 @@ def test_static_join(spark, tmp_path):
     names = spark.createDataFrame([("a", "Ann")], "user STRING, name STRING")
     got = collect_stream(combine.join_static(stream, names, "user").select("id", "name"), "s_static", "append")
     assert rows(got)[0] == (1, "Ann") and (2, None) in rows(got)
+
+
+def test_state_in_rocksdb(spark, feed):
+    settings = {k: v for k, v in STREAM_DEFAULTS.items() if k.startswith("spark.sql.")}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = collect_stream(windows.grouped_windows(enriched(feed(True))), "s_rocks")
+        table = windows.grouped_windows(enriched(feed(False)))
+        assert rows(got) == rows(table)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
