@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brightwell.functions.numbers import percent
+from brightwell.operators.skew import attach
 from brightwell.session import cut_lineage
 
 GROUP_LIMIT = 2_000_000   # rows of one key that one task may sort
@@ -199,26 +201,21 @@ def ranks(df: DataFrame, measure: str, partition_by=(), rank: str = "rank",
         keys, **options)
     ranked = ranked.select(
         *keys, measure, dense_rank, (F.col("__upto") - F.col("__ties") + 1).alias(rank))
-    match = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys + [measure]]
-    return (df.alias("d").join(ranked.alias("r"), match, "left")
-            .select("d.*", f"r.{rank}", f"r.{dense_rank}"))
+    ranked = ranked.select(*keys, measure, rank, dense_rank)
+    return attach(df, ranked, [*keys, measure], options.get("group_limit", GROUP_LIMIT))
 
 
 def share_of_group(df: DataFrame, value: str, partition_by: Sequence[str],
                    group_total: str = "group_total", share: str = "share_pct",
-                   digits: int = 2) -> DataFrame:
+                   digits: int = 2, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Group total and per cent share on every row.
 
     The totals are aggregated first (partial sums before the shuffle) and
-    joined back, so a hot key stays splittable where a window would not.
+    joined back, salted when a key is hot.
     """
-    from brightwell.functions.numbers import percent
-    keys = list(partition_by)
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(group_total))
-    match = [F.col(f"d.{key}").eqNullSafe(F.col(f"t.{key}")) for key in keys]
-    return (df.alias("d").join(totals.alias("t"), match, "left")
-            .select("d.*", f"t.{group_total}")
-            .withColumn(share, percent(F.col(value), F.col(group_total), digits)))
+    totals = df.groupBy(*partition_by).agg(F.sum(value).alias(group_total))
+    return attach(df, totals, list(partition_by), group_limit).withColumn(
+        share, percent(F.col(value), F.col(group_total), digits))
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap: str, tie_break: str | None = None,

@@ -21,30 +21,55 @@ def salted_aggregate(df: DataFrame, keys: Sequence[str], partial: Mapping[str, C
     return first.groupBy(*keys).agg(*[e.alias(n) for n, e in final.items()])
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``min_share`` of all rows: at most ``1 / min_share`` of them."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") >= rows * F.lit(min_share)).select(key)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    rows = counts.agg(F.sum("__n")).scalar()
+    return counts.where(F.col("__n") >= rows * F.lit(min_share)).select(*keys)
 
 
-def salted_join(large: DataFrame, other: DataFrame, key: str, salts: int = 16,
-                min_share: float = 0.01, how: str = "inner") -> DataFrame:
+def salted_join(large: DataFrame, other: DataFrame, keys: str | Sequence[str], salts: int = 16,
+                min_share: float = 0.01, how: str = "inner", null_safe: bool = False) -> DataFrame:
     """Equi-join that spreads hot keys of ``large`` over ``salts`` tasks each.
 
     Only rows of ``other`` with a hot key are copied, once per salt; at most
     ``1 / min_share`` keys are hot, so the marking table is safe to broadcast.
     ``how`` is inner or left: each row of ``large`` meets each partner once.
+    ``null_safe`` lets NULL keys meet; otherwise they match nothing.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(large, key, min_share).withColumnRenamed(key, "__hot"))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    hot = F.broadcast(hot_keys(large, keys, min_share).withColumnsRenamed(dict(zip(keys, names)))
+                      .withColumn("__is_hot", F.lit(True)))
+
+    def marked(df):
+        match = [df[key].eqNullSafe(F.col(name)) for key, name in zip(keys, names)]
+        return df.join(hot, match, "left").drop(*names)
     salt = F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int")
-    left = (large.join(hot, large[key] == F.col("__hot"), "left")
-            .withColumn("__salt", F.when(F.col("__hot").isNotNull(), salt).otherwise(0))
-            .drop("__hot"))
-    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
-    right = (other.join(hot, other[key] == F.col("__hot"), "left")
-             .withColumn("__salt", F.explode(copies)).drop("__hot"))
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    left = marked(large).withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(0)).drop("__is_hot")
+    copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = marked(other).withColumn("__salt", F.explode(copies)).drop("__is_hot")
+    right = right.withColumnsRenamed({name: f"__right_{name}" for name in [*keys, "__salt"]})
+    match = [left["__salt"] == right["__right___salt"]]
+    for key in keys:
+        a, b = left[key], right[f"__right_{key}"]
+        match.append(a.eqNullSafe(b) if null_safe else a == b)
+    return left.join(right, match, how).drop("__salt", *[f"__right_{name}" for name in [*keys, "__salt"]])
+
+
+def attach(df: DataFrame, by_key: DataFrame, keys: Sequence[str], group_limit: int) -> DataFrame:
+    """Left join of a table with one row per key, NULL keys included.
+
+    The largest key of ``df`` decides: up to ``group_limit`` rows a plain join,
+    beyond it the salted one. (Adaptive execution does not split a join whose
+    other side is an aggregate.)
+    """
+    from brightwell.operators.ordered import group_sizes
+    _, largest = group_sizes(df, keys)
+    if largest > group_limit:
+        return salted_join(df, by_key, keys, how="left", null_safe=True)
+    match = [F.col(f"d.{key}").eqNullSafe(F.col(f"t.{key}")) for key in keys]
+    added = [F.col(f"t.{name}") for name in by_key.columns if name not in keys]
+    return df.alias("d").join(by_key.alias("t"), match, "left").select("d.*", *added)

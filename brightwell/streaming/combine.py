@@ -31,18 +31,34 @@ def join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
                 within: str, delay: str = "10 minutes", how: str = "inner") -> DataFrame:
     """Rows of ``right`` that follow a row of ``left`` with the same key in time.
 
-    Both sides get a watermark, so state older than the bound is dropped. The
-    right key and time come back as ``right_<name>``; outer joins on streams
-    emit the unmatched rows once the watermark has passed them.
+    The join key is (key, time bucket) with buckets as long as ``within``: a
+    right row can only follow a left row of its own or of the previous bucket
+    and is offered to both. A key with many rows is thereby cut along time
+    instead of being paired row by row.
+
+    Both sides get a watermark, so stream state older than the bound is dropped.
+    The right columns come back as ``right_<name>``. ``how`` is inner or
+    left_outer; on streams unmatched rows come once the watermark has passed.
     """
-    a = with_watermark(left, left_ts, delay).alias("a")
+    if how not in ("inner", "left_outer"):
+        raise ValueError("join_within supports inner and left_outer joins")
+    span = F.expr(f"INTERVAL {within}")
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    seconds = F.unix_timestamp(start + span) - F.unix_timestamp(start)
+
+    def bucket(ts):
+        return F.floor(F.unix_timestamp(ts) / seconds)
     renamed = right.withColumnsRenamed({name: f"right_{name}" for name in right.columns})
-    b = with_watermark(renamed, f"right_{right_ts}", delay).alias("b")
+    a = with_watermark(left, left_ts, delay).withColumn("__bucket", bucket(left_ts)).alias("a")
+    b = with_watermark(renamed, f"right_{right_ts}", delay)
+    here = bucket(f"right_{right_ts}")
+    b = b.withColumn("__right_bucket", F.explode(F.array(here, here - 1))).alias("b")
     condition = (
         (F.col(f"a.{key}") == F.col(f"b.right_{key}"))
+        & (F.col("a.__bucket") == F.col("b.__right_bucket"))
         & (F.col(f"b.right_{right_ts}") >= F.col(f"a.{left_ts}"))
-        & (F.col(f"b.right_{right_ts}") <= F.col(f"a.{left_ts}") + F.expr(f"INTERVAL {within}")))
-    return a.join(b, condition, how)
+        & (F.col(f"b.right_{right_ts}") <= F.col(f"a.{left_ts}") + span))
+    return a.join(b, condition, how).drop("__bucket", "__right_bucket")
 
 
 def unique_events(df: DataFrame, keys: Sequence[str], ts: str | None = None,

@@ -170,7 +170,13 @@ def test_salted_jobs_equal_plain_jobs(spark):
     for how in ("inner", "left"):
         assert rows(skew.salted_join(large, other, "k", 4, how=how), "k", "id", "w") == rows(
             large.join(other, "k", how), "k", "id", "w")
-    assert rows(skew.hot_keys(large, "k", 0.1)) == [(0,)]
+    assert rows(skew.hot_keys(large, ["k"], 0.1)) == [(0,)]
+    gaps = large.selectExpr("nullif(k, 0) AS k", "CAST(id % 2 AS STRING) AS half", "id")
+    pairs = gaps.groupBy("k", "half").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(skew.attach(gaps, pairs, ["k", "half"], 10)) == rows(skew.attach(gaps, pairs, ["k", "half"], 10_000))
+    assert skew.attach(gaps, pairs, ["k", "half"], 10).where("n IS NULL").count() == 0
+    plain = skew.salted_join(gaps, pairs.drop("half"), "k", how="left")
+    assert plain.where("k IS NULL AND n IS NOT NULL").count() == 0
     salted = skew.salted_aggregate(large, ["k"], {"s": F.sum("id"), "n": F.count(F.lit(1))},
                                    {"s": F.sum("s"), "n": F.sum("n")}, 8)
     assert rows(salted) == rows(large.groupBy("k").agg(F.sum("id"), F.count(F.lit(1))))

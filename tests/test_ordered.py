@@ -62,15 +62,16 @@ def test_moving_sum_share_and_ranks(skewed, slices):
     w = Window.partitionBy("key").orderBy("ts", "id")
     moving = ordered.moving_sum_of_two(skewed, "value", ["ts", "id"], ["key"], slices=slices)
     assert rows(moving) == rows(skewed.withColumn("moving_sum", F.sum("value").over(w.rowsBetween(-1, 0))))
-    ranked = ordered.ranks(skewed, "ts", ["key"], slices=slices)
+    ranked = ordered.ranks(skewed, "ts", ["key"], slices=slices, group_limit=20 if slices else 10_000)
     by = Window.partitionBy("key").orderBy(F.col("ts").desc())
     plain = skewed.withColumns({"rank": F.rank().over(by).cast("long"), "dense_rank": F.dense_rank().over(by).cast("long")})
     assert rows(ranked) == rows(plain)
 
 
-def test_share_of_group(spark):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_share_of_group(spark, limit):
     df = spark.createDataFrame([("a", 1), ("a", 3), (None, 5)], "key STRING, value LONG")
-    shared = ordered.share_of_group(df, "value", ["key"])
+    shared = ordered.share_of_group(df, "value", ["key"], group_limit=limit)
     assert rows(shared) == [("a", 1, 4, 25.0), ("a", 3, 4, 75.0), (None, 5, 5, 100.0)]
 
 

@@ -304,6 +304,17 @@ def test_interval_joins(spark, tmp_path):
         ("a", at("10:10:00")), ("a", at("10:10:00")), ("b", at("10:45:00"))]
 
 
+@pytest.mark.parametrize("how", ["inner", "left_outer"])
+def test_bucketed_interval_join_equals_the_plain_one(spark, how):
+    df = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS user",
+                                     "timestamp_seconds((id * 7919) % 20000) AS ts", "id")
+    left, right = df.where("id % 2 = 0"), df.where("id % 2 = 1 OR id % 10 = 0")
+    got = combine.join_within(left, right, "user", "ts", "ts", "17 minutes", how=how)
+    other = right.selectExpr("user AS right_user", "ts AS right_ts", "id AS right_id")
+    plain = left.join(other, F.expr("user = right_user AND right_ts BETWEEN ts AND ts + INTERVAL 17 MINUTES"), how)
+    assert rows(got, "id", "right_id") == rows(plain, "id", "right_id") and plain.count() > 100
+
+
 def test_outer_interval_join_emits_the_lonely_rows(spark, tmp_path):
     stream = events_stream(spark, tmp_path / "in", *STORY)
     outer = combine.join_within(stream.where("kind <> 'purchase'"), stream.where("kind = 'purchase' OR kind = 'view'"),
