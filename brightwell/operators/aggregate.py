@@ -91,9 +91,10 @@ def percentiles(value: str, points: Mapping[str, float], accuracy: int = 10_000)
     """Percentiles by a mergeable sketch: memory stays bounded for any group.
 
     The rank error is at most ``rows / accuracy``; groups smaller than the
-    accuracy are exact.
+    accuracy are exact. All points are read from one sketch.
     """
-    return {name: F.percentile_approx(value, point, accuracy) for name, point in points.items()}
+    sketch = F.percentile_approx(value, list(points.values()), accuracy)
+    return {name: sketch[i] for i, name in enumerate(points)}
 
 
 def rollup_report(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column],

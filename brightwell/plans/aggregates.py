@@ -49,6 +49,14 @@ def agg_select_expr(t):
         "count(DISTINCT l_orderkey) AS unique_orders")
 
 
+@query("agg_dict_form", """
+SELECT count(*) AS n_rows, min(l_quantity) AS min_qty, max(l_shipdate) AS last_ship FROM lineitem""")
+def agg_dict_form(t):
+    found = t.lineitem.agg({"*": "count", "l_quantity": "min", "l_shipdate": "max"})
+    return found.select(F.col("count(1)").alias("n_rows"), F.col("min(l_quantity)").alias("min_qty"),
+                        F.col("max(l_shipdate)").alias("last_ship"))
+
+
 @query("agg_revenue", f"""
 SELECT l_returnflag, {sql_round(f'sum({SQL_REVENUE})')} AS revenue FROM lineitem GROUP BY l_returnflag""")
 def agg_revenue(t):

@@ -14,7 +14,7 @@ from brightwell.functions.numbers import (
     round_half_up,
     sum_when,
 )
-from brightwell.operators.aggregate import distinct_count, few_distinct
+from brightwell.operators.aggregate import distinct_count, few_distinct, percentiles
 from brightwell.streaming.windows import TS, USD, rows, windowed
 
 # Limits in seconds, inclusive.
@@ -156,9 +156,7 @@ def lateness_overview(df: DataFrame, strategy: str = "RELAXED_1hr", size: str =
         **{f"{label.lower()}_pct": percent(count_when(F.col("delay_category") == label), rows())
            for label in labels},
         "avg_delay_sec": round_half_up(mean("delay_seconds"), 1),
-        "median_delay_sec": F.percentile_approx("delay_seconds", 0.5),
-        "p95_delay_sec": F.percentile_approx("delay_seconds", 0.95),
-        "p99_delay_sec": F.percentile_approx("delay_seconds", 0.99),
+        **percentiles("delay_seconds", {"median_delay_sec": 0.5, "p95_delay_sec": 0.95, "p99_delay_sec": 0.99}),
     }).withColumns({"start_time": F.date_format("window_start", "HH:mm"),
                     "watermark_strategy": F.lit(strategy)})
 

@@ -32,6 +32,7 @@ from brightwell.operators.aggregate import (
     few_distinct,
     masked_count,
     masked_values,
+    percentiles,
     small_domain,
     value_mask,
 )
@@ -106,9 +107,8 @@ def hourly_windows(df: DataFrame, size: str = "1 hour") -> DataFrame:
         "total_transactions": rows(),
         "total_volume_usd": round_half_up(_usd_sum()),
         "avg_transaction_size": round_half_up(mean(USD)),
-        "median_amount": round_half_up(F.percentile_approx(USD, 0.5)),
-        "p95_amount": round_half_up(F.percentile_approx(USD, 0.95)),
-        "p99_amount": round_half_up(F.percentile_approx(USD, 0.99)),
+        **{name: round_half_up(point) for name, point in percentiles(
+            USD, {"median_amount": 0.5, "p95_amount": 0.95, "p99_amount": 0.99}).items()},
         "unique_customers": distinct_count(df, "account_id"),
         "countries_served": few_distinct(df, "country"),
         "cities_served": few_distinct(df, "city"),
