@@ -139,6 +139,11 @@ def test_dead_letters(spark):
     assert ("{broken",) in rows(dead, "raw_value")
 
 
+def test_each_message_is_parsed_once(feed):
+    done = routing.route(enriched(feed(False), "detailed")).valid
+    assert done._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_rules_in_detail(spark):
     columns = ("transaction_type STRING, amount DOUBLE, currency STRING, country STRING, channel STRING, "
                "account_id STRING, event_timestamp TIMESTAMP")
