@@ -11,20 +11,20 @@ from tests.conftest import rows
 
 @pytest.fixture(scope="module")
 def friends(spark):
-    vertices = spark.createDataFrame([("1", "Alice", 25), ("2", "Bob", 30), ("3", "Charlie", 35), ("4", "Diana", 28),
-                                      ("5", "Eve", 32), ("6", "Frank", 40)], "id STRING, name STRING, age LONG")
-    edges = spark.createDataFrame([("1", "2"), ("1", "3"), ("2", "3"), ("2", "5"), ("3", "4"), ("4", "5"), ("4", "6")],
+    vertices = spark.createDataFrame([("1", "Ada", 51), ("2", "Ben", 19), ("3", "Cleo", 27), ("4", "Dan", 44),
+                                      ("5", "Eli", 36), ("6", "Fay", 62)], "id STRING, name STRING, age LONG")
+    edges = spark.createDataFrame([("1", "2"), ("1", "3"), ("2", "3"), ("2", "4"), ("3", "5"), ("5", "6"), ("4", "6")],
                                   "src STRING, dst STRING")
     return g.Graph(vertices, edges)
 
 
 def test_friend_graph(friends):
     assert rows(g.statistics(friends)) == [(6, 7, 14 / 6)]
-    assert rows(g.neighbours(friends, "1"), "name") == [("Bob",), ("Charlie",)]
-    assert dict(rows(g.out_degrees(friends), "name", "count")) == {"Alice": 2, "Bob": 2, "Charlie": 1, "Diana": 2}
-    assert dict(rows(g.total_degrees(friends), "name", "degree"))["Bob"] == 3
-    assert ("Diana", "Frank") in rows(g.named_edges(friends))
-    assert rows(g.link_candidates(friends)) == [("1", "4"), ("1", "5"), ("2", "4"), ("3", "5"), ("3", "6")]
+    assert rows(g.neighbours(friends, "1"), "name") == [("Ben",), ("Cleo",)]
+    assert dict(rows(g.out_degrees(friends), "name", "count")) == {"Ada": 2, "Ben": 2, "Cleo": 1, "Dan": 1, "Eli": 1}
+    assert dict(rows(g.total_degrees(friends), "name", "degree"))["Ben"] == 3
+    assert ("Eli", "Fay") in rows(g.named_edges(friends))
+    assert rows(g.link_candidates(friends)) == [("1", "4"), ("1", "5"), ("2", "5"), ("2", "6"), ("3", "6")]
     assert ("1", "3") in rows(g.link_candidates(friends, only_new=False))
     assert rows(g.triangle_count(friends.edges)) == [(1,)]
 

@@ -135,6 +135,6 @@ def test_kafka_reader_options():
 
 def test_rows_from_local_data(spark):
     from pyspark.sql import Row
-    people = spark.createDataFrame([Row(name="Ravi", born=dt.date(2002, 1, 28)), Row(name="Abdul", born=None)])
+    people = spark.createDataFrame([Row(name="Mia", born=dt.date(2003, 2, 3)), Row(name="Omar", born=None)])
     assert people.toDF("n", "b").columns == ["n", "b"]
     assert people.where("born IS NULL").count() == 1
