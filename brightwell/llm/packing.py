@@ -24,7 +24,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brightwell.llm.common import cut_lineage, number_rows
 
@@ -147,7 +146,7 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     if any(size < 1 or size > capacity for size in counts):
         raise ValueError(f"lengths must be from 1 to {capacity}")
     rows = plan(counts, capacity)
-    places = spark.createDataFrame(rows, T.StructType.fromDDL(PLAN))
+    places = spark.createDataFrame(rows, PLAN)
     ranked = number_rows(cuts, ["length"], "_rank")
     # The plan has at most ``capacity`` combinations of at most sqrt(2 * capacity) lengths.
     found = ranked.join(F.broadcast(places), (F.col("length") == F.col("size")) & (F.col("_rank") >= F.col("first"))

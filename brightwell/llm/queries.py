@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwell.llm import mixing, packing, pii, quality, sharding, simhash
+from brightwell.llm import langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
 from brightwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,24 @@ def op2_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from three quarters of the labels."""
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_minhash")
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return minhash.successive(table(spark, folder, "documents"))
+
+
+@query("op5_centroids")
+def op5_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    return langid.identify(table(spark, folder, "documents"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -54,6 +72,12 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "domain", "lang", "source", "epoch", "tokens", "budget")
 
 
+@query("op8_derivatives")
+def op8_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of every page's response."""
+    return warc.build(table(spark, folder, "pages"))
+
+
 @query("op9_pii")
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
