@@ -113,11 +113,11 @@ def _share(tree: DataFrame, parent: list[str], level: str, weight: Column) -> Da
 def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
     """The rows of ``docs`` that make up the mix, once per epoch they are taken in,
     with columns epoch (from 1), budget of the leaf, and domain and tokens."""
-    made = ("epoch", "budget", "domain", "tokens")
-    docs = docs.drop(*made)
-    names = docs.columns
-    sized = docs.withColumns({"domain": domain_of(F.col("source")) if domain is None else domain,
-                              "tokens": tokens_of(F.col("text"))})
+    docs = docs.drop("epoch", "budget", "domain", "tokens")
+    # The row travels as one column, so that no name of its own can clash.
+    sized = docs.select(
+        "doc_id", "lang", "source", (domain_of(F.col("source")) if domain is None else domain).alias("domain"),
+        tokens_of(F.col("text")).alias("tokens"), F.struct("*").alias("_row"))
     plan = leaves(sized.select(*LEVELS, "tokens"), mix)
     share = plan.select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "budget",
                         F.expr("CASE WHEN tokens > 0 THEN budget div tokens ELSE 0 END").alias("_whole"),
@@ -149,10 +149,11 @@ def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
     placed = placed.join(F.broadcast(stops), at_stop, "left")
     times = F.col("_whole") + F.coalesce((F.col("_order") <= F.col("_stop")).cast("long"), F.lit(0))
     taken = placed.withColumn("_times", times).where(F.col("_times") > 0)
-    return taken.select(*names, "domain", "tokens", "budget",
+    return taken.select("_row.*", "domain", "tokens", "budget",
                         F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("epoch"))
 
 
 def mixture(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row for each epoch."""
-    return mixed(docs, mix).select(*docs.columns)
+    rows = docs.select("doc_id", "text", "lang", "source", F.struct("*").alias("_whole_row"))
+    return mixed(rows, mix).select("_whole_row.*")

@@ -141,7 +141,9 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to pieces (any columns and ``length``)."""
     spark: SparkSession = cuts.sparkSession
-    cuts = cut_lineage(cuts.drop("sequence_id", "offset"))
+    cuts = cuts.drop("sequence_id", "offset")
+    # The row travels as one column, so that no name of its own can clash.
+    cuts = cut_lineage(cuts.select("length", F.struct("*").alias("_row")))
     counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(size < 1 or size > capacity for size in counts):
         raise ValueError(f"lengths must be from 1 to {capacity}")
@@ -153,5 +155,5 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                         & (F.col("_rank") < F.col("past")))
     step = F.col("_rank") - F.col("first")
     return found.select(
-        *cuts.columns, (F.col("sequence") + F.floor(step / F.col("uses"))).cast("long").alias("sequence_id"),
+        "_row.*", (F.col("sequence") + F.floor(step / F.col("uses"))).cast("long").alias("sequence_id"),
         (F.col("at") + step % F.col("uses") * F.col("length")).cast("long").alias("offset"))

@@ -4,7 +4,7 @@ A text in a language has that language's mix of character classes, and its
 commonest words as often as the language has them. Both mixes are histograms;
 the Jensen-Shannon distance (0 to 1) to the nearest language reference tells how
 far a document is from any text of these languages. References are the summed
-counts of all documents of a language that pass the base rules. Short texts
+counts of all documents of a language that have at least ``MIN_WORDS`` words. Short texts
 have rough histograms, so each test needs a minimum length, and limits widen by
 the distance that chance alone gives a text of that length.
 
@@ -135,6 +135,14 @@ def distance(counts: Column, reference: Sequence[int]) -> Column:
     return let(sums.cast("double"), lambda n: F.when(n > 0, against(n)).otherwise(F.lit(1.0)))
 
 
+def histograms(docs: DataFrame) -> DataFrame:
+    """``docs`` with a struct ``_h``: n_words and both histograms."""
+    common = vocabulary()
+    return docs.withColumn("_h", let(words_of(F.col("text")), lambda words: F.struct(
+        F.size(words).cast("long").alias("n_words"), char_histogram(F.col("text")).alias("chars"),
+        word_histogram(words, common).alias("commons"))))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with a struct ``_m``: the base figures and both histograms."""
     common = vocabulary()
@@ -151,14 +159,14 @@ def measured(docs: DataFrame) -> DataFrame:
         char_histogram(F.col("text")), lambda chars: figures(words, chars))))
 
 
-def references(figures: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Summed histograms of each listed language over all its documents that pass
-    the base rules. One row per listed language reaches the driver."""
+def references(figures: DataFrame, name: str) -> dict[str, tuple[list[int], list[int]]]:
+    """Summed histograms (in the struct ``name``) of each listed language over all
+    its documents of ``MIN_WORDS`` words. One row per listed language reaches the driver."""
     common = vocabulary()
-    sums = [F.sum(F.col("_m.chars")[i]).alias(f"c{i}") for i in range(BINS)]
-    sums += [F.sum(F.col("_m.commons")[i]).alias(f"w{i}") for i in range(len(common) + 1)]
-    rows = (figures.where(F.col("lang").isin(*COMMON_WORDS) & ~F.col("_m.base_failed")).groupBy("lang").agg(*sums)
-            .collect())
+    sums = [F.sum(F.col(f"{name}.chars")[i]).alias(f"c{i}") for i in range(BINS)]
+    sums += [F.sum(F.col(f"{name}.commons")[i]).alias(f"w{i}") for i in range(len(common) + 1)]
+    rows = (figures.where(F.col("lang").isin(*COMMON_WORDS) & (F.col(f"{name}.n_words") >= MIN_WORDS))
+            .groupBy("lang").agg(*sums).collect())
     return {r["lang"]: ([r[f"c{i}"] for i in range(BINS)], [r[f"w{i}"] for i in range(len(common) + 1)])
             for r in rows}
 
@@ -192,7 +200,7 @@ def divergent(known: Mapping[str, tuple[list[int], list[int]]], limits: Limits =
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, the base figures, base_failed and kept for each document."""
     figures = cut_lineage(measured(docs.select("doc_id", "text", "lang")).select("doc_id", "lang", "_m"))
-    known = references(figures)
+    known = references(figures, "_m")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     return figures.select("doc_id", *[F.col(f"_m.{n}").alias(n) for n in names],
                           (~F.col("_m.base_failed") & ~divergent(known, limits)).alias("kept"))
@@ -200,8 +208,7 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that pass all rules, with the columns of ``docs``."""
-    columns = docs.columns
-    figures = measured(docs.drop("_m"))
-    known = references(figures.select("lang", "_m"))
-    return figures.where(~F.col("_m.base_failed") & ~divergent(known, limits)).select(
-        *[c for c in columns if c != "_m"])
+    known = references(histograms(docs.select("text", "lang")), "_h")
+    # The row travels as one column, so that no name of its own can clash.
+    rows = docs.select("text", "lang", F.struct("*").alias("_row"))
+    return measured(rows).where(~F.col("_m.base_failed") & ~divergent(known, limits)).select("_row.*")

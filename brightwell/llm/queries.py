@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwell.llm import langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
+from brightwell.llm import checks, langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
 from brightwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +34,7 @@ def op1_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"), SHARDS)
 
 
-@query("op2_divergence")
+@query("op2_divergence", checks.divergence())
 def op2_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """Base figures and verdict of every document."""
     return quality.judge(table(spark, folder, "documents"))

@@ -73,7 +73,9 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     segment = F.when(bit < 32, fp).otherwise(wiped).bitwiseAND(F.lit(0xFFFFFFFF))
     place = F.expr("shiftleft(1L, bit % 32)")
     key = F.shiftleft(segment.bitwiseAND(F.bitwise_not(place)), 6) + bit
-    variants = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")).select("print", key.alias("key"))
+    # Dealt out anew: the few fingerprints of a task become 64 times as many rows.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = prints.repartition(parts, "print").select("print", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")).select("print", key.alias("key"))
     sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = cut_lineage(variants.join(sizes, "key"))
 
@@ -112,10 +114,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"))
     kept = cut_lineage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                        .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    alone = docs.join(kept.where(F.col("_rows") == 1), same, "left_semi")
-    repeated = docs.join(kept.where(F.col("_rows") > 1), same, "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = repeated.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select(
-        *[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
-    return alone.union(first)
+    # The row travels as one column, so that no name of its own can clash.
+    rows = docs.select(F.col("doc_id").alias("_key"), F.struct("*").alias("_row"))
+    same = F.col("_key").eqNullSafe(F.col("_id"))
+    alone = rows.join(kept.where(F.col("_rows") == 1), same, "left_semi").select("_row")
+    repeated = rows.join(kept.where(F.col("_rows") > 1), same, "left_semi")
+    first = repeated.groupBy("_key").agg(F.min("_row").alias("_row")).select("_row")
+    return alone.union(first).select("_row.*")

@@ -428,7 +428,7 @@ def test_pipeline_packs_what_the_stages_leave(spark):
     fill = Counter()
     for r in rows:
         fill[r.sequence_id] += r.length
-    assert max(fill.values()) <= 1024 and len(fill) <= -(-sum(fill.values()) // 1024) + 2
+    assert max(fill.values()) <= 1024 and len(fill) <= 1.02 * sum(fill.values()) / 1024 + 1
 
 
 def test_pipeline_of_an_empty_table(spark, tmp_path):
