@@ -68,55 +68,80 @@ def duplicate_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
+#: Repeated windows that are looked up one by one; a text with more has its windows sorted.
+FEW = 64
+
+
 def repeated_words(words: Column) -> Column:
     """Words in windows of three words that occur twice or more in the text.
 
     Windows are compared by 64-bit hash. A text without an equal pair is done at
-    once. Else windows are sorted, so that equal ones become neighbours; the places
-    of those with an equal neighbour are sorted again, and each covers the words up
-    to the next place, three at most.
+    once. Else the places of repeated windows are found, by looking for the few
+    hashes that repeat, or, if they are many, by sorting all hashes with their
+    places; each place covers the words up to the next one, three at most.
     """
+    none = F.lit(0).cast("long")
+
     def windows(h: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size(h) - 2), lambda i: F.xxhash64(
             F.element_at(h, i), F.element_at(h, i + 1), F.element_at(h, i + 2)))
 
-    def doubled(s: Column) -> Column:
-        def equal(p: Column, at: Column) -> Column:
+    def repeated(h: Column) -> Column:
+        return let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, at: F.get(s, at - 1).eqNullSafe(x))))
+
+    def looked_up(h: Column, often: Column) -> Column:
+        marked = F.transform(h, lambda x, at: F.when(F.array_contains(often, x), at))
+        return F.array_compact(marked)
+
+    def sorted_out(h: Column) -> Column:
+        def equal(s: Column, p: Column, at: Column) -> Column:
             return F.get(s, at)["h"].eqNullSafe(p["h"])
-        return F.transform(F.filter(s, lambda p, at: equal(p, at - 1) | equal(p, at + 1)), lambda p: p["i"])
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return let(pairs, lambda s: F.sort_array(F.transform(
+            F.filter(s, lambda p, at: equal(s, p, at - 1) | equal(s, p, at + 1)), lambda p: p["i"])))
 
     def covered(places: Column) -> Column:
         return F.aggregate(F.transform(places, lambda p, at: F.least(F.lit(3), F.coalesce(F.get(places, at + 1) - p, F.lit(3)))),
-                           F.lit(0).cast("long"), lambda total, n: total + n)
+                           none, lambda total, n: total + n)
 
     def found(h: Column) -> Column:
-        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(
-            let(pairs, lambda s: let(F.sort_array(doubled(s)), covered)))
+        places = let(repeated(h), lambda often: F.when(F.size(often) <= FEW, looked_up(h, often)).otherwise(sorted_out(h)))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(let(places, covered))
 
-    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(let(windows(words), found))
+    return F.when(F.size(words) < 3, none).otherwise(let(windows(words), found))
 
 
 def char_histogram(text: Column) -> Column:
     """Counts of small letters, blanks, ``CLASSES`` and all other characters.
 
-    Small letters go first; the classes are counted in the short rest.
+    Small letters go first, then blanks; the classes are counted in the short rest.
     """
     whole = F.coalesce(text, F.lit(""))
 
-    def of_rest(rest: Column) -> Column:
-        counts = [F.char_length(rest) - F.char_length(F.regexp_replace(rest, f"{c}+", "")) for c in (BLANK[:-1], *CLASSES)]
-        return let(F.array(F.char_length(whole) - F.char_length(rest), *counts), lambda n: F.concat(
+    def of_rest(rest: Column, blanks: Column) -> Column:
+        size = F.char_length(rest)
+        counts = [size - F.char_length(F.regexp_replace(rest, f"{c}+", "")) for c in CLASSES]
+        return let(F.array(F.char_length(whole) - blanks - size, blanks, *counts), lambda n: F.concat(
             n, F.array(F.char_length(whole) - F.aggregate(n, F.lit(0), lambda a, b: a + b))))
-    return F.transform(let(F.regexp_replace(whole, "[a-z]+", ""), of_rest), lambda n: n.cast("long"))
+
+    def without_letters(some: Column) -> Column:
+        return let(F.regexp_replace(some, BLANK, ""), lambda rest: of_rest(rest, F.char_length(some) - F.char_length(rest)))
+    return F.transform(let(F.regexp_replace(whole, "[a-z]+", ""), without_letters), lambda n: n.cast("long"))
 
 
 def word_histogram(words: Column, common: Sequence[str]) -> Column:
-    """Counts of the common words as they stand, in their order, and of all other words."""
-    kept = F.filter(words, lambda w: w.isin(*common))
-    return let(kept, lambda k: F.transform(
-        F.array(*[F.size(k) - F.size(F.array_remove(k, c)) for c in common], F.size(words) - F.size(k)),
-        lambda n: n.cast("long")))
+    """Counts of the common words as they stand, in their order, and of all other words.
+
+    Each common word becomes one sign of a short text, so that every count is one
+    replacement there instead of a pass over all words.
+    """
+    first = 33  # the first printable sign; the list must fit before the last, 126
+    listed = F.array(*[F.lit(w) for w in common])
+    signs = F.transform(F.filter(words, lambda w: w.isin(*common)),
+                        lambda w: F.char(F.array_position(listed, w) + (first - 1)))
+    return let(F.array_join(signs, ""), lambda text: F.transform(
+        F.array(*[F.octet_length(text) - F.octet_length(F.replace(text, F.lit(chr(first + i)), F.lit(""))) for i in range(len(common))],
+                F.size(words) - F.octet_length(text)), lambda n: n.cast("long")))
 
 
 def distance(counts: Column, reference: Sequence[int]) -> Column:
@@ -135,40 +160,41 @@ def distance(counts: Column, reference: Sequence[int]) -> Column:
     return let(sums.cast("double"), lambda n: F.when(n > 0, against(n)).otherwise(F.lit(1.0)))
 
 
-def histograms(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``_h``: n_words and both histograms."""
-    common = vocabulary()
-    return docs.withColumn("_h", let(words_of(F.col("text")), lambda words: F.struct(
-        F.size(words).cast("long").alias("n_words"), char_histogram(F.col("text")).alias("chars"),
-        word_histogram(words, common).alias("commons"))))
-
+def histograms(text: Column) -> Column:
+    """Struct of n_words and both histograms."""
+    return let(words_of(text), lambda words: F.struct(
+        F.size(words).cast("long").alias("n_words"), char_histogram(text).alias("chars"),
+        word_histogram(words, vocabulary()).alias("commons")))
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``_m``: the base figures and both histograms."""
-    common = vocabulary()
 
-    def figures(words: Column, chars: Column) -> Column:
-        n_words, repeated = F.size(words).cast("long"), repeated_words(words)
+def measure(text: Column) -> Column:
+    """Struct of the base figures and both histograms."""
+    def figures(words: Column, h: Column) -> Column:
+        chars = h["chars"]
         total = F.aggregate(chars, F.lit(0).cast("long"), lambda a, b: a + b)
-        return let(F.struct(n_words.alias("n"), repeated.alias("r")), lambda b: F.struct(
-            b["n"].alias("n_words"), (total - chars[1]).alias("word_chars"), chars[2 + CLASSES.index(SYMBOLS)].alias("n_symbols"),
-            duplicate_lines(F.col("text")).alias("n_dup_lines"), b["r"].alias("n_repeat_words"),
-            ((b["n"] < MIN_WORDS) | (100 * b["r"] > 50 * b["n"])).alias("base_failed"),
-            chars.alias("chars"), word_histogram(words, common).alias("commons")))
-    return docs.withColumn("_m", let(words_of(F.col("text")), lambda words: let(
-        char_histogram(F.col("text")), lambda chars: figures(words, chars))))
+        return let(repeated_words(words), lambda repeated: F.struct(
+            h["n_words"].alias("n_words"), (total - chars[1]).alias("word_chars"),
+            chars[2 + CLASSES.index(SYMBOLS)].alias("n_symbols"), duplicate_lines(text).alias("n_dup_lines"),
+            repeated.alias("n_repeat_words"),
+            ((h["n_words"] < MIN_WORDS) | (100 * repeated > 50 * h["n_words"])).alias("base_failed"),
+            chars.alias("chars"), h["commons"].alias("commons")))
+    return let(words_of(text), lambda words: let(F.struct(
+        F.size(words).cast("long").alias("n_words"), char_histogram(text).alias("chars"),
+        word_histogram(words, vocabulary()).alias("commons")), lambda h: figures(words, h)))
 
 
 def references(figures: DataFrame, name: str) -> dict[str, tuple[list[int], list[int]]]:
     """Summed histograms (in the struct ``name``) of each listed language over all
     its documents of ``MIN_WORDS`` words. One row per listed language reaches the driver."""
-    common = vocabulary()
-    sums = [F.sum(F.col(f"{name}.chars")[i]).alias(f"c{i}") for i in range(BINS)]
-    sums += [F.sum(F.col(f"{name}.commons")[i]).alias(f"w{i}") for i in range(len(common) + 1)]
-    rows = (figures.where(F.col("lang").isin(*COMMON_WORDS) & (F.col(f"{name}.n_words") >= MIN_WORDS))
-            .groupBy("lang").agg(*sums).collect())
-    return {r["lang"]: ([r[f"c{i}"] for i in range(BINS)], [r[f"w{i}"] for i in range(len(common) + 1)])
-            for r in rows}
+    def summed(field: str, size: int, short: str) -> list[Column]:
+        # A condition inside the sums: as a filter it would measure each text once more.
+        long = F.col(f"{name}.n_words") >= MIN_WORDS
+        return [F.sum(F.when(long, F.col(f"{name}.{field}")[i]).otherwise(0)).alias(f"{short}{i}") for i in range(size)]
+    n_words = len(vocabulary()) + 1
+    rows = (figures.where(F.col("lang").isin(*COMMON_WORDS)).groupBy("lang")
+            .agg(*summed("chars", BINS, "c"), *summed("commons", n_words, "w")).collect())
+    found = {r["lang"]: ([r[f"c{i}"] for i in range(BINS)], [r[f"w{i}"] for i in range(n_words)]) for r in rows}
+    return {lang: both for lang, both in found.items() if sum(both[1])}
 
 
 def nearest(counts: Column, histograms: Sequence[Sequence[int]]) -> Column:
@@ -177,38 +203,36 @@ def nearest(counts: Column, histograms: Sequence[Sequence[int]]) -> Column:
     return let(counts, lambda _: F.array_min(F.array(*found))) if found else F.lit(0.0)
 
 
-def divergent(known: Mapping[str, tuple[list[int], list[int]]], limits: Limits = Limits()) -> Column:
+def divergent(m: Column, known: Mapping[str, tuple[list[int], list[int]]], limits: Limits = Limits()) -> Column:
     """Whether a measured document is too far from every reference.
 
     By chance alone the squared distance of n draws over k bins from their source
     is about (k - 1) / (8 n ln 2). Of the common words only those of one language
     are drawn in earnest.
     """
-    n_chars = F.aggregate(F.col("_m.chars"), F.lit(0).cast("long"), lambda a, b: a + b)
-    n_words = F.col("_m.n_words")
-
+    n_chars = F.aggregate(m["chars"], F.lit(0).cast("long"), lambda a, b: a + b)
     own = max(len(words.split()) for words in COMMON_WORDS.values()) + 1
 
     def over(counts: Column, which: int, n: Column, least: int, limit: float, bins: int) -> Column:
         histograms = [known[k][which] for k in sorted(known)]
         chance = F.sqrt(F.lit((bins - 1) / (8 * 0.6931471805599453)) / n)
         return (n >= least) & (nearest(counts, histograms) > limit + limits.chance * chance)
-    return (over(F.col("_m.chars"), 0, n_chars, limits.min_chars, limits.chars, BINS)
-            | over(F.col("_m.commons"), 1, n_words, limits.min_words, limits.words, own))
+    return (over(m["chars"], 0, n_chars, limits.min_chars, limits.chars, BINS)
+            | over(m["commons"], 1, m["n_words"], limits.min_words, limits.words, own))
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, the base figures, base_failed and kept for each document."""
-    figures = cut_lineage(measured(docs.select("doc_id", "text", "lang")).select("doc_id", "lang", "_m"))
-    known = references(figures, "_m")
+    figures = cut_lineage(docs.select("doc_id", "lang", measure(F.col("text")).alias("m")))
+    known = references(figures, "m")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return figures.select("doc_id", *[F.col(f"_m.{n}").alias(n) for n in names],
-                          (~F.col("_m.base_failed") & ~divergent(known, limits)).alias("kept"))
+    return figures.select("doc_id", *[F.col(f"m.{n}").alias(n) for n in names],
+                          (~F.col("m.base_failed") & ~divergent(F.col("m"), known, limits)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that pass all rules, with the columns of ``docs``."""
-    known = references(histograms(docs.select("text", "lang")), "_h")
-    # The row travels as one column, so that no name of its own can clash.
-    rows = docs.select("text", "lang", F.struct("*").alias("_row"))
-    return measured(rows).where(~F.col("_m.base_failed") & ~divergent(known, limits)).select("_row.*")
+    known = references(docs.select("lang", histograms(F.col("text")).alias("h")), "h")
+    # One expression, so that a text is measured once: a filter on a column made
+    # before would measure it anew for each part of the condition.
+    return docs.where(let(measure(F.col("text")), lambda m: ~m["base_failed"] & ~divergent(m, known, limits)))

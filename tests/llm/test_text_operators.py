@@ -47,8 +47,11 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 
 def test_base_figures_equal_a_plain_count(spark, given):
     docs = given.union(awkward(spark))
-    found = docs.join(quality.judge(docs).dropDuplicates(), "doc_id").select("text", *BASE).collect()
-    assert len(found) >= 200
+    more = documents(spark, [prose(9, 400) + "\n" + prose(9, 90), "a b c " * 300, " x\n\n x\n x\ty", "\x0b\x0c a\x1cb \r",
+                             " ".join(f"{i % 150} {i % 150} z{i % 7}" for i in range(600))])
+    docs = docs.union(more)
+    found = docs.select("text", quality.measure(F.col("text")).alias("m")).select("text", *[f"m.{n}" for n in BASE]).collect()
+    assert len(found) == docs.count()
     for row in found:
         assert tuple(row)[1:] == plain_base(row.text)
 
