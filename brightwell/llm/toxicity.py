@@ -39,10 +39,10 @@ from brightwell.llm.common import crc_part, cut_lineage
 SAMPLE = 10_000
 #: Candidate entries looked at, and the least documents an entry must explain.
 CANDIDATES = 20_000
-SUPPORT = 8
-#: Least share of toxic documents among those with an entry (counted with one
-#: more clean document than there are).
-PRECISION = 0.85
+SUPPORT = 5
+#: Least share of toxic documents among those with an entry, where a clean document
+#: counts three times and one more is added.
+PRECISION = 0.8
 STEMS = range(4, 9)
 THRESHOLD = 0.3
 #: Spellings a worker remembers; beyond that it starts anew.
@@ -53,7 +53,9 @@ NEGATED_INSULT, REPORTED_INSULT, NEGATED_THREAT, REPORTED_THREAT, AIMED_INSULT,
 
 # Seeds of the classes.
 SEEDS = {
-    INSULT: "idiot idiots moron morons imbecile scumbag asshole bastard bitch",
+    INSULT: "idiot idiots moron morons imbecile stupid dumb dumbass fool jerk loser losers trash garbage scum scumbag filth vermin "
+            "worthless pathetic disgusting clown pig asshole bastard bitch crétin débile connard salaud abruti minable ordure "
+            "dummkopf trottel blödmann arschloch abschaum widerlich idiota imbécil estúpido estúpida escoria asqueroso asquerosa inútil",
     THREAT: "kill hurt stab strangle murder destroy",
     TARGET: "you your yours u ur he she him her they them du dich dir ihr euch tu te toi vous usted ustedes",
     NEGATION: "not never no isn't aren't wasn't don't doesn't nor nicht kein keine nie pas jamais nunca tampoco",
@@ -61,7 +63,7 @@ SEEDS = {
 }
 #: How far negation reaches, and how near a target must stand, in words.
 SCOPE = 3
-SEED_WEIGHT = 1.0
+SEED_WEIGHT = 2.0
 
 _PART = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]")
 _ENDS = frozenset(".!?;:\n")
@@ -243,7 +245,7 @@ def learned(sample: DataFrame) -> dict[str, float]:
     clear = {r["entry"]: r["n"] for r in _counted(clean, frozenset(likely)).collect()}
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count(F.lit(1)).alias("all")).first()
     odds = (totals["all"] - totals["bad"] + 1) / (totals["bad"] + 1)
-    good = frozenset(e for e, n in likely.items() if n / (n + clear.get(e, 0) + 1) >= PRECISION)
+    good = frozenset(e for e, n in likely.items() if n / (n + 3 * clear.get(e, 0) + 1) >= PRECISION)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -253,10 +255,12 @@ def learned(sample: DataFrame) -> dict[str, float]:
     chosen: dict[str, float] = {}
     while True:
         gain = Counter(e for s in sets for e in s)
-        # Most documents explained; of equals the shorter beginning, which covers more spellings.
-        best = min(gain, key=lambda e: (-gain[e], len(e), e), default=None)
-        if best is None or gain[best] < SUPPORT:
+        most = min(gain, key=lambda e: (-gain[e], len(e), e), default=None)
+        if most is None or gain[most] < SUPPORT:
             return chosen
+        # The longest spelling of it that explains nearly as much: "=pathetic" rather than "path".
+        alike = [e for e in gain if e.lstrip("=").startswith(most.lstrip("=")) and gain[e] >= 0.95 * gain[most]]
+        best = max(alike, key=lambda e: (len(e), e))
         chosen[best] = float(np.log((likely[best] + 0.5) / (clear.get(best, 0) + 0.5) * odds))
         sets = [s for s in sets if best not in s]
 
