@@ -20,8 +20,14 @@ def money(value: Column | str, scale: int = 2) -> Column:
 
 
 def round_half_up(value: Column | str, digits: int = 2) -> Column:
-    """Round on decimal digits, so 66.865 gives 66.87 on every engine."""
-    return F.round(_col(value).cast("decimal(24,6)"), digits).cast("double")
+    """Round half up on decimal digits, so 66.865 gives 66.87 on every engine.
+
+    Digits after the twelfth count as noise of the arithmetic: 39.324999999999996,
+    which is 117.975 / 3, gives 39.33, and 0.0049999996 gives 0.0. ``digits`` is 11
+    at most. From 1e26 on a double has no fraction and stays as it is.
+    """
+    number = _col(value).cast("double")
+    return F.coalesce(F.round(number.try_cast("decimal(38,12)"), digits).cast("double"), number)
 
 
 def total(value: Column | str) -> Column:

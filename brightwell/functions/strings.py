@@ -23,13 +23,20 @@ CATEGORY_SPELLINGS = (
 )
 
 
-# The characters that separate words.
-WHITE_SPACE = " \t\n\x0b\f\r"
+# The characters that separate words, those of Unicode included.
+WHITE_SPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
+BLANKS = f"[{WHITE_SPACE}]+"
+
+
+def strip(text: Column) -> Column:
+    """Without the white space at both ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def words(text: Column) -> Column:
     """Array of the white-space separated words; blank text gives one empty word."""
-    return F.split(F.btrim(text, F.lit(WHITE_SPACE)), r"\s+")
+    return F.split(strip(text), BLANKS)
 
 
 def clean_word(word: Column) -> Column:
@@ -48,7 +55,7 @@ def url_host(url: Column) -> Column:
 
 
 def email_domain(email: Column) -> Column:
-    text = F.lower(F.trim(email))
+    text = F.lower(strip(email))
     return first_match(
         [(email.isNull() | (text == "") | (email == "None"), "No Email"),
          (F.contains(text, F.lit("@")), F.substring_index(text, "@", -1))],
@@ -57,15 +64,15 @@ def email_domain(email: Column) -> Column:
 
 def standard_category(text: Column, patterns=CATEGORY_PATTERNS, default: str = "Unknown") -> Column:
     """Category by regular expression; blank and NULL give the default."""
-    cleaned = F.lower(F.trim(text))
+    cleaned = F.lower(strip(text))
     return first_match([(cleaned.rlike(pattern), label) for pattern, label in patterns], default)
 
 
 def listed_category(text: Column, spellings=CATEGORY_SPELLINGS, default: str = "Unknown") -> Column:
     """Category by exact spelling: cheaper, and stricter than the patterns."""
-    cleaned = F.lower(F.trim(text))
+    cleaned = F.lower(strip(text))
     return first_match([(cleaned.isin(*names), label) for names, label in spellings], default)
 
 
 def is_blank(value: Column) -> Column:
-    return value.isNull() | (F.trim(value.cast("string")) == "")
+    return value.isNull() | (strip(value.cast("string")) == "")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from brightwell.functions.bands import first_match
-from brightwell.functions.strings import CATEGORY_PATTERNS, is_blank
+from brightwell.functions.strings import CATEGORY_PATTERNS, is_blank, strip
 
 
 @F.pandas_udf(StringType())
@@ -90,13 +90,14 @@ def quality_grade(category: Column, age: Column, place: Column) -> Column:
     """
     usable = (F.when(~is_blank(category), 1).otherwise(0)
               + F.when(age.isNotNull() & (age > 0) & (age < 120), 1).otherwise(0)
-              + F.when(F.length(F.trim(place)) > 1, 1).otherwise(0))
+              + F.when(F.length(strip(place)) > 1, 1).otherwise(0))
     return first_match([(usable * 100 >= 300, "Excellent"), (usable * 100 >= 225, "Good"),
                         (usable * 100 >= 150, "Fair")], "Poor")
 
 
 def apply_where_present(df: DataFrame, column: str, function: Callable[[Column], Column],
                         output: str, missing: str = "No Data") -> DataFrame:
-    """Conditional UDF call: ``missing`` for NULL, the function elsewhere."""
+    """``missing`` for NULL, the function elsewhere. Spark runs a Python function on
+    every row, whatever condition stands around it, so it must bear NULL."""
     value = F.col(column)
     return df.withColumn(output, F.when(value.isNotNull(), function(value)).otherwise(missing))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightwell.functions.numbers import mean, money, percent, ratio, round_half_up, total
@@ -29,7 +29,8 @@ def basic_metrics(value: str) -> dict[str, Column]:
 
 def distinct_count(df: DataFrame, column: str, rsd: float = 0.02) -> Column:
     """Exact on a table; on a stream, where Spark has no exact distinct count,
-    a HyperLogLog estimate with bounded state and the given relative error."""
+    a HyperLogLog estimate with bounded state and the given relative error. So
+    the ``unique_`` columns of a report may differ between table and stream."""
     if df.isStreaming:
         return F.approx_count_distinct(column, rsd)
     return F.count_distinct(column)
@@ -38,42 +39,44 @@ def distinct_count(df: DataFrame, column: str, rsd: float = 0.02) -> Column:
 MASK_BITS = 63
 
 
-def small_domain(df: DataFrame, column: str, limit: int = MASK_BITS) -> list | None:
-    """The distinct values of a column if there are at most ``limit``, else None.
+def value_masks(column: str, values: Sequence) -> list[Column]:
+    """Aggregates: one bit per listed value that occurs, 63 values to a mask.
 
-    Reads one column; at most ``limit + 1`` values come back.
+    Longs are all the state, where a set per group would leave hash aggregation
+    and an exact distinct count would copy every row. A value that is not listed
+    raises an error, so a count is never too small.
     """
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    return sorted(r[0] for r in found) if len(found) <= limit else None
-
-
-def value_mask(column: str, values: Sequence) -> Column:
-    """Aggregate: one bit per value that occurs. A long is all the state, where
-    a set per group would leave hash aggregation and an exact distinct count
-    would copy every row."""
-    position = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
-    bits = F.call_function("shiftleft", F.lit(1).cast("long"), (position - 1).cast("int"))
-    return F.bit_or(F.when(position > 0, bits))
-
-
-def masked_count(mask: Column) -> Column:
-    return F.coalesce(F.bit_count(mask), F.lit(0)).cast("long")
-
-
-def masked_values(mask: Column, values: Sequence) -> Column:
-    """The values a mask stands for, in order."""
-    flags = [F.when(F.getbit(mask, F.lit(i)) == 1, F.lit(v)) for i, v in enumerate(values)]
+    masks = []
+    for at in range(0, len(values), MASK_BITS):
+        part = F.array(*[F.lit(v) for v in values[at:at + MASK_BITS]])
+        place = F.array_position(part, F.col(column))
+        bits = F.call_function("shiftleft", F.lit(1).cast("long"), (place - 1).cast("int"))
+        if at:
+            masks.append(F.bit_or(F.when(place > 0, bits)))
+            continue
+        unknown = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), F.col(column).cast("string")))
+        known = F.array_contains(F.array(*[F.lit(v) for v in values]), F.col(column))
+        masks.append(F.bit_or(F.when(place > 0, bits).when(~known, unknown.cast("long"))))
+    return masks
+
+
+def masked_count(masks: Sequence[Column]) -> Column:
+    """How many values the masks stand for."""
+    total = F.lit(0)
+    for mask in masks:
+        total = total + F.coalesce(F.bit_count(mask), F.lit(0))
+    return total.cast("long")
+
+
+def masked_values(masks: Sequence[Column], values: Sequence) -> Column:
+    """The values the masks stand for, in the order given."""
+    flags = [F.when(F.getbit(masks[i // MASK_BITS], F.lit(i % MASK_BITS)) == 1, F.lit(v)) for i, v in enumerate(values)]
     return F.array_compact(F.array(*flags))
 
 
-def few_distinct(df: DataFrame, column: str) -> Column:
-    """Distinct count of a column that is expected to hold few values.
-
-    A table is asked first: few values are counted by bit mask, many by the
-    exact distinct count. A stream gets the estimate.
-    """
-    values = None if df.isStreaming else small_domain(df, column)
-    return masked_count(value_mask(column, values)) if values else distinct_count(df, column)
+def few_distinct(df: DataFrame, column: str, values: Sequence | None = None) -> Column:
+    """Distinct count of a column; by bit masks where its values are known."""
+    return masked_count(value_masks(column, values)) if values else distinct_count(df, column)
 
 
 def distribution(value: str, digits: int = 6) -> dict[str, Column]:
@@ -87,16 +90,65 @@ def distribution(value: str, digits: int = 6) -> dict[str, Column]:
     }
 
 
-def percentiles(value: str, points: Mapping[str, float], accuracy: int = 10_000) -> dict[str, Column]:
-    """Percentiles by a mergeable sketch: memory stays bounded for any group.
+def approx_percentiles(value: str, points: Mapping[str, float], accuracy: int = 10_000) -> dict[str, Column]:
+    """Estimated percentiles by a mergeable sketch, for streams and quick looks.
 
-    The rank error is at most ``rows / accuracy``; groups smaller than the
-    accuracy are exact. All points are read from one sketch.
+    Memory stays bounded for any group; the rank error is at most ``rows /
+    accuracy``. All points are read from one sketch.
     """
     sketch = F.percentile_approx(value, list(points.values()), accuracy)
     return {name: sketch[i] for i, name in enumerate(points)}
 
 
+POINT_SCALE = 1_000_000
+RANGES_PER_OCTAVE = 16
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
+    """Exact percentiles of each key: the smallest value that at least the given
+    share of the non-null values does not exceed. One row per key; NULL where a
+    key has no value.
+
+    Equal values are counted first. Values fall into ranges on a logarithmic
+    scale; the counts of a key's ranges tell in which range each point lies, and
+    only the values of these ranges are put in order. No task sorts a whole key,
+    and nothing runs before the result is asked for.
+    """
+    number = F.col(value).cast("double")
+    scale = F.signum(number) * F.floor(F.log2(F.abs(number) + 1) * RANGES_PER_OCTAVE)
+    counts = (df.withColumn("__range", scale).groupBy(*keys, "__range", value)
+              .agg(F.count(value).alias("__n")))
+    per_range = counts.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
+    line = Window.partitionBy(*keys).orderBy("__range")
+    ranges = per_range.withColumns({
+        "__before": F.coalesce(F.sum("__n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "__all": F.sum("__n").over(Window.partitionBy(*keys))})
+    wanted = {}
+    for name, point in points.items():
+        # The rank, rounded up in whole numbers; inside its range it is counted from there.
+        share = F.lit(round(point * POINT_SCALE))
+        rank = F.greatest(F.floor((F.col("__all") * share + (POINT_SCALE - 1)) / POINT_SCALE), F.lit(1)) - F.col("__before")
+        wanted[f"__rank_{name}"] = F.when((rank > 0) & (rank <= F.col("__n")), rank)
+    hit = F.lit(False)
+    for name in wanted:
+        hit = hit | F.col(name).isNotNull()
+    targets = ranges.withColumns(wanted).where(hit).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__range").alias("__target"), *wanted)
+    same = [F.col("__range") == F.col("__target")] + [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (counts.join(targets, same).withColumn("__upto", F.sum("__n").over(inside)).groupBy(*keys).agg(*[
+        F.min(F.when(F.col("__upto") >= F.col(f"__rank_{name}"), F.col(value))).alias(name) for name in points]))
+    every = per_range.select(*keys).distinct() if keys else None
+    return attach_by_key(every, found, keys) if keys else found
+
+
+def attach_by_key(df: DataFrame, by_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of two aggregates with one row per key, NULL keys included."""
+    match = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    added = [F.col(f"b.{c}") for c in by_key.columns if c not in keys]
+    return df.alias("a").join(by_key.alias("b"), match, "left").select("a.*", *added)
+
+
 def rollup_report(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column],
                   totals: Mapping[str, str], cube: bool = False) -> DataFrame:
     """Subtotals by ROLLUP (or CUBE). Subtotal rows are told apart by
@@ -138,8 +190,10 @@ def row_with_largest(df: DataFrame, keys: Sequence[str], measure: str, columns:
 
 
 def value_list(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Sorted distinct values as one text. Only for columns of few distinct values:
-    duplicates are removed before the shuffle, the array holds each value once."""
+    """Sorted distinct values as one text, which is as long as a key has values.
+
+    Duplicates are removed before the shuffle, so the array holds each value once.
+    """
     slim = df.select(*keys, value).distinct()
     return slim.groupBy(*keys).agg(
         F.array_join(F.array_sort(F.collect_list(value)), ",").alias(name),
@@ -174,30 +228,40 @@ def hub_activity(out_side: DataFrame, in_side: DataFrame, hub: str, distance: st
         F.try_divide(F.sum("d").cast("double"), F.sum("k")).alias("weighted_avg")))
 
 
+def distinct_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Distinct values of each key, as an aggregate of its own: beside other
+    aggregates, two distinct counts would copy every row."""
+    return df.select(key, value).distinct().groupBy(key).agg(F.count(value).alias(name))
+
+
 def customer_value(lines: DataFrame, customer: str, order: str, value: Column, quantity: str,
                    product: str, price: str) -> DataFrame:
     """Orders, items, value and variety per customer, with the mean order value.
 
-    Rows without a customer are left out.
+    Lines are first summed per order. Rows without a customer are left out.
     """
-    return lines.where(F.col(customer).isNotNull()).groupBy(customer).agg(
-        F.count_distinct(order).alias("order_count"),
-        total(money(quantity)).alias("total_items"),
-        total(value).alias("customer_value"),
-        mean(money(price)).alias("avg_item_price"),
-        F.count_distinct(product).alias("product_variety"),
-    ).withColumn("avg_order_value", round_half_up(ratio("customer_value", "order_count")))
-
-
-def market_summary(orders: DataFrame, market: str, customer: str, order: str, value: str,
-                   lines: str) -> DataFrame:
-    """Customers, orders and revenue by market, from one row per order (or part
-    of an order) with its value and its number of lines."""
-    return orders.groupBy(market).agg(
-        F.count_distinct(customer).alias("active_customers"),
-        F.count_distinct(order).alias("total_orders"),
-        total(value).alias("market_revenue"),
-        ratio(F.sum(value), F.sum(lines)).alias("avg_transaction_value"),
+    lines = lines.where(F.col(customer).isNotNull())
+    per_order = lines.groupBy(customer, order).agg(
+        F.sum(money(quantity)).alias("__items"), F.sum(value).alias("__value"),
+        F.sum(money(price)).alias("__price"), F.count(price).alias("__priced"))
+    totals = per_order.groupBy(customer).agg(
+        F.count(order).alias("order_count"), total("__items").alias("total_items"),
+        total("__value").alias("customer_value"), ratio(F.sum("__price"), F.sum("__priced")).alias("avg_item_price"))
+    variety = distinct_per_key(lines, customer, product, "product_variety")
+    return attach_by_key(totals, variety, [customer]).withColumn(
+        "avg_order_value", round_half_up(ratio("customer_value", "order_count")))
+
+
+def market_summary(orders: DataFrame, market: str, customer: str, value: str, lines: str) -> DataFrame:
+    """Customers, orders and revenue by market, from one row per order with its
+    value and its number of lines. Orders are first summed per customer."""
+    per_customer = orders.groupBy(market, customer).agg(
+        F.count(F.lit(1)).alias("__orders"), F.sum(value).alias("__value"), F.sum(lines).alias("__lines"))
+    return per_customer.groupBy(market).agg(
+        F.count(customer).alias("active_customers"),
+        F.sum("__orders").alias("total_orders"),
+        total("__value").alias("market_revenue"),
+        ratio(F.sum("__value"), F.sum("__lines")).alias("avg_transaction_value"),
     ).withColumns({
         "orders_per_customer": round_half_up(ratio("total_orders", "active_customers")),
         "revenue_per_customer": round_half_up(ratio("market_revenue", "active_customers"))})
@@ -205,13 +269,14 @@ def market_summary(orders: DataFrame, market: str, customer: str, order: str, va
 
 def product_matrix(lines: DataFrame, products: DataFrame, product: str, name: str, order: str,
                    customer: str, value: Column, quantity: str) -> DataFrame:
-    """Volume, reach and revenue per product. Names are joined to the finished
-    totals: one row per product instead of one per line."""
-    totals = lines.groupBy(product).agg(
-        total(money(quantity)).alias("total_quantity"),
-        F.count_distinct(order).alias("order_frequency"),
-        F.count_distinct(customer).alias("customer_reach"),
-        total(value).alias("total_revenue"))
+    """Volume, reach and revenue per product. Lines are first summed per order, and
+    names are joined to the finished totals: one row per product instead of one per line."""
+    per_order = lines.groupBy(product, order).agg(
+        F.sum(money(quantity)).alias("__quantity"), F.sum(value).alias("__value"))
+    totals = per_order.groupBy(product).agg(
+        total("__quantity").alias("total_quantity"), F.count(order).alias("order_frequency"),
+        total("__value").alias("total_revenue"))
+    totals = attach_by_key(totals, distinct_per_key(lines, product, customer, "customer_reach"), [product])
     return totals.join(products.select(product, F.col(name).alias("product_name")), product).withColumns({
         "revenue_per_unit": round_half_up(ratio("total_revenue", "total_quantity")),
         "avg_quantity_per_order": round_half_up(ratio("total_quantity", "order_frequency"))})

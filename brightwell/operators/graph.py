@@ -133,7 +133,7 @@ def page_rank(graph: Graph, iterations: int = 10, damping: float = 0.85) -> Data
     return ranks.select("id", "rank")
 
 
-def connected_components(graph: Graph, max_rounds: int = 100) -> DataFrame:
+def connected_components(graph: Graph) -> DataFrame:
     """Component of every vertex, named by its smallest id.
 
     Each round takes the smallest label among the neighbours and then follows
@@ -144,7 +144,7 @@ def connected_components(graph: Graph, max_rounds: int = 100) -> DataFrame:
     both = cut_lineage(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
                        .union(links.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     labels = cut_lineage(graph.vertices.select("id").distinct().withColumn("component", F.col("id")))
-    for _ in range(max_rounds):
+    while True:  # every round but the last lowers a label
         nearest = (both.join(labels, F.col("v") == F.col("id"))
                    .groupBy(F.col("u")).agg(F.min("component").alias("low")))
         lowered = labels.join(nearest, F.col("id") == F.col("u"), "left").select(
@@ -156,4 +156,3 @@ def connected_components(graph: Graph, max_rounds: int = 100) -> DataFrame:
         labels = updated.select("id", "component")
         if updated.where(F.col("old") != F.col("component")).isEmpty():
             return labels
-    raise RuntimeError(f"components not settled after {max_rounds} rounds")

@@ -32,8 +32,8 @@ def partition_rows(df: DataFrame) -> DataFrame:
 
 
 def skew_report(df: DataFrame, partitions: int, limit: float = 2.0) -> DataFrame:
-    """Largest, smallest and mean partition. ``partitions`` is the number the
-    frame has, so that empty ones count; the ratio is against the mean."""
+    """Largest, smallest and mean partition, and the ratio of largest to smallest.
+    ``partitions`` is the number the frame has, so that empty ones count."""
     return partition_rows(df).agg(
         F.lit(partitions).alias("partitions"),
         (F.lit(partitions) - F.count(F.lit(1))).alias("empty_partitions"),

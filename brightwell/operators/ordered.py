@@ -1,8 +1,8 @@
 """Window jobs that survive a hot key.
 
 A window function puts every row of one partition key into one task, and a
-window without a key puts the whole table there. The jobs here first measure
-the largest group. Up to a limit they use a plain Spark window. Beyond it they
+window without a key puts the whole table there. The jobs here, whatever the
+size of the largest key,
 
 1. range-partition the rows by (keys, order), so a hot key spreads over many
    slices and each slice holds one contiguous run;
@@ -27,8 +27,6 @@ from brightwell.functions.numbers import percent
 from brightwell.operators.skew import attach
 from brightwell.session import cut_lineage
 
-GROUP_LIMIT = 2_000_000   # rows of one key that one task may sort
-SLICE_ROWS = 2_000_000    # rows aimed at per slice
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -42,38 +40,12 @@ class Wanted:
     lead: Mapping[str, str] = field(default_factory=dict)
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows, rows of the largest key). Only partial counts move, not rows."""
-    if not keys:
-        rows = df.count()
-        return rows, rows
-    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first())
-    return row["rows"] or 0, row["largest"] or 0
-
-
-def slices_needed(df: DataFrame, keys: Sequence[str] = (), group_limit: int = GROUP_LIMIT) -> int:
-    """How many slices the rows call for; 0 when a plain window will do."""
-    rows, largest = group_sizes(df, keys)
-    if keys and largest <= group_limit:
-        return 0
-    cores = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(min(cores, rows), -(-rows // SLICE_ROWS), 1)
-
-
 def ordered_columns(df: DataFrame, order_by: Sequence[Column | str], wanted: Wanted,
-                    partition_by: Sequence[str] = (), group_limit: int = GROUP_LIMIT,
-                    slices: int | None = None) -> DataFrame:
-    """Add the wanted window columns, by the plan the largest group calls for.
-
-    ``slices`` is measured when not given; 0 asks for the plain window.
-    """
-    keys = list(partition_by)
-    if slices is None:
-        slices = slices_needed(df, keys, group_limit)
-    if slices == 0:
-        return _plain(df, keys, order_by, wanted)
-    return _sliced(df, keys, order_by, wanted, slices)
+                    partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+    """Add the wanted window columns. ``slices`` is the number of shuffle partitions
+    unless given."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _sliced(df, list(partition_by), order_by, wanted, slices)
 
 
 def _window_columns(window, wanted: Wanted) -> dict[str, Column]:
@@ -87,10 +59,6 @@ def _window_columns(window, wanted: Wanted) -> dict[str, Column]:
     return columns
 
 
-def _plain(df, keys, order_by, wanted):
-    return df.withColumns(_window_columns(Window.partitionBy(*keys).orderBy(*order_by), wanted))
-
-
 def _sliced(df, keys, order_by, wanted, slices):
     sort = [F.col(key) for key in keys] + list(order_by)
     sliced = cut_lineage(
@@ -202,27 +170,26 @@ def ranks(df: DataFrame, measure: str, partition_by=(), rank: str = "rank",
     ranked = ranked.select(
         *keys, measure, dense_rank, (F.col("__upto") - F.col("__ties") + 1).alias(rank))
     ranked = ranked.select(*keys, measure, rank, dense_rank)
-    return attach(df, ranked, [*keys, measure], options.get("group_limit", GROUP_LIMIT))
+    return attach(df, ranked, [*keys, measure])
 
 
 def share_of_group(df: DataFrame, value: str, partition_by: Sequence[str],
                    group_total: str = "group_total", share: str = "share_pct",
-                   digits: int = 2, group_limit: int = GROUP_LIMIT) -> DataFrame:
+                   digits: int = 2) -> DataFrame:
     """Group total and per cent share on every row.
 
     The totals are aggregated first (partial sums before the shuffle) and
-    joined back, salted when a key is hot.
+    joined back.
     """
     totals = df.groupBy(*partition_by).agg(F.sum(value).alias(group_total))
-    return attach(df, totals, list(partition_by), group_limit).withColumn(
+    return attach(df, totals, list(partition_by)).withColumn(
         share, percent(F.col(value), F.col(group_total), digits))
 
 
-def sessions(df: DataFrame, key: str, ts: str, gap: str, tie_break: str | None = None,
+def sessions(df: DataFrame, key: str, ts: str, gap: str, tie_break: str,
              name: str = "session_number", **options) -> DataFrame:
     """Number the activity sessions of each key: a new one after ``gap`` of silence."""
-    order = [F.col(ts)] + ([F.col(tie_break)] if tie_break else [])
-    options.setdefault("slices", slices_needed(df, [key], options.pop("group_limit", GROUP_LIMIT)))
+    order = [F.col(ts), F.col(tie_break)]
     stepped = ordered_columns(df, order, Wanted(lag={"__before": ts}), [key], **options)
     fresh = F.col("__before").isNull() | (
         F.col(ts) >= F.col("__before") + F.expr(f"INTERVAL {gap}"))
@@ -232,9 +199,9 @@ def sessions(df: DataFrame, key: str, ts: str, gap: str, tie_break: str | None =
 
 
 def followed_by(df: DataFrame, key: str, ts: str, kind: str, first: str, then: str,
-                within: str, tie_break: str | None = None, **options) -> DataFrame:
+                within: str, tie_break: str, **options) -> DataFrame:
     """Rows of kind ``first`` whose very next row of the key is ``then`` in time."""
-    order = [F.col(ts)] + ([F.col(tie_break)] if tie_break else [])
+    order = [F.col(ts), F.col(tie_break)]
     wanted = Wanted(lead={"next_kind": kind, "next_ts": ts})
     return (ordered_columns(df, order, wanted, [key], **options)
             .where((F.col(kind) == first) & (F.col("next_kind") == then)

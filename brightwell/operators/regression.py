@@ -85,8 +85,14 @@ def coefficients(model: PipelineModel, features: Sequence[str]) -> dict[str, flo
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Batch scoring: adds ``prediction``."""
-    return model.transform(df)
+    """Batch scoring: adds ``prediction`` to every row; NULL where a feature is NULL."""
+    *_, vector, fitted = model.stages
+    keeping = vector.copy().setHandleInvalid("keep")
+    complete = F.lit(True)
+    for name in keeping.getInputCols():
+        complete = complete & F.col(name).isNotNull()
+    scored = PipelineModel(stages=[keeping, fitted]).transform(df)
+    return scored.withColumn("prediction", F.when(complete, F.col("prediction")))
 
 
 def metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -150,21 +156,24 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, keys: Seq
                    **params: Mapping) -> DataFrame:
     """Fit several models on the same split; one row of test metrics per model.
 
-    The feature vectors are built once and kept for all fits.
+    The feature vectors are built once and kept for all fits; each model's test
+    metrics, four numbers, are fetched while they are. Rows with a NULL feature
+    take part in neither.
     """
     picked = assemble(df.select(*dict.fromkeys([*keys, *features, label])), features)
-    train, test = train_test(picked, keys, train_share)
-    train = train.select("features", label).persist()
+    train, test = (part.select("features", label).persist() for part in train_test(picked, keys, train_share))
     try:
-        rows = None
+        found = []
         for kind in kinds:
             model = regressor(kind, label, **params.get(kind, {})).fit(train)
-            row = metrics(model.transform(test), label).select(F.lit(kind).alias("model"), "*")
-            rows = row if rows is None else rows.unionByName(row)
+            found.append((kind, *metrics(model.transform(test), label).first()))
     finally:
         train.unpersist()
-    return rows.withColumns({
-        "best_rmse": F.col("rmse") == rows.agg(F.min("rmse")).scalar(),
-        "best_r2": F.col("r2") == rows.agg(F.max("r2")).scalar()})
+        test.unpersist()
+    rmse = min((r[1] for r in found if r[1] is not None), default=None)
+    r2 = max((r[3] for r in found if r[3] is not None), default=None)
+    return df.sparkSession.createDataFrame(
+        [(*r, r[1] == rmse, r[3] == r2) for r in found],
+        "model STRING, rmse DOUBLE, mae DOUBLE, r2 DOUBLE, best_rmse BOOLEAN, best_r2 BOOLEAN")
 
 

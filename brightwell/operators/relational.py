@@ -8,28 +8,18 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
 
+def lookup(df: DataFrame, dimension: DataFrame, key: str, dimension_key: str,
+           columns: Mapping[str, str], how: str = "left") -> DataFrame:
+    """Add ``{output: dimension column}`` by key.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting: at most ``max_rows`` rows.
-
-    The count stops one row past the limit. A larger table gets no hint, and
-    the join is then a shuffle join that adaptive execution can split by skew.
+    No hint: Spark broadcasts the dimension if its measured bytes allow it, and
+    else joins by a shuffle that adaptive execution can split by skew.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
-
-
-def lookup(df: DataFrame, dimension: DataFrame, key: str, dimension_key: str,
-           columns: Mapping[str, str], how: str = "left",
-           max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Add ``{output: dimension column}`` by key from a dimension of checked size."""
     picked = dimension.select(
         F.col(dimension_key).alias("__key"),
         *[F.col(source).alias(output) for output, source in columns.items()])
-    return (df.join(broadcast_if_small(picked, max_rows), df[key] == F.col("__key"), how)
-            .drop("__key"))
+    return df.join(picked, df[key] == F.col("__key"), how).drop("__key")
 
 
 def left_join_defaults(left: DataFrame, right: DataFrame, on: str | Sequence[str],

@@ -1,4 +1,9 @@
-"""Salting for keys that hold a large share of the rows."""
+"""Salting for keys that hold a large share of the rows.
+
+A salt must differ between equal rows and be the same when a task is repeated.
+A hash of the row gives equal rows one salt and a random number may change, so
+the rows are checkpointed and salted by their place in the checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +12,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brightwell.session import cut_lineage
+
+
+def with_salt(df: DataFrame, salts: int, name: str = "__salt") -> DataFrame:
+    """Spread rows evenly over ``salts`` numbers, equal rows too. Writes ``df`` once."""
+    place = F.monotonically_increasing_id()
+    # Mixed, so that the first rows of all partitions do not share a salt.
+    return cut_lineage(df).withColumn(name, F.pmod(F.xxhash64(place), F.lit(salts)).cast("int"))
+
 
 def salted_aggregate(df: DataFrame, keys: Sequence[str], partial: Mapping[str, Column],
                      final: Mapping[str, Column], salts: int = 32) -> DataFrame:
     """Two-phase aggregate: by (keys, salt), then by keys.
 
     For aggregates whose partial state is large (sets, sketches, sorted lists).
-    Plain sums and counts need no salt: Spark already merges them before the
-    shuffle. The salt is a hash of the row, so a repeated task makes the same one.
+    Plain sums and counts need no salt: Spark already merges them before the shuffle.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("__salt")
-    first = df.groupBy(*keys, salt).agg(*[e.alias(n) for n, e in partial.items()])
+    first = with_salt(df, salts).groupBy(*keys, "__salt").agg(*[e.alias(n) for n, e in partial.items()])
     return first.groupBy(*keys).agg(*[e.alias(n) for n, e in final.items()])
 
 
+#: Least share a key can be asked to hold to count as hot: bounds the hot keys to 10,000.
+LEAST_SHARE = 0.0001
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``min_share`` of all rows: at most ``1 / min_share`` of them."""
+    if min_share < LEAST_SHARE:
+        raise ValueError(f"min_share must be at least {LEAST_SHARE}")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rows = counts.agg(F.sum("__n")).scalar()
     return counts.where(F.col("__n") >= rows * F.lit(min_share)).select(*keys)
@@ -33,7 +51,8 @@ def salted_join(large: DataFrame, other: DataFrame, keys: str | Sequence[str], s
     """Equi-join that spreads hot keys of ``large`` over ``salts`` tasks each.
 
     Only rows of ``other`` with a hot key are copied, once per salt; at most
-    ``1 / min_share`` keys are hot, so the marking table is safe to broadcast.
+    ``1 / min_share`` keys are hot, so the marking table is safe to broadcast. It
+    is found once and kept, and ``large`` is read once, into its checkpoint.
     ``how`` is inner or left: each row of ``large`` meets each partner once.
     ``null_safe`` lets NULL keys meet; otherwise they match nothing.
     """
@@ -41,14 +60,14 @@ def salted_join(large: DataFrame, other: DataFrame, keys: str | Sequence[str], s
         raise ValueError("salted_join supports inner and left joins")
     keys = [keys] if isinstance(keys, str) else list(keys)
     names = [f"__hot_{i}" for i in range(len(keys))]
-    hot = F.broadcast(hot_keys(large, keys, min_share).withColumnsRenamed(dict(zip(keys, names)))
+    large = with_salt(large, salts)
+    hot = cut_lineage(hot_keys(large, keys, min_share).withColumnsRenamed(dict(zip(keys, names)))
                       .withColumn("__is_hot", F.lit(True)))
 
     def marked(df):
         match = [df[key].eqNullSafe(F.col(name)) for key, name in zip(keys, names)]
-        return df.join(hot, match, "left").drop(*names)
-    salt = F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int")
-    left = marked(large).withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(0)).drop("__is_hot")
+        return df.join(F.broadcast(hot), match, "left").drop(*names)
+    left = marked(large).withColumn("__salt", F.when(F.col("__is_hot"), F.col("__salt")).otherwise(0)).drop("__is_hot")
     copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = marked(other).withColumn("__salt", F.explode(copies)).drop("__is_hot")
     right = right.withColumnsRenamed({name: f"__right_{name}" for name in [*keys, "__salt"]})
@@ -59,17 +78,14 @@ def salted_join(large: DataFrame, other: DataFrame, keys: str | Sequence[str], s
     return left.join(right, match, how).drop("__salt", *[f"__right_{name}" for name in [*keys, "__salt"]])
 
 
-def attach(df: DataFrame, by_key: DataFrame, keys: Sequence[str], group_limit: int) -> DataFrame:
+def attach(df: DataFrame, by_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of a table with one row per key, NULL keys included.
 
-    The largest key of ``df`` decides: up to ``group_limit`` rows a plain join,
-    beyond it the salted one. (Adaptive execution does not split a join whose
-    other side is an aggregate.)
+    The small side is dealt out once more by number. Else the join would use the
+    partitions of the aggregate it came from, and adaptive execution, which splits
+    a hot key of ``df`` over tasks, leaves such joins alone.
     """
-    from brightwell.operators.ordered import group_sizes
-    _, largest = group_sizes(df, keys)
-    if largest > group_limit:
-        return salted_join(df, by_key, keys, how="left", null_safe=True)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     match = [F.col(f"d.{key}").eqNullSafe(F.col(f"t.{key}")) for key in keys]
     added = [F.col(f"t.{name}") for name in by_key.columns if name not in keys]
-    return df.alias("d").join(by_key.alias("t"), match, "left").select("d.*", *added)
+    return df.alias("d").join(by_key.repartition(parts).alias("t"), match, "left").select("d.*", *added)

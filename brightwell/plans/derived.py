@@ -17,6 +17,8 @@ CURRENCIES = ("USD", "EUR", "GBP", "CAD", "AUD")
 COUNTRIES = ("US", "CA", "UK", "AU", "DE")
 CITIES = ("New York", "Toronto", "London", "Sydney", "Berlin")
 CHANNELS = ("online", "atm", "pos", "mobile")
+MERCHANTS = tuple(f"merchant_{i}" for i in range(10))
+KNOWN = {"country": COUNTRIES, "city": CITIES, "channel": CHANNELS, "merchant": MERCHANTS}
 AGENTS = ("Mozilla/5.0 (Windows NT 10.0) Chrome/120.0 Safari/537.36",
           "Mozilla/5.0 (Windows NT 10.0) Chrome/120.0 Safari/537.36 Edg/120.0",
           "Mozilla/5.0 (X11; Linux x86_64) Firefox/121.0",

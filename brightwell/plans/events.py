@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brightwell.functions.dates import seconds_between
 from brightwell.functions.numbers import money, n_rows, round_half_up
+from brightwell.operators.aggregate import attach_by_key
 from brightwell.plans import derived
 from brightwell.plans.registry import query, sql_count, sql_mean, sql_percent, sql_ratio, sql_round
 from brightwell.streaming import combine, latency, routing, rules, windows
@@ -48,15 +49,14 @@ query("fees_and_tax_windowed", _fees_sql("windowed"))(_fees("windowed"))
 
 
 @query("rate_table_join", f"""
-WITH {derived.sql_enriched('detailed')}, rates AS (SELECT CASE n_nationkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR'
-  WHEN 2 THEN 'GBP' ELSE 'AUD' END AS currency, 1 + n_nationkey * 0.25 AS rate FROM nation WHERE n_nationkey < 4)
+WITH {derived.sql_enriched('detailed')}, rates AS (SELECT {derived.sql_pick(derived.CURRENCIES, 'n_nationkey')} AS currency,
+  CAST(avg(1 + n_nationkey * 0.25) AS DOUBLE) AS rate FROM nation GROUP BY 1)
 SELECT transaction_id, CAST(amount * COALESCE(rate, 1) AS DOUBLE) AS amount_usd
 FROM enriched LEFT JOIN rates USING (currency)""")
 def rate_table_join(t):
     key = F.col("n_nationkey")
-    rates = t.nation.where(key < 4).select(
-        F.when(key == 0, "USD").when(key == 1, "EUR").when(key == 2, "GBP").otherwise("AUD").alias("currency"),
-        (1 + key * F.lit(0.25)).alias("rate"))
+    rates = t.nation.groupBy(derived.pick(derived.CURRENCIES, key).alias("currency")).agg(
+        F.avg(1 + key * F.lit(0.25)).alias("rate"))
     return rules.with_rate_table(derived.transactions(t.events), rates).select(
         "transaction_id", F.col("amount_usd").cast("double").alias("amount_usd"))
 
@@ -172,15 +172,17 @@ def _share(channel):
     "CAST(hour(time_bucket(INTERVAL 1 HOUR, event_timestamp)) AS INT) AS hour_of_day",
     f"{sql_round(sql_ratio('count(*)', 'count(DISTINCT account_id)'))} AS transactions_per_customer"]))
 def tumbling_hourly(t):
-    return windows.hourly_windows(derived.windowed_input(t)).drop("window_end")
+    return windows.hourly_windows(derived.windowed_input(t), known=derived.KNOWN).drop("window_end")
 
 
 @query("business_day", f"""
 WITH {derived.SQL_WINDOWED}, b AS (SELECT *, CAST(event_timestamp AS DATE) AS business_date, hour(event_timestamp) AS h
-  FROM t WHERE hour(event_timestamp) >= 9 AND hour(event_timestamp) < 17)
+  FROM t WHERE hour(event_timestamp) >= 9 AND hour(event_timestamp) < 17),
+hours AS (SELECT business_date AS d, country AS c, h, sum(amount_usd) AS usd FROM b GROUP BY 1, 2, 3),
+peaks AS (SELECT d, c, arg_max(h, (usd, -h)) AS peak, max(usd) AS usd FROM hours GROUP BY 1, 2)
 SELECT business_date, country, count(*) AS daily_transaction_count, {USD_SUM} AS daily_volume_usd,
   {USD_MEAN} AS daily_avg_amount, {sql_round('max(amount_usd)')} AS daily_max_transaction,
-  CAST(max(h) AS INT) AS peak_hour, {sql_round('arg_max(amount_usd, (h, amount_usd))')} AS peak_hour_amount,
+  CAST(any_value(peak) AS INT) AS peak_hour, {sql_round('any_value(usd)')} AS peak_hour_amount,
   count(DISTINCT account_id) AS daily_unique_customers, count(DISTINCT merchant) AS daily_unique_merchants,
   {sql_round('sum(transaction_fee)')} AS daily_fee_revenue, {sql_count('is_high_value')} AS daily_high_value_count,
   {sql_percent(sql_count('h BETWEEN 9 AND 11'), 'count(*)')} AS morning_pct,
@@ -189,7 +191,7 @@ SELECT business_date, country, count(*) AS daily_transaction_count, {USD_SUM} AS
   min(event_timestamp) AS first_business_transaction, max(event_timestamp) AS last_business_transaction,
   {sql_percent(sql_count('is_high_value'), 'count(*)')} AS high_value_pct,
   {sql_round(sql_ratio('count(*)', 'count(DISTINCT account_id)'))} AS transactions_per_customer
-FROM b GROUP BY business_date, country""")
+FROM b JOIN peaks ON business_date = d AND country = c GROUP BY business_date, country""")
 def business_day(t):
     return windows.business_days(derived.windowed_input(t))
 
@@ -201,9 +203,17 @@ def _first_totals(t):
 _BASIC = derived.sql_enriched("basic") + ", t AS (SELECT * FROM enriched WHERE amount > 0)"
 
 
-@query("tumbling_basic")
+@query("tumbling_basic", _tumbling("1 MINUTES", [], [
+    "count(*) AS total_transactions", f"{USD_SUM} AS total_volume_usd", f"{USD_MEAN} AS avg_amount_usd",
+    f"{sql_round('min(amount_usd)')} AS min_amount_usd", f"{sql_round('max(amount_usd)')} AS max_amount_usd",
+    "TRUE AS estimate_is_close"], ctes=_BASIC))
 def tumbling_basic(t):
-    return windows.basic_windows(_first_totals(t))
+    """The account estimate lies within three standard errors of the exact count."""
+    totals = _first_totals(t)
+    exact = windows.windowed(totals, "1 minute", [], {"accounts": F.count_distinct("account_id")}).drop("window_end")
+    report = attach_by_key(windows.basic_windows(totals), exact, ["window_start"])
+    close = F.abs(F.col("unique_accounts") - F.col("accounts")) <= 3 * 0.05 * F.col("accounts") + 1
+    return report.withColumn("estimate_is_close", close).drop("unique_accounts", "accounts", "window_end")
 
 
 @query("tumbling_grouped", _tumbling("2 MINUTES", ["transaction_type", "country"], [
@@ -286,12 +296,12 @@ FROM (SELECT *, CASE WHEN transaction_count >= 10 THEN 30 ELSE 0 END + CASE WHEN
 
 @query("sliding_fraud", _fraud_sql(600, 30))
 def sliding_fraud(t):
-    return windows.fraud_windows(derived.windowed_input(t))
+    return windows.fraud_windows(derived.windowed_input(t), known=derived.KNOWN)
 
 
 @query("sliding_fraud_daily", _fraud_sql(172800, 21600))
 def sliding_fraud_daily(t):
-    return windows.fraud_windows(derived.windowed_input(t), "2 days", "6 hours")
+    return windows.fraud_windows(derived.windowed_input(t), "2 days", "6 hours", known=derived.KNOWN)
 
 
 @query("sliding_velocity", f"""SELECT * EXCLUDE (usd, peak), strftime(window_start, '%H:%M') || '-' || strftime(window_end, '%H:%M') AS time_range,
@@ -318,7 +328,7 @@ def sliding_velocity(t):
     "strftime(window_start, '%H:%M') AS start_time",
     f"{sql_round(sql_ratio('count(*)', 'count(DISTINCT account_id)'), 1)} AS txn_per_customer"]))
 def sliding_trend(t):
-    return windows.trend_windows(derived.windowed_input(t))
+    return windows.trend_windows(derived.windowed_input(t), known=derived.KNOWN)
 
 
 # Latency -----------------------------------------------------------------------
@@ -426,7 +436,7 @@ def lateness_by_place(t):
     "strftime(time_bucket(INTERVAL 10 MINUTES, event_timestamp), '%H:%M') AS start_time",
     "'RELAXED_1hr' AS watermark_strategy"], source="late", ctes=derived.SQL_LATENESS))
 def lateness_overview(t):
-    return latency.lateness_overview(derived.with_lateness(t)).drop("window_end")
+    return latency.lateness_overview(derived.with_lateness(t), known=derived.KNOWN).drop("window_end")
 
 
 @query("lateness_monitor", _tumbling("1 MINUTE", ["delay_category"], [

@@ -25,17 +25,12 @@ _PREDICTED = """p AS (SELECT l_extendedprice AS price, l_quantity * p_retailpric
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
-@query("hash_split_counts")
-def hash_split_counts(t):
-    return reg.with_split(t.lineitem, ["l_orderkey"]).groupBy("split").agg(
-        n_rows().alias("n_rows"), F.count_distinct("l_orderkey").alias("n_orders"))
-
-
 @query("hash_split_checks", """
 SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, TRUE AS share_is_close FROM lineitem""")
 def hash_split_checks(t):
     # An order in both parts would be counted twice.
-    parts = hash_split_counts(t)
+    parts = reg.with_split(t.lineitem, ["l_orderkey"]).groupBy("split").agg(
+        n_rows().alias("n_rows"), F.count_distinct("l_orderkey").alias("n_orders"))
     return parts.agg(
         F.sum("n_rows").alias("n_rows"), F.sum("n_orders").alias("n_orders"),
         F.max(F.when(F.col("split") == "train", F.col("n_rows"))).alias("train")).select(
@@ -58,13 +53,18 @@ def linreg_coefficients(t):
     return found.select("name", round_half_up("weight", 3).alias("weight"))
 
 
-@query("linreg_predict")
+@query("linreg_predict", f"""
+WITH l AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_quantity END AS q FROM lineitem),
+f AS (SELECT regr_slope(l_extendedprice, q) AS a, regr_intercept(l_extendedprice, q) AS b FROM l WHERE l_orderkey % 5 <> 0)
+SELECT l_orderkey, l_linenumber, l_partkey, {sql_round('a * q + b', 3)} AS prediction FROM l, f""")
 def linreg_predict(t):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", *FEATURES)
-    train, test = reg.train_test(lines, ["l_orderkey"])
-    model = reg.fit(train, FEATURES, "l_extendedprice")
-    return reg.score(model, test).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
-                                         F.round("prediction", 4).alias("prediction"))
+    """Fit on the orders whose key is not divisible by 5, score all lines; those
+    without the feature get no prediction, but stay."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.when(
+        F.col("l_orderkey") % 3 != 0, F.col("l_quantity")).alias("q"))
+    model = reg.fit(lines.where("l_orderkey % 5 <> 0"), ["q"], "l_extendedprice", solver="normal")
+    return reg.score(model, lines).select("l_orderkey", "l_linenumber", "l_partkey",
+                                          round_half_up("prediction", 3).alias("prediction"))
 
 
 @query("linreg_1d", f"""
@@ -112,9 +112,15 @@ def comparable_rows(t):
     return found.select("n_rows", round_half_up("avg_value").alias("avg_value"))
 
 
-@query("model_comparison")
+@query("model_comparison", """
+SELECT unnest(['decision_tree', 'gbt', 'linear', 'random_forest']) AS model, TRUE AS is_finite, 1 AS n_best_rmse, TRUE AS best_agree""")
 def model_comparison(t):
-    return reg.compare_models(t.lineitem, FEATURES, "l_extendedprice", ["l_orderkey"])
+    """Four fitted models: finite metrics, one best, the same by either measure."""
+    found = reg.compare_models(t.lineitem, FEATURES, "l_extendedprice", ["l_orderkey"])
+    return found.select(
+        "model", ((F.col("rmse") > 0) & (F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1)).alias("is_finite"),
+        found.agg(F.count_if("best_rmse").cast("int")).scalar().alias("n_best_rmse"),
+        (F.col("best_rmse") == F.col("best_r2")).alias("best_agree"))
 
 
 @query("graph_stats", f"""
@@ -195,6 +201,6 @@ def _rank_sql(rounds: int) -> str:
     return f"WITH {derived.SQL_PLACES}, {steps} SELECT id, {sql_round('rank', 6)} AS rank FROM r{rounds}"
 
 
-@query("page_rank", _rank_sql(5))
+@query("page_rank", _rank_sql(10))
 def page_rank(t):
-    return g.page_rank(derived.place_graph(t), iterations=5).select("id", round_half_up("rank", 6).alias("rank"))
+    return g.page_rank(derived.place_graph(t)).select("id", round_half_up("rank", 6).alias("rank"))

@@ -39,7 +39,8 @@ def query(name: str, sql: str | None = None):
 # SQL fragments. They mirror functions.numbers.
 
 def sql_round(value: str, digits: int = 2) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(24,6)), {digits}) AS DOUBLE)"
+    # By way of text: the shortest digits of the double, which a cast to DECIMAL would not give.
+    return f"CAST(round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def sql_money(value: str) -> str:

@@ -270,13 +270,11 @@ SELECT c_custkey, c_name, count(o_orderkey) AS total_orders,
   count(*) FILTER (WHERE o_orderstatus = 'F') AS finished_orders
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
 def join_left_group(t):
-    t.customer.createOrReplaceTempView("bw_customer")
-    t.orders.createOrReplaceTempView("bw_orders")
     return t.spark.sql("""
         SELECT c_custkey, c_name, COALESCE(n, 0) AS total_orders, COALESCE(f, 0) AS finished_orders
-        FROM bw_customer LEFT JOIN (
+        FROM {customer} LEFT JOIN (
           SELECT o_custkey, COUNT(*) AS n, SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS f
-          FROM bw_orders GROUP BY o_custkey) ON c_custkey = o_custkey""")
+          FROM {orders} GROUP BY o_custkey) ON c_custkey = o_custkey""", customer=t.customer, orders=t.orders)
 
 
 @query("left_join_defaults", f"""

@@ -9,6 +9,7 @@ from brightwell.functions.bands import age_group, generation, life_stage
 from brightwell.functions.dates import age_in_years, date_from_parts, parse_date_any, time_bucket
 from brightwell.functions.numbers import mean, n_rows, round_half_up
 from brightwell.functions.strings import (
+    BLANKS,
     email_domain,
     listed_category,
     standard_category,
@@ -64,10 +65,16 @@ def fn_array(t):
         F.explode(parts).alias("word"))
 
 
-@query("fn_hash")
+@query("fn_hash", """
+SELECT p_brand, count(*) AS n_rows, count(DISTINCT p_name) AS n_names, count(DISTINCT p_name) AS n_hashes,
+  TRUE AS is_stable FROM part GROUP BY p_brand""")
 def fn_hash(t):
-    return t.part.select("p_partkey", F.hash("p_name", "p_brand").alias("hash"),
-                         F.xxhash64("p_name", "p_brand").alias("hash64"))
+    """Hashes differ where the values differ and are the same on every evaluation."""
+    again = F.xxhash64(F.concat("p_name", F.lit("")), "p_brand") == F.xxhash64("p_name", "p_brand")
+    return t.part.groupBy("p_brand").agg(
+        n_rows().alias("n_rows"), F.count_distinct("p_name").alias("n_names"),
+        F.count_distinct(F.xxhash64("p_name", "p_brand"), F.hash("p_name", "p_brand")).alias("n_hashes"),
+        F.bool_and(again).alias("is_stable"))
 
 
 @query("fn_json", """
@@ -151,7 +158,7 @@ def generation_profile(t):
 # Text ------------------------------------------------------------------------
 
 _PUNCT = "'!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~'"
-_TOKENS = f"""raw AS (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS r FROM documents),
+_TOKENS = f"""raw AS (SELECT unnest(regexp_split_to_array(text, '{BLANKS}')) AS r FROM documents),
 tokens AS (SELECT lower(trim(r, {_PUNCT})) AS word FROM raw
            WHERE regexp_full_match(lower(trim(r, {_PUNCT})), '\\p{{L}}+'))"""
 
@@ -189,9 +196,9 @@ def word_length_hist(t):
     return text.word_lengths(t.documents, "text")
 
 
-@query("bigrams", """
+@query("bigrams", f"""
 WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
-w AS (SELECT list_filter(regexp_split_to_array(line, '\\s+'), lambda x: x <> '') AS w FROM lines),
+w AS (SELECT list_filter(regexp_split_to_array(line, '{BLANKS}'), lambda x: x <> '') AS w FROM lines),
 p AS (SELECT w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) > 1)
 SELECT lower(w[i]) AS first_word, lower(w[i + 1]) AS second_word, count(*) AS count FROM p GROUP BY ALL""")
 def bigrams(t):
@@ -443,7 +450,8 @@ p AS (SELECT *, CASE WHEN regexp_matches(lower(trim(gender)), '^f$|f.m|w.m|femal
 WITH {_PEOPLE} SELECT c_custkey, std AS by_udf, CASE WHEN gender IS NULL THEN 'No Data' ELSE std END AS conditional FROM p""")
 def udf_standardise(t):
     people = _people(t).withColumn("by_udf", udfs.standard_category_udf("gender"))
-    return udfs.apply_where_present(people, "gender", udfs.standard_category_udf, "conditional").select(
+    # The function ran once; the condition reads its result.
+    return udfs.apply_where_present(people, "gender", lambda _: F.col("by_udf"), "conditional").select(
         "c_custkey", "by_udf", "conditional")
 
 
@@ -466,11 +474,10 @@ WITH {_PEOPLE} SELECT std AS category, CASE WHEN age IS NULL THEN 'Unknown' WHEN
   WHEN age < 65 THEN 'Senior' ELSE 'Elderly' END AS age_group, count(*) AS n_people FROM p GROUP BY ALL""")
 def group_by_expr(t):
     udfs.register_all(t.spark)
-    _people(t).createOrReplaceTempView("bw_people")
     return t.spark.sql("""
         SELECT standard_category_udf(gender) AS category, age_group_udf(CAST(age AS STRING)) AS age_group,
                COUNT(*) AS n_people
-        FROM bw_people GROUP BY 1, 2""")
+        FROM {people} GROUP BY 1, 2""", people=_people(t))
 
 
 @query("category_standardise", f"WITH {_PEOPLE} SELECT std AS category, count(*) AS n_people FROM p GROUP BY 1")

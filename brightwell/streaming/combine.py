@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwell.operators.relational import broadcast_if_small, union_all
+from brightwell.operators.relational import keep_first, union_all
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -23,8 +23,8 @@ def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def join_static(stream: DataFrame, table: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
-    """Look a stream up in a table; the table is broadcast when it is small enough."""
-    return stream.join(broadcast_if_small(table), on, how)
+    """Look a stream up in a table. Spark broadcasts the table if its bytes allow it."""
+    return stream.join(table, on, how)
 
 
 def join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
@@ -38,7 +38,9 @@ def join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
 
     Both sides get a watermark, so stream state older than the bound is dropped.
     The right columns come back as ``right_<name>``. ``how`` is inner or
-    left_outer; on streams unmatched rows come once the watermark has passed.
+    left_outer; on streams unmatched rows come once the watermark has passed. A
+    right or full outer join would report the copy of a right row that was offered
+    to the other bucket as unmatched.
     """
     if how not in ("inner", "left_outer"):
         raise ValueError("join_within supports inner and left_outer joins")
@@ -63,11 +65,15 @@ def join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
 
 def unique_events(df: DataFrame, keys: Sequence[str], ts: str | None = None,
                   delay: str | None = None) -> DataFrame:
-    """One row per key. With a time column and a delay, state is kept only that
-    long, and copies are found if they arrive within the delay."""
+    """One row per key: on a table the smallest in time, then by the other columns;
+    on a stream the first to arrive. With a time column and a delay, a stream keeps
+    state only that long and finds copies that arrive within the delay."""
     if df.isStreaming and ts and delay:
         return with_watermark(df, ts, delay).dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+    if df.isStreaming:
+        return df.dropDuplicates(list(keys))
+    rest = [c for c in df.columns if c not in keys]
+    return keep_first(df, keys, list(dict.fromkeys([*([ts] if ts else []), *rest]))) if rest else df.distinct()
 
 
 def merge(*streams: DataFrame, tag: str | None = None) -> DataFrame:

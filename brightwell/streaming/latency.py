@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from brightwell.functions.numbers import (
     round_half_up,
     sum_when,
 )
-from brightwell.operators.aggregate import distinct_count, few_distinct, percentiles
-from brightwell.streaming.windows import TS, USD, rows, windowed
+from brightwell.operators.aggregate import distinct_count, few_distinct
+from brightwell.streaming.windows import NOTHING, TS, USD, rows, windowed, with_percentiles
 
 # Limits in seconds, inclusive.
 DELAY_STEPS = ((5, "IMMEDIATE"), (30, "QUICK"), (300, "DELAYED"))
@@ -146,17 +148,18 @@ def lateness_by_place(df: DataFrame, strategy: str = "BALANCED_5min", size: str
         "watermark_strategy": F.lit(strategy)})
 
 
-def lateness_overview(df: DataFrame, strategy: str = "RELAXED_1hr", size: str = "10 minutes") -> DataFrame:
+def lateness_overview(df: DataFrame, strategy: str = "RELAXED_1hr", size: str = "10 minutes",
+                      known: Mapping[str, Sequence] = NOTHING) -> DataFrame:
     """Share of each delay category and delay percentiles."""
     labels = [label for _, label in LATE_STEPS] + ["VERY_LATE"]
-    return windowed(_watermarked(df, WATERMARKS.get(strategy)), size, [], {
+    points = {"median_delay_sec": 0.5, "p95_delay_sec": 0.95, "p99_delay_sec": 0.99}
+    return with_percentiles(_watermarked(df, WATERMARKS.get(strategy)), size, "delay_seconds", points, {
         "total_transactions": rows(), "total_volume": round_half_up(F.sum(USD)),
         "unique_customers": distinct_count(df, "account_id"),
-        "countries_served": few_distinct(df, "country"),
+        "countries_served": few_distinct(df, "country", known.get("country")),
         **{f"{label.lower()}_pct": percent(count_when(F.col("delay_category") == label), rows())
            for label in labels},
         "avg_delay_sec": round_half_up(mean("delay_seconds"), 1),
-        **percentiles("delay_seconds", {"median_delay_sec": 0.5, "p95_delay_sec": 0.95, "p99_delay_sec": 0.99}),
     }).withColumns({"start_time": F.date_format("window_start", "HH:mm"),
                     "watermark_strategy": F.lit(strategy)})
 

@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def drain(query: StreamingQuery, timeout: int = 600) -> StreamingQuery:
-    """Wait for an available-now query to finish; raises its error, if any."""
-    if not query.awaitTermination(timeout):
+def drain(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Wait for an available-now query to finish, however long its backlog is;
+    raises its error, if any. With a ``timeout`` in seconds, a query that is still
+    active then is stopped, and that is an error."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"query {query.name or query.id} still active after {timeout} s")
     return query
 
 
-def drain_all(queries: Iterable[StreamingQuery], timeout: int = 600) -> None:
+def drain_all(queries: Iterable[StreamingQuery], timeout: int | None = None) -> None:
     for query in list(queries):
         drain(query, timeout)
 

@@ -3,10 +3,10 @@
 Input columns: event_timestamp, transaction_type, channel, country, city,
 merchant, account_id, amount_usd, transaction_fee, is_high_value,
 is_international, risk_score. All functions return unsorted rows and run on a
-table or a stream. On a table, columns of few values (countries, cities,
-channels) are counted by bit mask. On a stream distinct counts are estimates
-with bounded state, and only the fraud report keeps small sets, of countries,
-cities and channels, since its score needs exact counts.
+table or a stream. Columns whose values are listed (``known``) are counted by
+bit masks. Other distinct counts are exact on a table and estimates with bounded
+state on a stream, but for countries, cities and channels in the fraud report,
+whose score needs exact counts: without a list it keeps their sets.
 """
 
 from __future__ import annotations
@@ -28,16 +28,18 @@ from brightwell.functions.numbers import (
     sum_when,
 )
 from brightwell.operators.aggregate import (
+    approx_percentiles,
+    attach_by_key,
     distinct_count,
     few_distinct,
     masked_count,
     masked_values,
     percentiles,
-    small_domain,
-    value_mask,
+    value_masks,
 )
 
 TS = "event_timestamp"
+NOTHING: Mapping[str, Sequence] = {}
 USD = "amount_usd"
 # The types and channels reported on their own.
 MIX_TYPES = ("purchase", "withdrawal", "transfer", "deposit")
@@ -55,6 +57,17 @@ def windowed(df: DataFrame, size: str, keys: Sequence[str], metrics: Mapping[str
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *names)
 
 
+def with_percentiles(df: DataFrame, size: str, value: str, points: Mapping[str, float],
+                     metrics: Mapping[str, Column]) -> DataFrame:
+    """A tumbling report with percentiles: exact on a table, where they are found
+    apart from the other metrics and joined by window; estimates on a stream."""
+    if df.isStreaming:
+        return windowed(df, size, [], {**metrics, **approx_percentiles(value, points)})
+    start = F.window(TS, size)["start"]
+    exact = percentiles(df.select(start.alias("window_start"), value), ["window_start"], value, points)
+    return attach_by_key(windowed(df, size, [], metrics), exact, ["window_start"])
+
+
 def _usd_sum(condition: Column | None = None) -> Column:
     return F.sum(USD) if condition is None else sum_when(condition, F.col(USD))
 
@@ -99,44 +112,49 @@ def mix_windows(df: DataFrame, size: str = "5 minutes") -> DataFrame:
     }).withColumn("time_range", _time_range("HH:mm:ss", " - "))
 
 
-def hourly_windows(df: DataFrame, size: str = "1 hour") -> DataFrame:
-    """Business view: percentiles, customers, channel share of the volume."""
+def hourly_windows(df: DataFrame, size: str = "1 hour", known: Mapping[str, Sequence] = NOTHING) -> DataFrame:
+    """Business view: percentiles, customers, channel share of the volume. ``known``
+    lists all values of columns with few, which are then counted by bit masks."""
     shares = {f"{channel}_volume_pct": percent(_usd_sum(F.col("channel") == channel), _usd_sum())
               for channel in ("online", "mobile", "atm")}
-    return windowed(df, size, [], {
+    points = {"median_amount": 0.5, "p95_amount": 0.95, "p99_amount": 0.99}
+    report = with_percentiles(df, size, USD, points, {
         "total_transactions": rows(),
         "total_volume_usd": round_half_up(_usd_sum()),
         "avg_transaction_size": round_half_up(mean(USD)),
-        **{name: round_half_up(point) for name, point in percentiles(
-            USD, {"median_amount": 0.5, "p95_amount": 0.95, "p99_amount": 0.99}).items()},
         "unique_customers": distinct_count(df, "account_id"),
-        "countries_served": few_distinct(df, "country"),
-        "cities_served": few_distinct(df, "city"),
+        "countries_served": few_distinct(df, "country", known.get("country")),
+        "cities_served": few_distinct(df, "city", known.get("city")),
         **shares,
         "high_value_pct": percent(count_when("is_high_value"), rows()),
         "international_pct": percent(count_when("is_international"), rows()),
         "total_fee_revenue": round_half_up(F.sum("transaction_fee")),
         "first_transaction_time": F.min(TS), "last_transaction_time": F.max(TS),
-    }).withColumns({
+    })
+    return report.withColumns({
+        **{name: round_half_up(name) for name in points},
         "hour_label": F.date_format("window_start", "yyyy-MM-dd HH:00"),
         "hour_of_day": F.hour("window_start"),
         "transactions_per_customer": round_half_up(ratio("total_transactions", "unique_customers"))})
 
 
 def business_days(df: DataFrame, opens: int = 9, closes: int = 17) -> DataFrame:
-    """Day view of business hours (``closes`` excluded) by country, with the busiest
-    late hour and the parts of the day."""
+    """Day view of business hours (``closes`` excluded) by country, with the hour of
+    the largest volume (the earliest of equal ones) and the parts of the day."""
     hour = F.col("transaction_hour")
     open_rows = (df.withColumn("transaction_hour", F.hour(TS)).where((hour >= opens) & (hour < closes))
                  .withColumn("business_date", F.to_date(TS)))
     parts = {"morning_pct": (9, 11), "lunch_pct": (12, 14), "afternoon_pct": (15, 17)}
-    peak = F.max(F.struct("transaction_hour", F.col(USD).alias("usd")))
+    # One sum for each open hour: a fixed few, so a single aggregate does on streams too.
+    volumes = F.array(*[F.struct(F.sum(F.when(hour == h, F.col(USD))).alias("usd"), F.lit(-h).alias("back"))
+                        for h in range(opens, closes)])
+    peak = F.array_max(volumes)
     return open_rows.groupBy("business_date", "country").agg(
         rows().alias("daily_transaction_count"),
         round_half_up(_usd_sum()).alias("daily_volume_usd"),
         round_half_up(mean(USD)).alias("daily_avg_amount"),
         round_half_up(F.max(USD)).alias("daily_max_transaction"),
-        peak["transaction_hour"].alias("peak_hour"),
+        (-peak["back"]).alias("peak_hour"),
         round_half_up(peak["usd"]).alias("peak_hour_amount"),
         distinct_count(df, "account_id").alias("daily_unique_customers"),
         distinct_count(df, "merchant").alias("daily_unique_merchants"),
@@ -202,16 +220,21 @@ def moving_averages(df: DataFrame, size: str = "5 minutes", slide: str = "1 minu
 
 
 def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seconds",
-                  min_score: int = 20) -> DataFrame:
-    """Accounts with unusual activity: score, level and time span."""
+                  min_score: int = 20, known: Mapping[str, Sequence] = NOTHING) -> DataFrame:
+    """Accounts with unusual activity: score, level and time span.
+
+    ``known`` lists all values of country, city, channel or merchant; a column
+    that is not listed costs a set of its values per window and account.
+    """
     seen = {"country": "countries_list", "city": None, "channel": "channels_list"}
     metrics, counts, lists = {}, {}, {}
     for column, listed in seen.items():
-        values = None if df.isStreaming else small_domain(df, column)
+        values = sorted(known.get(column, ()))
         if values:
-            metrics[f"__{column}"] = value_mask(column, values)
-            counts[f"{column}_count"] = masked_count(F.col(f"__{column}"))
-            found = masked_values(F.col(f"__{column}"), values)
+            masks = {f"__{column}{i}": mask for i, mask in enumerate(value_masks(column, values))}
+            metrics |= masks
+            counts[f"{column}_count"] = masked_count([F.col(name) for name in masks])
+            found = masked_values([F.col(name) for name in masks], values)
         else:
             metrics[f"__{column}"] = F.array_sort(F.collect_set(column))
             counts[f"{column}_count"] = F.size(f"__{column}").cast("long")
@@ -220,7 +243,7 @@ def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seco
             lists[listed] = F.array_join(found, ",")
     activity = windowed(df, size, ["account_id"], {
         "transaction_count": rows(), "usd": _usd_sum(), **metrics,
-        "merchant_count": few_distinct(df, "merchant"),
+        "merchant_count": few_distinct(df, "merchant", known.get("merchant")),
         "high_value_count": count_when("is_high_value"),
         "avg_risk_score": round_half_up(mean("risk_score"), 1),
         "max_amount": round_half_up(F.max(USD)),
@@ -242,10 +265,9 @@ def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seco
             .drop("usd", "first_ts", "last_ts", *metrics))
 
 
-def velocity_windows(df: DataFrame, size: str = "3 minutes", slide: str = "30 seconds",
-                     minutes: float = 3.0) -> DataFrame:
+def velocity_windows(df: DataFrame, size: str = "3 minutes", slide: str = "30 seconds") -> DataFrame:
     """Rates per minute by country and channel."""
-    per_minute = F.lit(float(minutes))
+    per_minute = (F.unix_timestamp("window_end") - F.unix_timestamp("window_start")) / F.lit(60.0)
     return windowed(df, size, ["country", "channel"], {
         "txn_count": rows(), "usd": _usd_sum(),
         "unique_accounts": distinct_count(df, "account_id"),
@@ -263,7 +285,8 @@ def velocity_windows(df: DataFrame, size: str = "3 minutes", slide: str = "30 se
     }).drop("usd", "peak")
 
 
-def trend_windows(df: DataFrame, size: str = "15 minutes", slide: str = "5 minutes") -> DataFrame:
+def trend_windows(df: DataFrame, size: str = "15 minutes", slide: str = "5 minutes",
+                  known: Mapping[str, Sequence] = NOTHING) -> DataFrame:
     """Mix, channel share, risk and customers over a sliding window."""
     mix = {f"{kind}_pct": percent(count_when(F.col("transaction_type") == kind), rows())
            for kind in MIX_TYPES}
@@ -274,7 +297,7 @@ def trend_windows(df: DataFrame, size: str = "15 minutes", slide: str = "5 minut
         "avg_amount": round_half_up(mean(USD)), **mix, **shares,
         "avg_risk_score": round_half_up(mean("risk_score"), 1),
         "high_value_pct": percent(count_when("is_high_value"), rows()),
-        "countries_active": few_distinct(df, "country"),
+        "countries_active": few_distinct(df, "country", known.get("country")),
         "unique_customers": distinct_count(df, "account_id"),
     }, slide).withColumns({
         "start_time": F.date_format("window_start", "HH:mm"),

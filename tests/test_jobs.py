@@ -102,15 +102,16 @@ def test_left_join_defaults(spark):
     assert rows(report, "order_id", "prod_name", "list_price") == [("A1", "Lamp", 15), ("A2", "NA", 0)]
 
 
-def test_broadcast_only_below_the_limit(spark):
+def test_broadcast_depends_on_bytes(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
     dim = spark.range(50).selectExpr("id AS d", "id * 2 AS v")
+    small = rel.lookup(big, dim, "k", "d", {"v": "v"})
+    assert "BroadcastHashJoin" in plan_of(small)
+    found = rows(small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = rel.lookup(big, dim, "k", "d", {"v": "v"}, max_rows=50)
-        large = rel.lookup(big, dim, "k", "d", {"v": "v"}, max_rows=49)
-        assert "BroadcastHashJoin" in plan_of(small) and "SortMergeJoin" in plan_of(large)
-        assert rows(small) == rows(large)
+        large = rel.lookup(big, dim, "k", "d", {"v": "v"})
+        assert "SortMergeJoin" in plan_of(large) and rows(large) == found
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -173,8 +174,9 @@ def test_salted_jobs_equal_plain_jobs(spark):
     assert rows(skew.hot_keys(large, ["k"], 0.1)) == [(0,)]
     gaps = large.selectExpr("nullif(k, 0) AS k", "CAST(id % 2 AS STRING) AS half", "id")
     pairs = gaps.groupBy("k", "half").agg(F.count(F.lit(1)).alias("n"))
-    assert rows(skew.attach(gaps, pairs, ["k", "half"], 10)) == rows(skew.attach(gaps, pairs, ["k", "half"], 10_000))
-    assert skew.attach(gaps, pairs, ["k", "half"], 10).where("n IS NULL").count() == 0
+    same = [gaps["k"].eqNullSafe(pairs["k"]), gaps["half"] == pairs["half"]]
+    assert rows(skew.attach(gaps, pairs, ["k", "half"])) == rows(gaps.join(pairs, same, "left").select(gaps["*"], "n"))
+    assert skew.attach(gaps, pairs, ["k", "half"]).where("n IS NULL").count() == 0
     plain = skew.salted_join(gaps, pairs.drop("half"), "k", how="left")
     assert plain.where("k IS NULL AND n IS NOT NULL").count() == 0
     salted = skew.salted_aggregate(large, ["k"], {"s": F.sum("id"), "n": F.count(F.lit(1))},
@@ -182,19 +184,45 @@ def test_salted_jobs_equal_plain_jobs(spark):
     assert rows(salted) == rows(large.groupBy("k").agg(F.sum("id"), F.count(F.lit(1))))
 
 
-def test_few_values_are_counted_by_mask_and_many_exactly(spark):
+def test_listed_values_are_counted_by_masks(spark):
     df = spark.range(600).selectExpr("id % 3 AS k", "CASE WHEN id % 7 = 0 THEN NULL ELSE 'v' || (id % 5) END AS few",
                                      "'m' || (id % 101) AS many", "CAST(NULL AS STRING) AS none")
-    assert agg.small_domain(df, "few") == ["v0", "v1", "v2", "v3", "v4"] and agg.small_domain(df, "many") is None
-    wanted = {c: F.count_distinct(c).alias(c) for c in ("few", "many", "none")}
-    got = df.groupBy("k").agg(*[agg.few_distinct(df, c).alias(c) for c in wanted])
+    known = {"few": [f"v{i}" for i in range(5)], "many": [f"m{i}" for i in range(101)], "none": None}
+    wanted = {c: F.count_distinct(c).alias(c) for c in known}
+    got = df.groupBy("k").agg(*[agg.few_distinct(df, c, v).alias(c) for c, v in known.items()])
     assert rows(got) == rows(df.groupBy("k").agg(*wanted.values()))
-    listed = df.where("k = 1 AND id < 6").agg(agg.value_mask("few", ["v0", "v1", "v2", "v3", "v4"]).alias("m")).select(
-        agg.masked_values(F.col("m"), ["v0", "v1", "v2", "v3", "v4"]).alias("v"))
-    assert listed.first()["v"] == ["v1", "v4"]
-    wide = spark.range(63).selectExpr("'x' || lpad(id, 2, '0') AS v")
-    values = agg.small_domain(wide, "v")
-    assert len(values) == 63 and wide.agg(agg.masked_count(agg.value_mask("v", values))).first()[0] == 63
+    masks = {f"m{i}": m for i, m in enumerate(agg.value_masks("many", known["many"]))}
+    assert len(masks) == 2
+    listed = df.where("id IN (1, 64, 100, 101)").agg(*[m.alias(n) for n, m in masks.items()]).select(
+        agg.masked_values([F.col(n) for n in masks], known["many"]).alias("v"))
+    assert listed.first()["v"] == ["m0", "m1", "m64", "m100"]
+    with pytest.raises(Exception, match="not listed"):
+        df.agg(agg.few_distinct(df, "few", ["v0", "v1"])).collect()
+
+
+def test_percentiles_are_exact_in_large_groups(spark):
+    df = spark.range(60_000).selectExpr("id % 2 AS k", "CAST((id * 7919) % 59999 - 20000 AS DOUBLE) / 7 AS v").union(
+        spark.createDataFrame([(None, 1.5), (None, None), (5, None)], "k long, v double"))
+    points = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    got = {r["k"]: tuple(r)[1:] for r in agg.percentiles(df, ["k"], "v", points).collect()}
+    values = {0: [], 1: []}
+    for r in df.where("k < 2").collect():
+        values[r["k"]].append(r["v"])
+    for k, v in values.items():
+        v.sort()
+        assert got[k] == tuple(v[max(-(-int(p * 100) * len(v) // 100), 1) - 1] for p in points.values())
+    assert got[None] == (1.5,) * 5 and got[5] == (None,) * 5
+    assert agg.percentiles(df.limit(0), ["k"], "v", points).count() == 0
+
+
+def test_equal_rows_fill_all_salts(spark):
+    equal = spark.range(10_000).selectExpr("1 AS k", "'x' AS v").union(spark.createDataFrame([(2, "y")], "k INT, v STRING"))
+    assert skew.with_salt(equal, 16).where("k = 1").groupBy("__salt").count().count() == 16
+    other = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k INT, w STRING")
+    joined = skew.salted_join(equal, other, "k")
+    assert rows(joined.groupBy("k", "v", "w").count()) == [(1, "x", "a", 10_000), (2, "y", "b", 1)]
+    with pytest.raises(ValueError):
+        skew.hot_keys(equal, ["k"], 1e-9)
 
 
 # Text and logs --------------------------------------------------------------------

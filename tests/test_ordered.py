@@ -41,14 +41,6 @@ def test_sliced_equals_plain(skewed, kind, keys, slices):
     assert got.columns == plain.columns
 
 
-def test_the_plan_follows_the_largest_group(skewed):
-    assert ordered.slices_needed(skewed, ["key"], group_limit=1000) == 0
-    assert ordered.slices_needed(skewed, ["key"], group_limit=100) > 0
-    assert ordered.slices_needed(skewed) > 0
-    rows_, largest = ordered.group_sizes(skewed, ["key"])
-    assert rows_ == 900 and largest >= 300
-
-
 def test_global_row_number_has_no_single_task_window(skewed):
     numbered = ordered.row_numbers(skewed.select("ts", "id"), ["ts", "id"])
     plan = numbered._jdf.queryExecution().executedPlan().toString()
@@ -57,21 +49,20 @@ def test_global_row_number_has_no_single_task_window(skewed):
     assert rows(numbered) == rows(expected)
 
 
-@pytest.mark.parametrize("slices", [0, 5])
+@pytest.mark.parametrize("slices", [None, 5])
 def test_moving_sum_share_and_ranks(skewed, slices):
     w = Window.partitionBy("key").orderBy("ts", "id")
     moving = ordered.moving_sum_of_two(skewed, "value", ["ts", "id"], ["key"], slices=slices)
     assert rows(moving) == rows(skewed.withColumn("moving_sum", F.sum("value").over(w.rowsBetween(-1, 0))))
-    ranked = ordered.ranks(skewed, "ts", ["key"], slices=slices, group_limit=20 if slices else 10_000)
+    ranked = ordered.ranks(skewed, "ts", ["key"], slices=slices)
     by = Window.partitionBy("key").orderBy(F.col("ts").desc())
     plain = skewed.withColumns({"rank": F.rank().over(by).cast("long"), "dense_rank": F.dense_rank().over(by).cast("long")})
     assert rows(ranked) == rows(plain)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_share_of_group(spark, limit):
+def test_share_of_group(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), (None, 5)], "key STRING, value LONG")
-    shared = ordered.share_of_group(df, "value", ["key"], group_limit=limit)
+    shared = ordered.share_of_group(df, "value", ["key"])
     assert rows(shared) == [("a", 1, 4, 25.0), ("a", 3, 4, 75.0), (None, 5, 5, 100.0)]
 
 
@@ -87,8 +78,8 @@ def test_empty_table(spark):
     assert ordered.row_numbers(df, ["id"]).count() == 0
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 10])
-def test_sessions_and_sequences(skewed, limit):
+@pytest.mark.parametrize("slices", [None, 9])
+def test_sessions_and_sequences(skewed, slices):
     df = skewed.selectExpr("coalesce(key, '-') AS key", "timestamp_seconds(ts * 60) AS ts", "id",
                            "CASE id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'purchase' ELSE 'view' END AS kind")
     data = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0], r[1], r[2]))
@@ -100,7 +91,7 @@ def test_sessions_and_sequences(skewed, limit):
             expected_pairs.append((key, last[key][1]))
         expected_sessions.append((key, i, number[key]))
         last[key] = (ts, i, kind)
-    got = ordered.sessions(df, "key", "ts", "3 MINUTES", "id", group_limit=limit)
+    got = ordered.sessions(df, "key", "ts", "3 MINUTES", "id", slices=slices)
     assert rows(got, "key", "id", "session_number") == sorted(expected_sessions, key=lambda r: [(False, str(v)) for v in r])
-    pairs = ordered.followed_by(df, "key", "ts", "kind", "click", "purchase", "1 MINUTE", "id", group_limit=limit)
+    pairs = ordered.followed_by(df, "key", "ts", "kind", "click", "purchase", "1 MINUTE", "id", slices=slices)
     assert rows(pairs, "key", "id") == sorted(expected_pairs, key=lambda r: [(False, str(v)) for v in r])

@@ -13,7 +13,7 @@ from brightwell.operators import text
 from brightwell.session import STREAM_DEFAULTS
 from brightwell.sinks import streams as sinks
 from brightwell.sources import streams as sources
-from brightwell.streaming import combine, decode, latency, routing, rules, run, windows
+from brightwell.streaming import combine, decode, latency, routing, rules, run, state, windows
 from tests.conftest import at, rows
 
 ENVELOPE = "key STRING, value STRING, topic STRING, partition INT, offset LONG, timestamp TIMESTAMP"
@@ -336,6 +336,28 @@ def test_deduplication(spark, tmp_path):
     assert rows(collect_stream(exact.select("id"), "s_exact", "append")) == [(i,) for i in range(1, 8)]
 
 
+def test_approximate_deduplication(spark, tmp_path):
+    days = [[("u", f"{h:02d}:00:00", "view", i) for i in range(40)] for h in (10, 11, 14)]
+    stream = events_stream(spark, tmp_path / "in", *days)
+    fresh = state.probably_new(stream, ["user", "id"], "ts", keep="2 hours", buckets=4)
+    got = collect_stream(fresh, "s_bloom", "append").groupBy("id").count()
+    # The second hour repeats the first within two hours; the third comes after it has been forgotten.
+    assert rows(got) == [(i, 2) for i in sorted(range(40), key=str)]
+    table = spark.read.schema(EVENT).json(str(tmp_path / "in"))
+    assert state.probably_new(table, ["user", "id"], "ts", keep="2 hours", buckets=4).count() == 80
+    assert state.probably_new(table.limit(0), ["id"], "ts").count() == 0
+    crowded = spark.range(4000).selectExpr("'u' AS user", "timestamp'2024-03-01 10:00:00' AS ts", "'v' AS kind", "CAST(id % 2000 AS INT) AS id")
+    kept = state.probably_new(crowded, ["id"], "ts", buckets=8, bits=1 << 12, hashes=4)
+    assert 1900 <= kept.count() <= 2000 and kept.count() == kept.select("id").distinct().count()
+
+
+def test_sequences_with_a_time_to_live(spark, tmp_path):
+    stream = events_stream(spark, tmp_path / "in", *STORY, [("c", "15:40:00", "purchase", 8)])
+    found = state.next_within(stream, "user", "ts", "kind", "click", "purchase", "30 minutes")
+    query_rows = collect_stream(found, "s_next", "append")
+    assert rows(query_rows, "user", "first_ts", "next_ts") == [("a", at("10:00:00"), at("10:10:00"))]
+
+
 def test_session_windows(spark, tmp_path):
     stream = events_stream(spark, tmp_path / "in", *STORY)
     sessions = combine.session_windows(stream, "user", "ts", "30 minutes", "1 minute")
