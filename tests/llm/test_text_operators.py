@@ -138,7 +138,7 @@ def test_learns_words_and_beginnings(spark):
 
 
 def test_held_out_toxicity(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.judge(docs, marks).join(marks, "doc_id").where("held_out").toPandas()
     toxic = found["toxic"] == 1
