@@ -13,7 +13,7 @@ from brightwell.functions.numbers import money, n_rows, round_half_up
 from brightwell.operators.aggregate import attach_by_key
 from brightwell.plans import derived
 from brightwell.plans.registry import query, sql_count, sql_mean, sql_percent, sql_ratio, sql_round
-from brightwell.streaming import combine, latency, routing, rules, windows
+from brightwell.streaming import combine, decode, latency, routing, rules, state, windows
 
 AS_DOUBLE = ("transaction_fee", "tax_amount", "amount_usd", "net_amount")
 
@@ -413,6 +413,38 @@ def lateness_by_type(t):
     return latency.lateness_by_type(derived.with_lateness(t), "STRICT_10s").drop("window_end")
 
 
+@query("lateness_no_watermark", _tumbling("2 MINUTES", ["transaction_type"], [
+    "count(*) AS transaction_count", f"{sql_count('is_very_late_data')} AS very_late_data_count",
+    "'NO_WATERMARK' AS watermark_strategy"], source="late", ctes=derived.SQL_LATENESS))
+def lateness_no_watermark(t):
+    return latency.lateness_by_type(derived.with_lateness(t), "NO_WATERMARK").select(
+        "window_start", "transaction_type", "transaction_count", "very_late_data_count", "watermark_strategy")
+
+
+@query("unique_events", """
+SELECT user_id, event_type, ts, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")
+def unique_events(t):
+    return combine.unique_events(t.events.select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], "ts")
+
+
+@query("invoice_lines", """
+SELECT CAST(o_orderkey AS VARCHAR) AS invoice, CAST(o_custkey AS VARCHAR) AS store, o_orderpriority AS city,
+  CAST(l_partkey AS VARCHAR) AS item, l_quantity AS quantity
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
+def invoice_lines(t):
+    """Invoices are sent as JSON messages, one per order, and flattened again."""
+    line = F.struct(F.col("l_partkey").cast("string").alias("ItemCode"), F.col("l_quantity").alias("ItemPrice"))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(line).alias("InvoiceLineItems"))  # seven lines at most
+    sent = t.orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("InvoiceNumber"), F.col("o_custkey").cast("string").alias("StoreID"),
+        F.struct(F.col("o_orderpriority").alias("City")).alias("DeliveryAddress"), "InvoiceLineItems")).alias("value"))
+    read = sent.select(F.from_json("value", decode.INVOICE_DDL).alias("v")).select("v.*")
+    return decode.invoice_lines(read).select(
+        F.col("InvoiceNumber").alias("invoice"), F.col("StoreID").alias("store"), F.col("City").alias("city"),
+        F.col("ItemCode").alias("item"), F.col("ItemPrice").alias("quantity"))
+
+
 @query("lateness_by_place", _tumbling("2 MINUTES", ["country", "channel"], [
     "count(*) AS transaction_count", f"{USD_SUM} AS total_volume", f"{USD_MEAN} AS avg_amount",
     "count(DISTINCT account_id) AS unique_customers", f"{sql_count('is_late_data')} AS late_data_count",
@@ -473,3 +505,15 @@ def merged_streams(t):
     parts = [t.events.where(F.col("event_type") == kind).select("value") for kind in ("purchase", "signup")]
     return combine.merge(*parts, tag="origin").groupBy("origin").agg(
         n_rows().alias("n_rows"), round_half_up(F.sum(money("value"))).alias("total_value"))
+
+
+@query("probably_new_events", """
+SELECT count(DISTINCT (user_id, event_type)) AS n_keys, TRUE AS none_twice, TRUE AS nearly_all FROM events""")
+def probably_new_events(t):
+    """Approximate de-duplication lets no key through twice and holds few back."""
+    events = t.events.select("user_id", "event_type", "ts", "event_id")
+    kept = state.probably_new(events, ["user_id", "event_type"], "ts", keep="3650 days")
+    exact = events.groupBy("user_id", "event_type").agg(n_rows().alias("n")).agg(n_rows()).scalar()
+    return kept.groupBy("user_id", "event_type").agg(n_rows().alias("n")).agg(
+        F.max("n").alias("most"), n_rows().alias("kept")).select(
+        exact.alias("n_keys"), (F.col("most") == 1).alias("none_twice"), (F.col("kept") >= 0.99 * exact).alias("nearly_all"))
