@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightwell.llm import quality
+from brightwell.llm import quality, warc
 
 
 def _listed(values) -> str:
@@ -56,3 +56,82 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   NOT base_failed AND NOT (n_chars >= {limits.min_chars} AND coalesce(dc, 0) > {limits.chars} + {chance(quality.BINS, 'n_chars')})
   AND NOT (n_words >= {limits.min_words} AND coalesce(dw, 0) > {limits.words} + {chance(own, 'n_words')}) AS kept
 FROM judged LEFT JOIN near ON near.r = judged.r"""
+
+
+def mixture(mix) -> str:
+    """The mix, with the budget handed down level by level by window functions."""
+    levels = ("domain", "lang", "source")
+    steps = []
+    for depth, (level, named) in enumerate(zip(levels, (mix.domains, mix.langs, mix.sources))):
+        parents = levels[:depth]
+        keys = ", ".join([*parents, level])
+        by = f"PARTITION BY {', '.join(parents)} " if parents else ""
+        order = f"{by}ORDER BY need, {level} NULLS FIRST"
+        cases = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in named.items())
+        weight = f"CASE {level} {cases} ELSE {mix.rest} END" if cases else str(mix.rest)
+        same = " AND ".join(f"g.{k} IS NOT DISTINCT FROM l.{k}" for k in (*parents, level))
+        steps.append(f"""
+children{depth} AS (SELECT {keys}, sum(cap) AS supply, any_value(budget) AS given_down, CAST({weight} AS HUGEINT) AS w,
+  CAST(sum(cap) AS DOUBLE) / CAST({weight} AS DOUBLE) AS need FROM level{depth} GROUP BY {keys}),
+lined{depth} AS (SELECT *, row_number() OVER ({order}) AS place,
+  given_down - coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+  sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shares FROM children{depth}),
+full{depth} AS (SELECT *, min(place) FILTER (WHERE supply * shares > remaining * w) OVER ({by}) AS first FROM lined{depth}),
+given{depth} AS (SELECT *, max(remaining) FILTER (WHERE place = first) OVER ({by}) AS pool,
+  max(shares) FILTER (WHERE place = first) OVER ({by}) AS pool_shares FROM full{depth}),
+level{depth + 1} AS (SELECT l.domain, l.lang, l.source, l.tokens, l.cap,
+  CASE WHEN supply * shares <= remaining * w THEN supply ELSE pool * w // pool_shares END AS budget
+  FROM level{depth} l JOIN given{depth} g ON {same})""")
+    leaf = "domain, lang, source"
+    same = " AND ".join(f"s.{k} IS NOT DISTINCT FROM d.{k}" for k in levels)
+    return f"""
+WITH d AS (SELECT doc_id, lang, source, regexp_extract(source, '^(.*?[0-9]?)[0-9]?$', 1) AS domain,
+  CAST((coalesce(strlen(text), 0) + 3) // 4 AS BIGINT) AS tokens FROM documents),
+leaves AS (SELECT {leaf}, CAST(sum(tokens) AS HUGEINT) AS tokens FROM d GROUP BY ALL),
+level0 AS (SELECT *, tokens * {mix.max_epochs} AS cap, (SELECT least(sum(tokens) * {mix.budget_percent} // 100, sum(tokens) * {mix.max_epochs})
+  FROM leaves) AS budget FROM leaves),{",".join(steps)},
+plan AS (SELECT {leaf}, budget, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole,
+  CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS part FROM level3),
+placed AS (SELECT d.*, budget, whole, part, md5('{mix.seed}:' || (whole + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM d JOIN plan s ON {same}),
+summed AS (SELECT *, sum(tokens) OVER (PARTITION BY {leaf} ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  - sum(tokens) OVER (PARTITION BY {leaf}, place) AS before FROM placed),
+timed AS (SELECT *, CAST(whole + CASE WHEN part > 0 AND before < part THEN 1 ELSE 0 END AS BIGINT) AS times FROM summed)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(1, times + 1)) AS INTEGER) AS epoch, tokens, CAST(budget AS BIGINT) AS budget FROM timed"""
+
+
+def derivatives() -> str:
+    """Metadata and conversion records of all pages."""
+    def quoted(text):
+        return "E'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\r", "\\r").replace("\n", "\\n") + "'"
+
+    def replaced(text, pattern, sign):
+        return f"regexp_replace({text}, '{pattern}', {quoted(sign)}, 'g')"
+    text = "payload"
+    for pattern, sign in ((warc.HIDDEN, " "), (warc.BLOCK, "\n"), (warc.TAG, "")):
+        text = replaced(text, pattern, sign)
+    for entity, sign in warc.ENTITIES.items():
+        text = f"replace({text}, {quoted(entity)}, {quoted(sign)})"
+    for pattern, sign in warc.GAPS:
+        text = replaced(text, pattern, sign)
+    line = quoted(warc.CRLF)
+
+    def named(kind, target, content):
+        name = f"md5({kind} || '|' || page || '|' || {target} || '|' || sha256({content}))"
+        return (f"'<urn:uuid:' || substr({name}, 1, 8) || '-' || substr({name}, 9, 4) || '-3' || substr({name}, 14, 3) || '-8' || "
+                f"substr({name}, 18, 3) || '-' || substr({name}, 21, 12) || '>'")
+    return f"""
+WITH r AS (SELECT page_id, coalesce(CAST(page_id AS VARCHAR), '') AS page, coalesce(url, '') AS target, coalesce(html, '') AS payload FROM pages),
+made AS (SELECT *, {named("'response'", "target", "payload")} AS refers_to,
+  'HTTP/1.1 200 OK' || {line} || 'Content-Type: text/html; charset=utf-8' || {line} || 'Content-Length: ' || strlen(payload) || {line} AS source_headers,
+  trim({text}, E' \\n') AS words FROM r),
+two AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+    'title: ' || regexp_replace(regexp_extract(payload, '{warc.TITLE}', 1), '{warc._B}+', ' ', 'g') || {line}
+    || 'language: ' || regexp_extract(payload, '{warc.LANGUAGE}', 1) || {line}
+    || 'links: ' || len(regexp_extract_all(payload, '{warc.LINK}')) || {line} || 'payload-length: ' || strlen(payload) || {line}
+    || 'text-length: ' || strlen(words) || {line} AS content FROM made
+  UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', words FROM made)
+SELECT page_id, record_type, {named("record_type", "refers_to", "content")} AS record_id, refers_to, target, '{warc.DATE}' AS date, source_headers,
+  'sha256:' || sha256(payload) AS source_digest, content_type, content, CAST(strlen(content) AS BIGINT) AS content_length,
+  'sha256:' || sha256(content) AS block_digest FROM two"""

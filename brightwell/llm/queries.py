@@ -65,14 +65,14 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op7_mixing")
+@query("op7_mixing", checks.mixture(MIX))
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of the mix, once for every epoch they are taken in."""
     found = mixing.mixed(table(spark, folder, "documents"), MIX)
     return found.select("doc_id", "domain", "lang", "source", "epoch", "tokens", "budget")
 
 
-@query("op8_derivatives")
+@query("op8_derivatives", checks.derivatives())
 def op8_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata and conversion records of every page's response."""
     return warc.build(table(spark, folder, "pages"))

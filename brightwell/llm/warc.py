@@ -23,6 +23,15 @@ from pyspark.sql import functions as F
 # The entities that are turned back into signs. "&amp;" must be last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 CRLF = "\r\n"
+# Patterns that mean the same to both engines: no back-references, blanks spelled out.
+_B = r"[\x20\x09-\x0D]"
+HIDDEN = "(?is)<!--.*?-->|" + "|".join(rf"<{t}\b.*?</{t}{_B}*>" for t in ("script", "style", "noscript", "title"))
+BLOCK = rf"(?i)<br{_B}*/?>|</?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^>]*>"
+TAG = r"<[^>]*>"
+GAPS = ((r"[\x20\x09\x0B-\x0D]+", " "), (r"\x20?\n[\x20\n]*", "\n"))
+TITLE = rf"(?is)<title\b[^>]*>(.*?)</title{_B}*>"
+LANGUAGE = r"(?i)<html\b[^>]*\blang=[\x22\x27]?([A-Za-z-]+)"
+LINK = r"(?i)<a\b[^>]*\bhref="
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -41,13 +50,14 @@ def record_id(kind: str, page: Column, target: Column, content: Column) -> Colum
 def plain_text(html: Column) -> Column:
     """The text of a page: scripts, styles, comments and tags go, blocks end lines,
     entities become signs, and runs of blanks one blank."""
-    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>|<title\b.*?</title\s*>", " ")
-    text = F.regexp_replace(text, r"(?i)<br\s*/?>|</?(p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^>]*>", "\n")
-    text = F.regexp_replace(text, r"<[^>]*>", "")
+    text = F.regexp_replace(html, HIDDEN, " ")
+    text = F.regexp_replace(text, BLOCK, "\n")
+    text = F.regexp_replace(text, TAG, "")
     for entity, sign in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(sign))
-    text = F.regexp_replace(text, r"[\x20\t\r\f\x0B]+", " ")
-    return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    for gap, sign in GAPS:
+        text = F.regexp_replace(text, gap, sign)
+    return F.btrim(text, F.lit(" \n"))
 
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
@@ -68,13 +78,13 @@ def derive(source: DataFrame) -> DataFrame:
     """Two records per response: page_id, record_type, record_id, refers_to, target,
     date, source_headers, source_digest, content_type, content, content_length, block_digest."""
     html = F.col("payload")
-    title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    language = F.regexp_extract(html, r"(?i)<html\b[^>]*\blang=[\x22']?([A-Za-z-]+)", 1)
-    links = F.size(F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*\bhref="), F.lit(0)))
+    title = F.regexp_extract(html, TITLE, 1)
+    language = F.regexp_extract(html, LANGUAGE, 1)
+    links = F.size(F.regexp_extract_all(html, F.lit(LINK), F.lit(0)))
     text = plain_text(html)
     described = source.withColumn("_text", text)
     fields = F.concat(
-        F.lit("title: "), F.regexp_replace(title, r"\s+", " "), F.lit(f"{CRLF}language: "), language,
+        F.lit("title: "), F.regexp_replace(title, f"{_B}+", " "), F.lit(f"{CRLF}language: "), language,
         F.lit(f"{CRLF}links: "), links.cast("string"), F.lit(f"{CRLF}payload-length: "), F.octet_length("payload").cast("string"),
         F.lit(f"{CRLF}text-length: "), F.octet_length("_text").cast("string"), F.lit(CRLF))
     made = F.array(
