@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -130,5 +131,8 @@ def jdbc_batches(connection: Connection, table: str, id_column: str = "batch_id"
 
 
 def _table_is_missing(error: Exception) -> bool:
+    """Whether the database says that a table is missing; a missing driver class or
+    host, which also is "not found", is not that."""
     text = str(error).lower()
-    return "does not exist" in text or "doesn't exist" in text or "not found" in text
+    missing = re.search(r"(table|relation|object)\b.{0,200}?(does not exist|doesn't exist|not found)", text, re.S)
+    return bool(missing) and not re.search(r"classnotfound|no suitable driver|unknown ?host", text)

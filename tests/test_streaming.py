@@ -254,6 +254,13 @@ def test_invoice_lines(spark, tmp_path):
     assert rows(flat, "InvoiceNumber", "City", "ItemCode", "TotalValue") == [("1", "Oslo", "a", 5.0), ("1", "Oslo", "b", None)]
 
 
+@pytest.mark.parametrize("said, missing", [
+    ("Table 'shop.totals' doesn't exist", True), ('relation "totals" does not exist', True), ("Table TOTALS not found", True),
+    ("java.lang.ClassNotFoundException: org.example.Driver, table driver not found", False), ("column x not found", False)])
+def test_only_a_missing_table_counts_as_missing(said, missing):
+    assert sinks._table_is_missing(Exception(said)) is missing
+
+
 def test_messages_for_kafka(feed):
     routes = routing.route(enriched(feed(False), "basic"))
     alert = json.loads(routing.fraud_alerts(routes.high_risk).first()["value"])
