@@ -231,7 +231,8 @@ def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 counts.update(entries(text) if wanted is None else entries(text) & wanted)
-        yield pd.DataFrame({"entry": list(counts), "n": list(counts.values())}).astype({"n": "int64"})
+        if counts:  # a frame without rows would have no text column
+            yield pd.DataFrame({"entry": list(counts), "n": list(counts.values())})
     return rows.select("text").mapInPandas(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
