@@ -9,7 +9,7 @@ marked insult or threat adds its lexicon weight to the sum of its mark, so that
 and words outside a matched clause count nothing.
 
 The lexicon holds seeds and what the labels teach: words and word beginnings that
-stand nearly always in toxic documents, chosen greedily so that each explains
+stand far more often in toxic documents, chosen greedily so that each explains
 documents which those before do not. A logistic curve whose prior is the
 grammar's own weights turns the sums into a score. Both are fitted on about
 ``SAMPLE`` labelled documents, chosen by a hash of the id; nothing but text enters
@@ -40,9 +40,11 @@ SAMPLE = 10_000
 #: Candidate entries looked at, and the least documents an entry must explain.
 CANDIDATES = 20_000
 SUPPORT = 5
-#: Least share of toxic documents among those with an entry, where a clean document
-#: counts three times and one more is added.
-PRECISION = 0.8
+#: Least share of toxic documents among those with an entry, and how often a clean
+#: document counts (one more is added): first for entries that are proof by
+#: themselves, then, for documents these do not explain, for weak ones. Weak entries
+#: have small weights, so it takes several to flag a text.
+PRECISION = ((0.8, 3), (0.4, 1))
 STEMS = range(4, 9)
 THRESHOLD = 0.3
 #: Spellings a worker remembers; beyond that it starts anew.
@@ -246,24 +248,29 @@ def learned(sample: DataFrame) -> dict[str, float]:
     clear = {r["entry"]: r["n"] for r in _counted(clean, frozenset(likely)).collect()}
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count(F.lit(1)).alias("all")).first()
     odds = (totals["all"] - totals["bad"] + 1) / (totals["bad"] + 1)
-    good = frozenset(e for e, n in likely.items() if n / (n + 3 * clear.get(e, 0) + 1) >= PRECISION)
+    grades = [frozenset(e for e, n in likely.items() if n / (n + times * clear.get(e, 0) + 1) >= least)
+              for least, times in PRECISION]
+    good = frozenset().union(*grades)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"found": [sorted(entries(t) & good) for t in batch["text"]]})
-    # Few entries are nearly always toxic, so a row of this bounded sample is short.
+    # Few entries are mostly toxic, so a row of this bounded sample is short.
     sets = [set(r["found"]) for r in toxic.select("text").mapInPandas(run, "found array<string>").collect()]
     chosen: dict[str, float] = {}
-    while True:
-        gain = Counter(e for s in sets for e in s)
+    waiting = list(grades)
+    while waiting:
+        gain = Counter(e for s in sets for e in s & waiting[0])
         most = min(gain, key=lambda e: (-gain[e], len(e), e), default=None)
         if most is None or gain[most] < SUPPORT:
-            return chosen
+            waiting.pop(0)
+            continue
         # The longest spelling of it that explains nearly as much: "=pathetic" rather than "path".
         alike = [e for e in gain if e.lstrip("=").startswith(most.lstrip("=")) and gain[e] >= 0.95 * gain[most]]
         best = max(alike, key=lambda e: (len(e), e))
         chosen[best] = float(np.log((likely[best] + 0.5) / (clear.get(best, 0) + 0.5) * odds))
         sets = [s for s in sets if best not in s]
+    return chosen
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

@@ -137,6 +137,12 @@ def test_learns_words_and_beginnings(spark):
     assert {r.doc_id for r in found.values() if r.held_out} == {i for i in range(1, 201) if zlib.crc32(str(i).encode()) % 4 == 2}
 
 
+def test_counts_bear_texts_without_a_word(spark):
+    rows = spark.createDataFrame([("ab",), ("12 !",), (None,)], "text string").repartition(9, "text")
+    assert {r.entry: r.n for r in toxicity._counted(rows, None).collect()} == {"=ab": 1}
+    assert toxicity._counted(rows, frozenset(["=zz"])).count() == 0
+
+
 def test_held_out_toxicity(spark):
     folder = "/root/testdata/sf0.1"
     docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
