@@ -9,7 +9,7 @@ Links are checkpointed each round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.llm.common import cut_lineage
@@ -33,6 +33,33 @@ def components(links: DataFrame) -> DataFrame:
     return ends.union(links.select("v", "v").distinct())
 
 
+def _hashes(docs: DataFrame) -> list[Column]:
+    values = [*docs.columns, *[F.isnull(c) for c in docs.columns]]
+    return [F.xxhash64(*values).alias("_first"), F.xxhash64(F.lit(1), *values).alias("_second")]
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _first, _second): two hashes that stand for the whole row."""
+    return docs.select("doc_id", "text", *_hashes(docs))
+
+
+def one_of_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Of each label one row of ``docs``: the smallest doc_id (null ones last), then
+    the smallest row in column order. ``labelled`` has (doc_id, _first, _second,
+    label), with the hashes of ``row_keys``, for every row."""
+    lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("_lowest"))
+    best = cut_lineage(labelled.join(lowest, "label").where(F.col("doc_id").eqNullSafe(F.col("_lowest")))
+                       .select("label", "_first", "_second"))
+    sizes = best.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"), F.min("_first").alias("_first"), F.min("_second").alias("_second"))
+    one = sizes.where(F.col("_rows") == 1).select("_first", "_second")
+    more = best.join(sizes.where(F.col("_rows") > 1).select("label"), "label", "left_semi").distinct()
+    # The row travels as one column, so that no name of its own can clash.
+    rows, key = docs.select(F.struct("*").alias("_row"), *_hashes(docs)), ["_first", "_second"]
+    alone = rows.join(one, key, "left_semi").select("_row")
+    first = rows.join(more, key).groupBy("label").agg(F.min("_row").alias("_row")).select("_row")
+    return alone.union(first).select("_row.*")
+
+
 def _relink(links: DataFrame, keep_larger: bool) -> DataFrame:
     """Link neighbours (u, v) of u to the smallest of u and its neighbours."""
     lowest = links.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("low")).select(

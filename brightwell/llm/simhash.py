@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.llm.common import cut_lineage
-from brightwell.llm.components import components
+from brightwell.llm.components import components, one_of_each, row_keys
 
 BUCKET = 64
 SHINGLE = 3
@@ -56,12 +56,17 @@ def simhash(text: str | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, print): the fingerprint of each whole text, as a signed 64-bit number."""
+    """(doc_id, print): the fingerprint of each whole text, as a signed 64-bit number.
+    Columns besides doc_id and text stay."""
+    rest = [f for f in docs.schema if f.name not in ("doc_id", "text")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = np.array([simhash(t) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "print": prints.view(np.int64)})
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, print long")
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "print": prints.view(np.int64),
+                                **{f.name: batch[f.name] for f in rest}})
+    types = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rest)
+    return docs.mapInPandas(run, f"doc_id long, print long{types}")
 
 
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -92,32 +97,31 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def _labelled(prints: DataFrame, bucket: int) -> DataFrame:
+    """(print, first, label): its smallest doc_id and the component of each fingerprint."""
+    nodes = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
+    labels = components(links(nodes.select("print"), bucket))
+    return nodes.join(labels, F.col("print") == F.col("id"), "left").select(
+        F.col("print").alias("_print"), "first", F.coalesce("component", "print").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, print, component_id), one row per input row: component_id is the
     smallest doc_id reachable through links of two or fewer differing bits."""
-    prints = cut_lineage(fingerprints(docs))
-    nodes = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    labels = components(links(nodes.select("print"), bucket))
-    named = nodes.join(labels, F.col("print") == F.col("id"), "left").select(
-        "print", "first", F.coalesce("component", "print").alias("label"))
+    prints = cut_lineage(fingerprints(docs.select("doc_id", "text")))
+    named = _labelled(prints, bucket)
     lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    known = named.join(lowest, "label").select(F.col("print").alias("_print"), "component_id")
+    known = named.join(lowest, "label").select("_print", "component_id")
     return prints.join(known, F.col("print") == F.col("_print")).select("doc_id", "print", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component of near-duplicates, the row with the smallest doc_id.
+def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Of each component of near-duplicates one row, with the columns of ``docs``.
 
-    Rows without a doc_id lose to rows with one. Where a kept doc_id repeats, the
-    smallest of its rows in column order stays. Returns the columns of ``docs``.
+    The row with the smallest doc_id stays; rows without one lose to rows with one,
+    and of several the smallest in column order stays. Components are told apart by
+    their fingerprints, so ids may be null or repeat.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    kept = cut_lineage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")))
-    # The row travels as one column, so that no name of its own can clash.
-    rows = docs.select(F.col("doc_id").alias("_key"), F.struct("*").alias("_row"))
-    same = F.col("_key").eqNullSafe(F.col("_id"))
-    alone = rows.join(kept.where(F.col("_rows") == 1), same, "left_semi").select("_row")
-    repeated = rows.join(kept.where(F.col("_rows") > 1), same, "left_semi")
-    first = repeated.groupBy("_key").agg(F.min("_row").alias("_row")).select("_row")
-    return alone.union(first).select("_row.*")
+    prints = cut_lineage(fingerprints(row_keys(docs)))
+    named = _labelled(prints, bucket).select("_print", "label")
+    return one_of_each(docs, prints.join(named, F.col("print") == F.col("_print")).select("doc_id", "_first", "_second", "label"))

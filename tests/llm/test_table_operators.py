@@ -400,6 +400,17 @@ def test_packing_takes_awkward_rows(spark):
         packing.pack(spark.createDataFrame([(1, 2000)], "doc_id long, length long"))
 
 
+@pytest.mark.parametrize("keep_one", [simhash.keep_one])
+def test_survivors_without_an_id_of_their_own(spark, keep_one):
+    rows = [(None, prose(i, 80), "en", "a", None) for i in range(4)]
+    rows += [(7, prose(10, 80), "en", "a", None), (7, prose(11, 80), "en", "a", None)]
+    rows += [(None, prose(10, 80), "en", "a", None), (None, prose(0, 80), "en", "b", None), (7, prose(11, 80), "en", "a", None)]
+    kept = keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text, r.source) for r in kept) == sorted((r[0] or 0, r[1], r[3]) for r in rows[:6])
+    one = keep_one(spark.createDataFrame([rows[0], rows[4], rows[6]], SCHEMA)).collect()
+    assert sorted(r.doc_id or 0 for r in one) == [0, 7]
+
+
 # Pipeline
 
 def test_stages_keep_the_columns_and_take_effect(spark, given, tmp_path):
