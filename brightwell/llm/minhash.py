@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.llm.common import cut_lineage
-from brightwell.llm.components import components
+from brightwell.llm.components import components, one_of_each, row_keys
 
 HASHES = 64
 SHINGLE = 5
 SEED = 20_240_601
-BANDS = 16
+#: Nodes of one band that are compared pair by pair, and narrower bands for those of larger ones.
+BUCKET = 16
+NARROW = 32
 #: Documents aimed at in a slice of the order, and slices at most.
 SLICE = 8_192
 SLICES = 8_192
@@ -182,41 +184,104 @@ def compared(rows: list[tuple], nexts: list[tuple]) -> pd.DataFrame:
         "near_edited": likeness(own, others), "near_next": likeness(own, np.array([n[1] for n in nexts]))})
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS) -> DataFrame:
-    """(doc_id, component_id): the smallest doc_id reachable through pairs of texts
-    whose shingle sets have a Jaccard similarity of ``threshold`` or more.
+def band_count(threshold: float, most_missed: float = 1e-3) -> int:
+    """Bands, each of HASHES // bands places, by which a pair at ``threshold`` is missed
+    with a chance of ``most_missed`` at most; one for each place if none will do."""
+    for bands in (b for b in range(1, HASHES) if HASHES % b == 0):
+        if (1 - threshold ** (HASHES // bands)) ** bands <= most_missed:
+            return bands
+    return HASHES
+
+
+def _sets(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and items: the sorted distinct shingle hashes of each text."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            items = [np.unique(shingles(t or "")).view(np.int64) for t in batch["text"]]
+            yield pd.DataFrame({**{k: batch[k] for k in keep}, "items": items})
+    types = dict(docs.dtypes)
+    return docs.select(*keep, "text").mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keep) + ", items array<long>")
+
+
+def _bucketed(keyed: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of (key, node) rows, and the nodes of large buckets.
 
-    Texts of the same shingle set are one node. Candidates agree in a band of
-    the signature; each is verified on the sets. With 16 bands of 4 places a pair
-    of similarity 0.8 is a candidate with a chance of 0.9998.
+    All pairs of a bucket of ``bucket`` nodes or fewer; in larger ones each node with
+    one leader, which the key picks.
     """
+    order = F.xxhash64("key", "node")
+    leads = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("h"), F.col("node"))).alias("lead"))
+    shared = cut_lineage(keyed.join(leads.where(F.col("n") > 1).select("key", "n", F.col("lead.node").alias("lead")), "key"))
+    few = shared.where(F.col("n") <= bucket).select("key", "node")
+    pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    large = shared.where(F.col("n") > bucket)
+    stars = large.where(F.col("node") != F.col("lead")).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    return pairs.union(stars), large.select("node").distinct()
+
+
+def _labelled(docs: DataFrame, threshold: float, bands: int | None, bucket: int) -> DataFrame:
+    """(doc_id, _first, _second, label), a row for each of ``docs``: its group."""
+    bands = band_count(threshold) if bands is None else bands
     places = HASHES // bands
+    keys = row_keys(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            prints = signatures(texts)
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"),
-                "items": [np.unique(shingles(t)).view(np.int64).tolist() for t in texts],
-                "keys": [[s[b * places:(b + 1) * places].tobytes() for b in range(bands)] for s in prints]})
-
-    made = docs.select("doc_id", "text").mapInPandas(run, "doc_id long, items array<long>, keys array<binary>")
-    made = cut_lineage(made.withColumn("node", F.sha2(F.array_join("items", ",").cast("binary"), 256)))
-    nodes = made.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("items").alias("items"), F.min("keys").alias("keys"))
-    nodes = cut_lineage(nodes)
-    banded = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    x, y = banded.alias("x"), banded.alias("y")
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                   & (F.col("x.node") < F.col("y.node"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    sets = nodes.select("node", "items")
+                "doc_id": batch["doc_id"].astype("Int64"), "_first": batch["_first"], "_second": batch["_second"],
+                "node": [xxhash.xxh3_128_digest(np.unique(shingles(t)).tobytes()) for t in texts],
+                "sign": [s.tobytes() for s in signatures(texts)]})
+
+    made = cut_lineage(keys.mapInPandas(run, "doc_id long, _first long, _second long, node binary, sign binary"))
+    nodes = made.groupBy("node").agg(F.min(F.struct("_first", "_second")).alias("row"), F.min("sign").alias("sign"))
+    nodes = cut_lineage(nodes.select("node", "row.*", "sign"))
+
+    def keyed(df: DataFrame, groups: Sequence[Sequence[int]]) -> DataFrame:
+        found = [F.xxhash64(F.lit(i), *[F.substring("sign", 4 * p + 1, 4) for p in group]) for i, group in enumerate(groups)]
+        return df.select("node", F.explode(F.array(*found)).alias("key"))
+
+    pairs, crowd = _bucketed(keyed(nodes, [range(b * places, (b + 1) * places) for b in range(bands)]), bucket)
+    # Nodes of large buckets meet again in narrower ones.
+    draw = np.random.default_rng(SEED)
+    narrow = [sorted(draw.choice(HASHES, min(HASHES, 2 * places), replace=False).tolist()) for _ in range(NARROW)]
+    more, _ = _bucketed(keyed(nodes.join(crowd, "node", "left_semi"), narrow), bucket)
+    pairs = cut_lineage(pairs.union(more).distinct())
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    rows = nodes.join(wanted, "node", "left_semi").select("node", "_first", "_second")
+    sets = cut_lineage(_sets(keys.join(rows, ["_first", "_second"]).select("node", "text").dropDuplicates(["node"]), ["node"]))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b"))
     shared = F.size(F.array_intersect("ia", "ib"))
     links = both.where(shared / (F.size("ia") + F.size("ib") - shared) >= threshold).select("a", "b")
     labels = components(links)
-    named = nodes.join(labels, F.col("node") == F.col("id"), "left").select(
-        "node", "first", F.coalesce("component", "node").alias("label"))
-    lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    known = named.join(lowest, "label").select("node", "component_id")
-    return made.join(known, "node").select("doc_id", "component_id")
+    named = nodes.join(labels, F.col("node") == F.col("id"), "left").select("node", F.coalesce("component", "node").alias("label"))
+    return made.drop("sign").join(named, "node").select("doc_id", "_first", "_second", "label")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int | None = None, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, component_id): the smallest doc_id reachable through pairs of texts
+    whose shingle sets have a Jaccard similarity of ``threshold`` or more.
+
+    Texts of the same shingle set are one node. Candidates agree in a band of the
+    signature; each is verified on the sets, so no link is wrong. Unless given, the
+    bands follow from the threshold: at 0.8 there are 16 of 4 places, and a pair of
+    similarity 0.8 is a candidate with a chance of 0.9998.
+
+    A band that more than ``bucket`` nodes share would give pairs by the square of
+    its size. There each node is held against one leader, and all nodes of such
+    bands are dealt anew by ``NARROW`` bands of twice the places, where a pair of
+    similarity 0.8 meets with a chance of about 0.99 (again with one leader in large
+    buckets). So candidates grow with the number of nodes. In large families of
+    near copies a member that is within the threshold of no leader it meets can be missed.
+    """
+    found = _labelled(docs, threshold, bands, bucket)
+    lowest = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return found.join(lowest, "label").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8, bands: int | None = None, bucket: int = BUCKET) -> DataFrame:
+    """Of each group of ``near_duplicates`` one row, with the columns of ``docs``: that
+    of the smallest doc_id (null ones last), and of several the smallest in column order."""
+    return one_of_each(docs, _labelled(docs, threshold, bands, bucket))

@@ -400,7 +400,7 @@ def test_packing_takes_awkward_rows(spark):
         packing.pack(spark.createDataFrame([(1, 2000)], "doc_id long, length long"))
 
 
-@pytest.mark.parametrize("keep_one", [simhash.keep_one])
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, minhash.keep_one])
 def test_survivors_without_an_id_of_their_own(spark, keep_one):
     rows = [(None, prose(i, 80), "en", "a", None) for i in range(4)]
     rows += [(7, prose(10, 80), "en", "a", None), (7, prose(11, 80), "en", "a", None)]
@@ -411,6 +411,39 @@ def test_survivors_without_an_id_of_their_own(spark, keep_one):
     assert sorted(r.doc_id or 0 for r in one) == [0, 7]
 
 
+def varied(seed, n):
+    draw = random.Random(seed)
+    return [f"w{draw.randrange(5000)}" for _ in range(n)]
+
+
+def test_stage_catches_planted_near_copies(spark):
+    draw, texts, kept = random.Random(3), [], []
+    for i in range(60):
+        words = varied(i, draw.choice([100, 300, 900]))
+        copy = list(words)
+        for at in draw.sample(range(len(words)), 1 if len(words) == 100 else 3):
+            copy[at] = "changed"
+        kept.append(len(texts) + 1)
+        texts += [" ".join(words), " ".join(copy)]
+    texts += [" ".join(varied(0, 100)[:50] + varied(900, 50)), prose(1, 200)]
+    kept += [len(texts) - 1, len(texts)]
+    left = corpus_pipeline.near_duplicates(spark, documents(spark, texts), FOLDER)
+    assert sorted(r.doc_id for r in left.collect()) == kept
+
+
+def test_large_families_stay_linear_and_whole(spark):
+    words, draw, texts = varied(1, 400), random.Random(4), []
+    for _ in range(300):
+        copy = list(words)
+        for at in draw.sample(range(400), 4):
+            copy[at] = f"n{draw.randrange(10 ** 6)}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(words[:200] + varied(50 + i, 200)) for i in range(40)]
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert found == {i + 1: 1 if i < 300 else i + 1 for i in range(340)}
+    assert minhash.band_count(0.8) == 16 and minhash.band_count(0.5) == 32
+
+
 # Pipeline
 
 def test_stages_keep_the_columns_and_take_effect(spark, given, tmp_path):
