@@ -9,9 +9,10 @@ have rough histograms, so each test needs a minimum length, and limits widen by
 the distance that chance alone gives a text of that length.
 
 Null text counts as without words: it fails the base rules. Equal rows get equal
-verdicts. Documents of a language that is not listed, or of none, are held
-against all references like any other. Without any reference (an empty table)
-the divergence tests pass. All work on a text is linear but for one sort of its
+verdicts. Any other language with ``LEAST_DOCS`` such documents has a reference too,
+with common words counted from the data; its documents must be near that or one
+of the listed references. Documents of a language without a reference, or of none,
+pass the divergence tests. All work on a text is linear but for one sort of its
 word windows.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightwell.llm.common import BLANK, WORD, cut_lineage, let
@@ -39,6 +40,10 @@ SYMBOLS = CLASSES[3]
 BLANKS = " \t\n\x0b\x0c\r"
 BINS = len(CLASSES) + 3
 MIN_WORDS = 50
+#: Documents of ``MIN_WORDS`` words that make a reference of a language that is not listed,
+#: and common words learned of it.
+LEAST_DOCS = 20
+LEARNED = 16
 
 
 @dataclass(frozen=True)
@@ -144,10 +149,13 @@ def word_histogram(words: Column, common: Sequence[str]) -> Column:
                 F.size(words) - F.octet_length(text)), lambda n: n.cast("long")))
 
 
-def distance(counts: Column, reference: Sequence[int]) -> Column:
+def distance(counts: Column, reference: Sequence[int] | Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of a histogram from a reference."""
-    total = float(sum(reference)) or 1.0
-    other = F.array(*[F.lit(n / total) for n in reference])
+    if isinstance(reference, Column):
+        other = let(F.aggregate(reference, F.lit(0).cast("long"), lambda a, b: a + b), lambda n: F.transform(reference, lambda x: x / n))
+    else:
+        total = float(sum(reference)) or 1.0
+        other = F.array(*[F.lit(n / total) for n in reference])
 
     def part(p: Column, m: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
@@ -197,42 +205,106 @@ def references(figures: DataFrame, name: str) -> dict[str, tuple[list[int], list
     return {lang: both for lang, both in found.items() if sum(both[1])}
 
 
-def nearest(counts: Column, histograms: Sequence[Sequence[int]]) -> Column:
+def own_histogram(words: Column, common: Column) -> Column:
+    """Counts of the words in the array ``common``, and of all other words."""
+    return let(F.filter(words, lambda w: F.array_contains(common, w)), lambda few: F.concat(
+        F.transform(common, lambda c: F.size(F.filter(few, lambda w: w == c)).cast("long")),
+        F.array((F.size(words) - F.size(few)).cast("long"))))
+
+
+def other_references(docs: DataFrame) -> DataFrame | None:
+    """(_lang, _chars, _common, _words) of each language that is not listed but has
+    ``LEAST_DOCS`` long documents; None if there is none. A row per language."""
+    texts = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON_WORDS)).select(
+        F.col("lang").alias("_lang"), F.col("text").alias("_text"), words_of(F.col("text")).alias("_all")).where(F.size("_all") >= MIN_WORDS)
+    sums = [F.sum(F.col("_h")[i]).alias(f"c{i}") for i in range(BINS)]
+    chars = texts.select("_lang", F.size("_all").alias("_n"), char_histogram(F.col("_text")).alias("_h")).groupBy("_lang").agg(
+        F.count(F.lit(1)).alias("_docs"), F.sum("_n").cast("long").alias("_n"), *sums).where(F.col("_docs") >= LEAST_DOCS)
+    chars = cut_lineage(chars.select("_lang", "_n", F.array(*[f"c{i}" for i in range(BINS)]).alias("_chars")))
+    if chars.isEmpty():
+        return None
+    counted = (texts.join(chars.select("_lang"), "_lang", "left_semi").select("_lang", F.explode("_all").alias("_word"))
+               .groupBy("_lang", "_word").agg(F.count(F.lit(1)).alias("_count")))
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.col("_count").desc(), "_word"))
+    top = counted.withColumn("_rank", rank).where(F.col("_rank") <= LEARNED).groupBy("_lang").agg(
+        F.sort_array(F.collect_list(F.struct("_rank", "_word", "_count"))).alias("_top"))
+    return cut_lineage(chars.join(top, "_lang").select(
+        "_lang", "_chars", F.col("_top._word").alias("_common"), F.concat("_top._count", F.array(
+            F.col("_n") - F.aggregate("_top._count", F.lit(0).cast("long"), lambda a, b: a + b))).alias("_words")))
+
+
+def nearest(counts: Column, histograms: Sequence[Sequence[int] | Column]) -> Column:
     """Distance from the nearest reference; 0 if there is none."""
     found = [distance(counts, h) for h in histograms]
     return let(counts, lambda _: F.array_min(F.array(*found))) if found else F.lit(0.0)
 
 
-def divergent(m: Column, known: Mapping[str, tuple[list[int], list[int]]], limits: Limits = Limits()) -> Column:
+def divergent(m: Column, known: Mapping[str, tuple[list[int], list[int]]], limits: Limits = Limits(),
+              lang: Column | None = None, other: tuple[Column, Column, Column] | None = None) -> Column:
     """Whether a measured document is too far from every reference.
 
     By chance alone the squared distance of n draws over k bins from their source
     is about (k - 1) / (8 n ln 2). Of the common words only those of one language
-    are drawn in earnest.
+    are drawn in earnest. With ``lang``, other languages than the listed ones are
+    held against their own reference too, if ``other`` has it (class counts, counts
+    of its words in the document and in the reference; null for none), and pass else.
     """
     n_chars = F.aggregate(m["chars"], F.lit(0).cast("long"), lambda a, b: a + b)
     own = max(len(words.split()) for words in COMMON_WORDS.values()) + 1
 
-    def over(counts: Column, which: int, n: Column, least: int, limit: float, bins: int) -> Column:
-        histograms = [known[k][which] for k in sorted(known)]
+    def over(distance_: Column, n: Column, least: int, limit: float, bins: int) -> Column:
         chance = F.sqrt(F.lit((bins - 1) / (8 * 0.6931471805599453)) / n)
-        return (n >= least) & (nearest(counts, histograms) > limit + limits.chance * chance)
-    return (over(m["chars"], 0, n_chars, limits.min_chars, limits.chars, BINS)
-            | over(m["commons"], 1, m["n_words"], limits.min_words, limits.words, own))
+        return (n >= least) & (distance_ > limit + limits.chance * chance)
+
+    def far(chars: Column, words: Column) -> tuple[Column, Column]:
+        return (over(chars, n_chars, limits.min_chars, limits.chars, BINS),
+                over(words, m["n_words"], limits.min_words, limits.words, own))
+    listed = [[known[k][which] for k in sorted(known)] for which in (0, 1)]
+    chars, words = far(nearest(m["chars"], listed[0]), nearest(m["commons"], listed[1]))
+    if lang is None:
+        return chars | words
+    strange = ~F.coalesce(lang.isin(*COMMON_WORDS), F.lit(False))
+    if other is None:
+        return ~strange & (chars | words)
+    theirs, spoken, reference = other
+    own_chars, own_words = far(distance(m["chars"], theirs), distance(spoken, reference))
+    if not known:  # nothing listed to be near to
+        chars = words = F.lit(True)
+    return F.when(~strange, (chars | words) if known else F.lit(False)).when(theirs.isNull(), F.lit(False)).otherwise(
+        (own_chars & chars) | (own_words & words))
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, the base figures, base_failed and kept for each document."""
-    figures = cut_lineage(docs.select("doc_id", "lang", measure(F.col("text")).alias("m")))
+    others = other_references(docs)
+    m = measure(F.col("text"))
+    if others is None:
+        figures = cut_lineage(docs.select("doc_id", "lang", m.alias("m")))
+    else:
+        rows = docs.select("doc_id", "lang", "text").join(F.broadcast(others), F.col("lang") == F.col("_lang"), "left")
+        figures = cut_lineage(rows.select("doc_id", "lang", m.alias("m"), "_chars", _spoken().alias("_spoken"), "_words"))
     known = references(figures, "m")
+    other = None if others is None else (F.col("_chars"), F.col("_spoken"), F.col("_words"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     return figures.select("doc_id", *[F.col(f"m.{n}").alias(n) for n in names],
-                          (~F.col("m.base_failed") & ~divergent(F.col("m"), known, limits)).alias("kept"))
+                          (~F.col("m.base_failed") & ~divergent(F.col("m"), known, limits, F.col("lang"), other)).alias("kept"))
+
+
+def _spoken() -> Column:
+    return F.when(F.col("_common").isNotNull(), own_histogram(words_of(F.col("text")), F.col("_common")))
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that pass all rules, with the columns of ``docs``."""
     known = references(docs.select("lang", histograms(F.col("text")).alias("h")), "h")
+    others = other_references(docs)
     # One expression, so that a text is measured once: a filter on a column made
     # before would measure it anew for each part of the condition.
-    return docs.where(let(measure(F.col("text")), lambda m: ~m["base_failed"] & ~divergent(m, known, limits)))
+    if others is None:
+        return docs.where(let(measure(F.col("text")), lambda m: ~m["base_failed"] & ~divergent(m, known, limits, F.col("lang"))))
+    # The row travels as one column, so that no name of its own can clash. There are
+    # as many references as languages.
+    rows = docs.select(F.struct("*").alias("_row"), "text", "lang").join(
+        F.broadcast(others), F.col("lang") == F.col("_lang"), "left")
+    return rows.where(let(measure(F.col("text")), lambda m: let(_spoken(), lambda spoken: ~m["base_failed"] & ~divergent(
+        m, known, limits, F.col("lang"), (F.col("_chars"), spoken, F.col("_words")))))).select("_row.*")

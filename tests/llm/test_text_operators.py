@@ -1,6 +1,7 @@
 """Operators on single texts: quality, toxicity, language, personal data, WARC."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -96,6 +97,23 @@ def test_quality_takes_awkward_rows(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("listed", [True, False])
+def test_other_languages_are_held_against_their_own(spark, listed):
+    words = "и в не на я быть он с что а по это она этот к но они мы река камень зима сад бумага окно гора письмо".split()
+    def clean(seed, n=150):
+        draw = random.Random(seed)
+        return " ".join(draw.choice(words) for _ in range(n)) + "."
+    rows = [(i, clean(i), "ru") for i in range(30)] + [(50, clean(50), "bg"), (51, clean(51), None)]
+    rows += [(60, " ".join(f"{w}##" for w in clean(60).split()), "ru"), (61, clean(61, 20), "ru"),
+             (62, " ".join(f"ж{random.Random(i).randrange(10 ** 6)}" for i in range(400)), "ru")]
+    rows += [(100 + i, prose(i, 150), "en") for i in range(40 * listed)]
+    docs = documents(spark, []).select("doc_id", "text", "lang").union(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    wanted = [i for i, *_ in rows if i not in (60, 61, 62)]
+    assert sorted(r.doc_id for r in quality.judge(docs).where("kept").collect()) == wanted
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == wanted
+
+
 def test_clean_labels_are_kept(spark, given, labels):
     found = quality.judge(given).join(labels, "doc_id").where("NOT base_failed").groupBy("quality").agg(
         F.avg(F.col("kept").cast("int")).alias("share"))
