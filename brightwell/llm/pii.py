@@ -113,12 +113,12 @@ class Proposal:
     label: float  # 1, 0, or nan where unknown
 
 
-def _windows(text: str, start: int, end: int, least: int, most: int, reach: int = 10) -> Iterator[tuple[int, int]]:
+def _windows(text: str, start: int, end: int, least: int, most: int) -> Iterator[tuple[int, int]]:
     """Runs of whole digit groups between ``start`` and ``end`` with ``least`` to ``most`` digits."""
     groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, start, end)]
     for i in range(len(groups)):
         total = 0
-        for j in range(i, min(i + reach, len(groups))):
+        for j in range(i, len(groups)):
             total += groups[j][1] - groups[j][0]
             if total > most:
                 break

@@ -261,6 +261,20 @@ def test_broken_matches_are_won_back(spark):
         assert found[i + 1].spans == pii.listed(plain_spans(texts[i]))
 
 
+def test_cards_of_many_groups_are_proposed_and_won_back(spark):
+    def card(i):
+        digits = f"4{i:014d}"
+        return digits + next(str(d) for d in range(10) if pii.luhn(digits + str(d)))
+    texts = [f"{prose(i, 20)} card {card(i * 7919)} paid" for i in range(150)]
+    texts += [f"{prose(i, 20)} card {' '.join(card(i * 7919))} paid" for i in range(150, 300)]
+    broken = [f"pay {' '.join(card(i * 104729 + 13))} 1234 now" for i in range(20)]
+    for text in broken:
+        assert (4, 35) in {(p.start, p.end) for p in pii.proposals(text, list(pii.base_matches(text)))}
+    docs = documents(spark, texts + broken)
+    found = {r.doc_id: r.spans for r in pii.find(docs, pii.fit(docs)).collect()}
+    assert sum("card:4:35" in found[i + 301] for i in range(20)) >= 15
+
+
 def test_base_digest_and_masks(spark):
     docs = documents(spark, ["mail a@b.com or 1.2.3.4", None, ""])
     model = pii.Model(None)
