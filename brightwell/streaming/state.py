@@ -18,22 +18,35 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from brightwell.streaming.combine import with_watermark
 
 
+#: Bits of a filter for each expected key of a period.
+BITS_A_KEY = 12
+
+
 def probably_new(df: DataFrame, keys: list[str], ts: str, keep: str = "1 hour", delay: str = "10 minutes",
-                 buckets: int = 64, bits: int = 1 << 20, hashes: int = 5) -> DataFrame:
+                 buckets: int = 64, bits: int = 1 << 20, hashes: int = 5, expected: int | None = None) -> DataFrame:
     """Rows whose key has probably not been seen within ``keep``.
 
-    Each bucket of keys has a Bloom filter for the current and one for the last
-    period of length ``keep``. A repeated key within ``keep`` is never let through
-    (in arrival order); a new one is held back with the filter's error, about
-    (1 - e^(-hashes n / bits))^hashes for n keys of a bucket in a period. State is
-    ``buckets`` times two bitmaps, however many keys there are. A table is treated
-    as one batch in the order of time; rows without a time are let through and not
-    remembered.
+    On a stream each bucket of keys has a Bloom filter for the current and one for
+    the last period of length ``keep``. A repeated key within ``keep`` is never let
+    through (in arrival order); a new one is held back with the error of the two
+    filters, each about (1 - e^(-hashes n / bits))^hashes for n keys of a bucket in a
+    period. State is ``buckets`` times two bitmaps, however many keys there are. With
+    ``expected`` keys in a period there are at least so many buckets that a filter has
+    ``BITS_A_KEY`` bits a key: an error of about 0.5 % each with 5 hashes.
+
+    A table is treated as one batch in the order of time, and exactly: the first row
+    of a key in a period stays if the key is not in the period before. That takes an
+    aggregate and a join, no filter, so neither many keys nor a hot one cost rows. Rows
+    without a time are let through and not remembered.
     """
+    span = pd.Timedelta(keep)
+    if not df.isStreaming:
+        return _first_of_periods(df, keys, ts, span.value // 1000)
+    if expected is not None:
+        buckets = max(buckets, -(-expected * BITS_A_KEY // bits))
     names = df.columns
     marked = with_watermark(df, ts, delay).withColumn("__hash", F.xxhash64(*keys)).withColumn(
         "__bucket", F.pmod(F.col("__hash"), F.lit(buckets)))
-    span = pd.Timedelta(keep)
 
     def places(value: int) -> list[int]:
         value &= (1 << 64) - 1
@@ -55,12 +68,6 @@ def probably_new(df: DataFrame, keys: list[str], ts: str, keep: str = "1 hour",
                 filters[period][i >> 3] |= 1 << (i & 7)
         return keep_row
 
-    if not df.isStreaming:
-        def once(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values([ts, *[n for n in names if n != ts]], kind="stable")
-            return pdf[sift(pdf, {})][names]
-        return marked.groupBy("__bucket").applyInPandas(once, df.schema)
-
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         filters: dict[int, np.ndarray] = {}
         if state.exists:
@@ -76,6 +83,21 @@ def probably_new(df: DataFrame, keys: list[str], ts: str, keep: str = "1 hour",
         step, df.schema, "periods array<long>, filters array<binary>", "append", GroupStateTimeout.NoTimeout)
 
 
+def _first_of_periods(df: DataFrame, keys: list[str], ts: str, micros: int) -> DataFrame:
+    """The first row of each key in each period, unless the key is in the period before."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    named = [f"k{i}" for i in range(len(keys))]
+    # Nulls last, and the other columns in their order where times are equal.
+    order = F.struct(F.col(ts), *[x for n in df.columns if n != ts for x in (F.isnull(n), F.col(n))])
+    rows = df.where(F.col(ts).isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, named)], ((at - F.pmod(at, F.lit(micros))) / micros).cast("long").alias("period"),
+        F.struct(order.alias("order"), F.struct("*").alias("row")).alias("first"))
+    firsts = rows.groupBy(*named, "period").agg(F.min("first").alias("first"))
+    seen = rows.select(*[F.col(n).alias(f"s{n}") for n in named], (F.col("period") + 1).alias("after")).distinct()
+    same = [F.col(n).eqNullSafe(F.col(f"s{n}")) for n in named] + [F.col("period") == F.col("after")]
+    return firsts.join(seen, same, "left_anti").select("first.row.*").union(df.where(F.col(ts).isNull()))
+
+
 def next_within(df: DataFrame, key: str, ts: str, kind: str, first: str, then: str, within: str,
                 delay: str = "10 minutes") -> DataFrame:
     """(key, first_ts, next_ts) of each ``first`` event whose next event of the key

@@ -358,6 +358,26 @@ def test_approximate_deduplication(spark, tmp_path):
     assert 1900 <= kept.count() <= 2000 and kept.count() == kept.select("id").distinct().count()
 
 
+def test_tables_keep_every_new_key(spark):
+    many = spark.range(3000).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' ELSE 'u' END AS user", "CAST(id % 1500 AS INT) AS id",
+                                        "timestamp'2024-03-01 10:00:00' + make_interval(0,0,0,0,0,0,id % 7) AS ts")
+    kept = state.probably_new(many, ["id"], "ts", buckets=1, bits=1 << 10)
+    assert kept.columns == many.columns and kept.count() == 1500
+    plan = state.probably_new(many, ["user"], "ts")._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and rows(state.probably_new(many, ["user"], "ts").select("user")) == [("hot",), ("u",)]
+    odd = spark.createDataFrame([(None, "2024-03-01 10:00:00", 1), (None, "2024-03-01 10:30:00", 2), ("a", None, 3), ("a", None, 4),
+                                 (None, "2024-03-01 11:10:00", 5), (None, "2024-03-01 13:10:00", 6)], "user string, ts string, id int")
+    fresh = state.probably_new(odd.withColumn("ts", F.col("ts").cast("timestamp")), ["user"], "ts")
+    assert rows(fresh.select("id")) == [(1,), (3,), (4,), (6,)]
+
+
+def test_expected_keys_widen_the_filters(spark, tmp_path):
+    crowd = [[("u", f"10:00:{i % 60:02d}", "view", i) for i in range(2000)]]
+    stream = events_stream(spark, tmp_path / "in", *crowd)
+    fresh = state.probably_new(stream, ["id"], "ts", buckets=1, bits=1 << 12, expected=2000)
+    assert collect_stream(fresh, "s_expected", "append").count() >= 1960
+
+
 def test_sequences_with_a_time_to_live(spark, tmp_path):
     stream = events_stream(spark, tmp_path / "in", *STORY, [("c", "15:40:00", "purchase", 8)])
     found = state.next_within(stream, "user", "ts", "kind", "click", "purchase", "30 minutes")
