@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from brightwell.llm import quality, warc
+import re
+
+from brightwell.llm import chat, quality, warc
 
 
 def _listed(values) -> str:
@@ -135,3 +137,25 @@ two AS (
 SELECT page_id, record_type, {named("record_type", "refers_to", "content")} AS record_id, refers_to, target, '{warc.DATE}' AS date, source_headers,
   'sha256:' || sha256(payload) AS source_digest, content_type, content, CAST(strlen(content) AS BIGINT) AS content_length,
   'sha256:' || sha256(content) AS block_digest FROM two"""
+
+
+def chat_examples() -> str:
+    """Digests of every conversation, from the raw table; only the escape signs are counted as the operator sets them."""
+    template = chat.Template()
+    rests = {}
+    for control in template.controls:
+        rests.setdefault(control[0], []).append(re.escape(control[1:]))
+    broken = "|".join(f"{re.escape(first)}{re.escape(template.escape)}*(?:{'|'.join(rest)})" for first, rest in rests.items())
+    def chars(column):
+        return f"(length({column}) + len(regexp_extract_all({column}, '{broken}')))"
+    marks = len(template.open) + len(template.sep) + len(template.close)
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) s(i)),
+c AS (SELECT *, {marks} + {chars("role")} + {chars("text")} AS chars, role = '{chat.TRAINED}' AS trained FROM t),
+p AS (SELECT *, sum(chars) OVER w AS upto, row_number() OVER w AS place, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS last FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE trained), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE trained), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (WHERE trained OR last) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id"""
