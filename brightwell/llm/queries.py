@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwell.llm import chat, checks, langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
+from brightwell.llm import chat, checks, langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc, whitening
 from brightwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,10 @@ def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.parse(chat.expand(given.unionByName(hostile))))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened values of every embedding by the 16 strongest components."""
+    vectors = whitening.quantised(table(spark, folder, "embeddings"))
+    return whitening.whiten(vectors, whitening.fit(vectors))

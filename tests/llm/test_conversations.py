@@ -1,12 +1,15 @@
 """Operators on conversations and embeddings: chat examples, whitening, prefix tries."""
 
 import hashlib
+import math
 import random
 from collections import defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 
-from brightwell.llm import chat, queries
+from brightwell.llm import chat, queries, whitening
 
 FOLDER = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -105,3 +108,121 @@ def test_chat_query_has_every_conversation(spark):
     given = ordered_turns(tuple(r) for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id", "turn", "role", "text").collect())
     assert set(found) == {*given, -1} and all(found[c].n_turns == len(t) for c, t in given.items())
     assert found[-1].loss_chars == 21 and found[-1].formatted_chars > 2 * 21 + 2 * 21
+
+
+# Whitening
+
+def jacobi(matrix):
+    """Eigenvalues (falling) and vectors by plane rotations in extended precision."""
+    a = matrix.astype(np.longdouble)
+    v = np.eye(len(a), dtype=np.longdouble)
+    for _ in range(30):
+        for p in range(len(a)):
+            for q in range(p):
+                if a[p, q] != 0:
+                    theta = (a[q, q] - a[p, p]) / (2 * a[p, q])
+                    t = (1 if theta >= 0 else -1) / (abs(theta) + np.sqrt(theta * theta + 1))
+                    c = 1 / np.sqrt(t * t + 1)
+                    turn = np.eye(len(a), dtype=np.longdouble)
+                    turn[p, p] = turn[q, q] = c
+                    turn[p, q], turn[q, p] = t * c, -t * c
+                    a, v = turn.T @ a @ turn, v @ turn
+    order = np.argsort(-np.diag(a))
+    return np.diag(a)[order], v[:, order]
+
+
+def orthogonal(seed, d):
+    return np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))[0]
+
+
+@pytest.mark.parametrize("values", [
+    [9, 7, 5, 3, 2, 1, .5, .25], [9, 5 + 3e-9, 5 + 1e-9, 5, 2, 1 + 1e-7, 1, .25], [4, 4 + 1e-5, 4 + 2e-5, 4 + 3e-5, 4 + 4e-5, 1, 1 + 1e-11, 1e-6]])
+def test_refined_vectors_equal_rotations(values):
+    q = orthogonal(3, len(values))
+    matrix = q * values @ q.T
+    matrix = (matrix + matrix.T) / 2
+    got, vectors = whitening.refined(matrix)
+    wanted, plain = jacobi(matrix)
+    assert np.allclose(got, wanted.astype("f8"), rtol=1e-14, atol=1e-15)
+    a = matrix.astype(np.longdouble)
+    assert np.abs(a @ vectors - vectors * got).max() < 4e-15
+    gaps = [min(abs(w - u) for j, u in enumerate(wanted) if j != i) for i, w in enumerate(wanted)]
+    for i, gap in enumerate(gaps):
+        assert abs(abs((plain[:, i].astype("f8") * vectors[:, i]).sum()) - 1) < 1e-15 * 8
+        sign = np.sign((plain[:, i] * vectors[:, i]).sum())
+        assert np.abs(sign * plain[:, i] - vectors[:, i]).max() < 1e-15 + 1e-18 / float(gap) * 10
+
+
+def test_refined_takes_equal_eigenvalues():
+    for matrix in (np.zeros((4, 4)), np.eye(5) * 3, np.diag([2.0, 2, 2, 1]), np.array([[7.0]])):
+        values, vectors = whitening.refined(matrix)
+        assert np.allclose(matrix @ vectors, vectors * values, atol=1e-15) and np.allclose(vectors.T @ vectors, np.eye(len(matrix)), atol=1e-15)
+
+
+EMBEDDINGS = "vec_id long, embedding array<float>, label string"
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame(rows, EMBEDDINGS).selectExpr("*", "'x' AS x", "'y' AS n", "'z' AS component")
+
+
+def plain_whitening(rows, dims):
+    kept = [(i, [math.floor(64 * np.float32(c).astype("f8")) + 10 ** 6 for c in e]) for i, e in rows
+            if e is not None and len(e) == dims and all(c is not None and math.isfinite(c) for c in e)]
+    fitted = sorted({tuple(x) for _, x in kept})
+    n, sums = len(fitted), [sum(c) for c in zip(*fitted)]
+    y = np.array([[float(Fraction(n * a - s, n)) for a, s in zip(x, sums)] for x in fitted])
+    matrix = y.T @ y / n
+    values, vectors = np.linalg.eigh(matrix)
+    return kept, n, sums, values[::-1], vectors[:, ::-1], np.trace(matrix)
+
+
+def test_whitening_equals_plain(spark):
+    draw = np.random.default_rng(1)
+    base = draw.standard_normal((300, 20)) * np.linspace(.05, 2, 20) + 1
+    rows = [(i, [float(c) for c in e]) for i, e in enumerate(base)]
+    rows += [(i, rows[0][1]) for i in range(400, 700)] + [(None, rows[1][1]), (5, rows[5][1])]
+    wrong = [(900, None), (901, []), (902, [None] * 20), (903, [float("nan")] + [0.0] * 19), (904, [float("inf")] + [0.0] * 19), (905, [1.0] * 7)]
+    vectors = whitening.quantised(vectors_of(spark, [(i, e, "a") for i, e in rows + wrong]).repartition(5))
+    found = whitening.whiten(vectors, whitening.fit(vectors)).collect()
+    kept, n, sums, values, columns, trace = plain_whitening(rows, 20)
+    assert len(found) == 16 * len(kept) == 16 * len(rows) and {r.n for r in found} == {n} == {300}
+    by = defaultdict(list)
+    for i, x in kept:
+        by[i].append(x)
+    for r in found:
+        x = by[r.vec_id][0]
+        c = r.component - 1
+        assert r.deviation == sum((n * a - s) ** 2 for a, s in zip(x, sums))
+        wanted = sum(float(Fraction(n * a - s, n)) * v for a, s, v in zip(x, sums, columns[:, c])) / math.sqrt(values[c])
+        assert abs(abs(r.whitened) - abs(wanted)) < 1e-9 and abs(r.explained - values[c] / trace) < 1e-12 and r.identity_error < 1e-9
+    for c in range(16):
+        signs = {np.sign(r.whitened * sum((n * a - s) * v for a, s, v in zip(by[r.vec_id][0], sums, columns[:, c])))
+                 for r in found if r.component == c + 1 and abs(r.whitened) > 1e-6}
+        assert len(signs) == 1
+
+
+def test_whitening_takes_little_and_large(spark):
+    one = whitening.quantised(vectors_of(spark, [(1, [1.0, 2.0], "a"), (2, [1.0, 2.0], "a")]))
+    assert whitening.whiten(one, whitening.fit(one)).count() == 0
+    none = whitening.quantised(vectors_of(spark, [(1, None, "a")]))
+    empty = whitening.whiten(none, whitening.fit(none))
+    assert empty.count() == 0 and empty.columns == whitening.whiten(one, None).columns
+    two = whitening.quantised(vectors_of(spark, [(1, [1.0, 2.0], "a"), (2, [1.0, 3.0], "a")]))
+    found = whitening.whiten(two, whitening.fit(two)).collect()
+    assert [(r.vec_id, r.component, abs(r.whitened), r.explained, r.deviation) for r in found] == [(1, 1, 1, 1, 64 ** 2), (2, 1, 1, 1, 64 ** 2)]
+    huge = whitening.quantised(vectors_of(spark, [(1, [3e38, 1.0], "a"), (2, [-3e38, 2.0], "a"), (3, [0.0, 0.0], "a")]))
+    found = whitening.whiten(huge, whitening.fit(huge)).collect()
+    assert len(found) == 3 and {r.deviation for r in found if r.vec_id < 3} == {None} and found[0].identity_error < 1e-9
+
+
+def test_whitening_query_on_the_given_table(spark):
+    found = queries.op12_whitening(spark, FOLDER).collect()
+    given = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
+    kept, n, sums, values, columns, trace = plain_whitening(given, len(given[0][1]))
+    assert len(found) == 16 * len(kept) and {r.n for r in found} == {n}
+    whole = dict(kept)
+    for r in found[:500]:
+        c = r.component - 1
+        wanted = sum(float(Fraction(n * a - s, n)) * v for a, s, v in zip(whole[r.vec_id], sums, columns[:, c])) / math.sqrt(values[c])
+        assert abs(abs(r.whitened) - abs(wanted)) < 1e-8 and r.identity_error < 1e-9
