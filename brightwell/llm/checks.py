@@ -159,3 +159,30 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE trained), '')) AS loss_sha256,
   CAST(sum(upto) FILTER (WHERE trained OR last) AS BIGINT) AS formatted_chars
 FROM p GROUP BY conv_id"""
+
+
+def trie_nodes() -> str:
+    """Nodes by the prefixes themselves. The checksum of a conversation id goes bit by bit."""
+    bits = ", ".join(["-1"] * 8)
+    crc = f"""xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), {bits}])),
+  lambda held, x: CASE WHEN x >= 0 THEN xor(held, x) WHEN held % 2 = 1 THEN xor(held // 2, 3988292384) ELSE held // 2 END, 4294967295), 4294967295)"""
+    return f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (SELECT n.conv_id, n.conv_id - n.conv_id % 5 AS base, {crc.replace("conv_id", "n.conv_id")} % 9 AS h, n.n, coalesce(b.n, 0) AS base_n
+  FROM n LEFT JOIN n b ON b.conv_id = n.conv_id - n.conv_id % 5),
+r AS (SELECT c.conv_id, t.i + 1 AS depth, role, text FROM c JOIN t ON t.conv_id = c.base AND t.i < c.h
+  UNION ALL SELECT c.conv_id, least(h, base_n) + t.i - h + 1, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i >= c.h),
+m AS (SELECT conv_id, depth, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path,
+    strlen(text) AS bytes, depth = least(h, base_n) + greatest(0, n - h) AS ends FROM r JOIN c USING (conv_id)
+  UNION ALL SELECT conv_id, 0, [], 0, least(h, base_n) + greatest(0, n - h) = 0 FROM c),
+nodes AS MATERIALIZED (SELECT path, min(conv_id) AS conv_id, max(depth) AS depth, count(*) AS n_convs, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY path),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (SELECT path[1:d] AS path, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved FROM (
+    SELECT nodes.path, n_convs, bytes, children.n IS NULL AS leaf, unnest(range(0, depth + 1)) AS d FROM nodes LEFT JOIN children USING (path)) GROUP BY ALL)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes above ON nodes.depth > 0 AND above.path = nodes.path[1:nodes.depth - 1]"""

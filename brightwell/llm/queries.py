@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwell.llm import chat, checks, langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, warc, whitening
+from brightwell.llm import chat, checks, langid, minhash, mixing, packing, pii, quality, sharding, simhash, toxicity, trie, warc, whitening
 from brightwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,9 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Whitened values of every embedding by the 16 strongest components."""
     vectors = whitening.quantised(table(spark, folder, "embeddings"))
     return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query("op13_trie", checks.trie_nodes())
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return trie.trie(table(spark, folder, "conversations"))

@@ -3,13 +3,15 @@
 import hashlib
 import math
 import random
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from brightwell.llm import chat, queries, whitening
+from brightwell.llm import chat, queries, trie, whitening
 
 FOLDER = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -226,3 +228,89 @@ def test_whitening_query_on_the_given_table(spark):
         c = r.component - 1
         wanted = sum(float(Fraction(n * a - s, n)) * v for a, s, v in zip(whole[r.vec_id], sums, columns[:, c])) / math.sqrt(values[c])
         assert abs(abs(r.whitened) - abs(wanted)) < 1e-8 and r.identity_error < 1e-9
+
+
+# Prefix trie
+
+def plain_trie(rows):
+    """All nodes from the rebuilt texts themselves."""
+    own = ordered_turns([r for r in rows if r[0] is not None])
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(math.fmod(c, 5))
+        path = tuple(own.get(base, [])[:h] + own[c][h:])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+        ends[path].append(c)
+    children, leaves, saved = Counter(p[:-1] for p in members if p), Counter(), Counter()
+    for path, of in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(of) - 1) * len(path[-1][1].encode()) if path else 0
+    return sorted((of[0], len(p), members[p[:-1]][0] if p else None, len(of), children[p], leaves[p], saved[p],
+                   hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest()) for p, of in members.items())
+
+
+def conversations_with_copies(seed, n=90):
+    """Conversations of few different turns, so that many share prefixes; one is long."""
+    draw, rows = random.Random(seed), []
+    for c in range(n):
+        if c % 10 == 7:
+            continue
+        turns = 60 if c == 11 else draw.randrange(1, 12)
+        for i in range(turns):
+            rows.append((c, None if i == 0 and c % 4 == 0 else i, draw.choice(["user", "user", None]), draw.choice(["a", "b", "é", None]) if i else "hello"))
+    return rows + [(None, 1, "user", "x"), (-3, 0, "user", "hello"), (500, 0, None, None), (501, 0, "", ""), (1001, 3, "user", "same"), (1001, 3, "user", "same")]
+
+
+def nodes_of(df):
+    return sorted(tuple(r[c] for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"))
+                  for r in df.collect())
+
+
+@pytest.mark.parametrize("seed, slices", [(1, None), (2, 30)])
+def test_trie_equals_plain_one(spark, seed, slices):
+    rows = conversations_with_copies(seed)
+    df = talk(spark, rows, extra=True)
+    assert nodes_of(trie.trie(df, slices=slices)) == plain_trie(rows)
+
+
+def test_trie_of_one_conversation_in_many_slices(spark):
+    rows = [(5, i, "user", f"turn {i % 7}") for i in range(400)] + [(6, i, "user", f"turn {i % 7}") for i in range(9)]
+    assert nodes_of(trie.trie(talk(spark, rows), slices=25)) == plain_trie(rows)
+    assert trie.trie(talk(spark, rows).limit(0)).count() == 0
+
+
+def test_weak_hashes_are_found_out(spark, monkeypatch):
+    rows, strong = conversations_with_copies(3, 40), trie._hashes
+    weak = [F.lit(k).cast("long").alias(f"t{k}") for k in (1, 2)]
+    tried = []
+    def hashes(seed):
+        tried.append(seed)
+        return weak if seed == 0 else strong(seed)
+    monkeypatch.setattr(trie, "_hashes", hashes)
+    assert nodes_of(trie.trie(talk(spark, rows))) == plain_trie(rows) and set(tried) == {0, 1}
+
+
+def test_weak_fingerprints_are_found_out(spark, monkeypatch):
+    rows, strong = conversations_with_copies(4, 40), trie.bases
+    monkeypatch.setattr(trie, "bases", lambda seed: (1, 1) if seed == 0 else strong(seed))
+    stored = trie.stored_turns(talk(spark, rows), 0)
+    rule = trie.Rule(head=lambda c: F.lit(0))
+    assert not trie.verified(trie.grouped(trie.rebuilt(stored, rule, 0)), talk(spark, rows), 0)
+
+
+def test_numbers_of_the_fingerprints():
+    draw = random.Random(1)
+    a, b = [draw.randrange(trie.P) for _ in range(500)] + [0, trie.P - 1], [draw.randrange(trie.P) for _ in range(500)] + [trie.P - 1] * 2
+    for got, plain in ((trie.times(a, b), lambda x, y: x * y), (trie.plus(a, b), lambda x, y: x + y), (trie.minus(a, b), lambda x, y: x - y)):
+        assert got.tolist() == [plain(x, y) % trie.P for x, y in zip(a, b)]
+    assert trie.powers(7 ** 20, 50).tolist() == [pow(7 ** 20, i, trie.P) for i in range(50)]
+    base, run = trie.bases(0), lambda ts: (len(ts), *(sum(t * pow(b, i, trie.P) for i, t in enumerate(ts)) % trie.P for b in trie.bases(0)))
+    assert trie.combine(run(a[:7]), run(a[7:20]), base) == run(a[:20]) and trie.combine((0, 0, 0), run(a), base) == run(a)
+
+
+def test_trie_query_on_the_given_table(spark):
+    given = spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    assert nodes_of(queries.op13_trie(spark, FOLDER)) == plain_trie([tuple(r) for r in given.collect()])
