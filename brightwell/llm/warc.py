@@ -12,7 +12,9 @@ a repeated task or run gives the same records. ``write`` writes records as gzip
 A null page counts as empty and a null target as the empty text; both still give
 records. Pages that repeat give records with the same identifier, as they are
 the same capture. An empty table gives no records. Extra columns are ignored.
-All is done by DataFrame functions; each step is linear in the page.
+A comment, script, style, noscript or title that nothing closes lasts to the end of
+the page, and a tag without an end is text. All is done by DataFrame functions;
+each step is linear in the page, also where it is full of tags that do not close.
 """
 
 from __future__ import annotations
@@ -20,31 +22,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brightwell.llm.common import let
+
 # The entities that are turned back into signs. "&amp;" must be last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 CRLF = "\r\n"
 # Patterns that mean the same to both engines: no back-references, blanks spelled out.
 _B = r"[\x20\x09-\x0D]"
-HIDDEN = "(?is)<!--.*?-->|" + "|".join(rf"<{t}\b.*?</{t}{_B}*>" for t in ("script", "style", "noscript", "title"))
-BLOCK = rf"(?i)<br{_B}*/?>|</?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^>]*>"
-TAG = r"<[^>]*>"
-GAPS = ((r"[\x20\x09\x0B-\x0D]+", " "), (r"\x20?\n[\x20\n]*", "\n"))
-TITLE = rf"(?is)<title\b[^>]*>(.*?)</title{_B}*>"
-LANGUAGE = r"(?i)<html\b[^>]*\blang=[\x22\x27]?([A-Za-z-]+)"
-LINK = r"(?i)<a\b[^>]*\bhref="
+# Each begins with one sign that is tested alone, and ends at the end of the page or at the next tag if
+# nothing closes it, so that no opener is read twice, whatever the page holds.
+HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(
+    rf"{t}\b.*?(?:</{t}{_B}*>|\z)" for t in ("script", "style", "noscript", "title")) + ")"
+BLOCK = (rf"(?i)<(?:br{_B}*/?>|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)"
+         r"\b[^<>]*>)")
+TAG = r"<[^<>]*>"
+GAPS = ((r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " "), (r"\x20?\n[\x20\n]*", "\n"))
+TITLE = rf"(?is)<title\b[^<>]*>(.*?)(?:</title{_B}*>|\z)"
+LANGUAGE = r"(?i)<html\b[^<>]*?\blang=[\x22\x27]?([A-Za-z-]+)"
+LINK = r"(?i)<a\b[^<>]*?\bhref="
 DATE = "2024-01-01T00:00:00Z"
 
 
-def digest(content: Column) -> Column:
-    return F.concat(F.lit("sha256:"), F.sha2(content.cast("binary"), 256))
+def sha256(content: Column) -> Column:
+    return F.sha2(content.cast("binary"), 256)
+
+
+def named(sha: Column) -> Column:
+    return F.concat(F.lit("sha256:"), sha)
 
 
-def record_id(kind: str, page: Column, target: Column, content: Column) -> Column:
-    """A name-based URN in the form of a UUID."""
-    name = F.md5(F.concat_ws("|", F.lit(kind), page, target, F.sha2(content.cast("binary"), 256)).cast("binary"))
-    parts = [F.substring(name, at, size) for at, size in ((1, 8), (9, 4), (14, 3), (18, 3), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), parts[0], F.lit("-"), parts[1], F.lit("-3"), parts[2], F.lit("-8"), parts[3],
-                    F.lit("-"), parts[4], F.lit(">"))
+def record_id(kind: Column, page: Column, target: Column, sha: Column) -> Column:
+    """A name-based URN in the form of a UUID; ``sha`` is the digest of the content."""
+    def urn(name: Column) -> Column:
+        parts = [F.substring(name, at, size) for at, size in ((1, 8), (9, 4), (14, 3), (18, 3), (21, 12))]
+        return F.concat(F.lit("<urn:uuid:"), parts[0], F.lit("-"), parts[1], F.lit("-3"), parts[2], F.lit("-8"), parts[3],
+                        F.lit("-"), parts[4], F.lit(">"))
+    return let(F.md5(F.concat_ws("|", kind, page, target, sha).cast("binary")), urn)
 
 
 def plain_text(html: Column) -> Column:
@@ -70,8 +83,12 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     block = F.concat(F.col("headers"), F.lit(CRLF), F.col("payload"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     return rows.select("page_id", "target", F.lit(date).alias("date"), "headers", "payload",
-                       record_id("response", page, F.col("target"), F.col("payload")).alias("record_id"),
-                       digest(F.col("payload")).alias("payload_digest"), digest(block).alias("block_digest"))
+                       # Both names of the content come from one pass over it.
+                       let(sha256(F.col("payload")), lambda sha: F.struct(
+                           record_id(F.lit("response"), page, F.col("target"), sha).alias("record_id"),
+                           named(sha).alias("payload_digest"))).alias("_names"),
+                       named(sha256(block)).alias("block_digest")).select(
+        "page_id", "target", "date", "headers", "payload", "_names.*", "block_digest")
 
 
 def derive(source: DataFrame) -> DataFrame:
@@ -94,12 +111,12 @@ def derive(source: DataFrame) -> DataFrame:
     both = described.select("page_id", F.col("record_id").alias("refers_to"), "target", "date", F.col("headers").alias("source_headers"),
                             F.col("payload_digest").alias("source_digest"), F.inline(made))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    own = [F.when(F.col("record_type") == kind, record_id(kind, page, F.col("refers_to"), F.col("content")))
-           for kind in ("metadata", "conversion")]
-    return both.select(
-        "page_id", "record_type", F.coalesce(*own).alias("record_id"), "refers_to", "target", "date", "source_headers",
+    names = let(sha256(F.col("content")), lambda sha: F.struct(
+        record_id(F.col("record_type"), page, F.col("refers_to"), sha).alias("record_id"), named(sha).alias("block_digest")))
+    return both.withColumn("_names", names).select(
+        "page_id", "record_type", "_names.record_id", "refers_to", "target", "date", "source_headers",
         "source_digest", "content_type", "content", F.octet_length("content").cast("long").alias("content_length"),
-        digest(F.col("content")).alias("block_digest"))
+        "_names.block_digest")
 
 
 def build(pages: DataFrame, date: str = DATE) -> DataFrame:

@@ -1,9 +1,12 @@
 """Operators on whole tables: sharding, fingerprints, near-duplicates, mixing, packing, pipeline."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -373,8 +376,19 @@ def test_fullest_combination(seed):
     assert sum(size * n for size, n in used.items()) == max(reach)
 
 
-def test_plan_places_every_piece_once():
-    draw = random.Random(3)
+def fewest(counts, capacity):
+    """A proven lower bound of sequences, by Fekete and Schepers' dual feasible functions: a length
+    counts as the share of it that k equal parts of a sequence can hold."""
+    whole = [sum(Fraction(s * n, capacity) for s, n in counts.items())]
+    for k in range(1, 100):
+        whole.append(sum(n * (Fraction(s, capacity) if (k + 1) * s % capacity == 0 else Fraction((k + 1) * s // capacity, k))
+                         for s, n in counts.items()))
+    return math.ceil(max(whole))
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_plan_places_every_piece_once(seed):
+    draw = random.Random(seed)
     counts = Counter(draw.choice([draw.randrange(1, 65), 64, 7]) for _ in range(5000))
     fill, given_out = Counter(), Counter()
     for size, first, past, sequence, uses, at in packing.plan(counts, 64):
@@ -383,7 +397,8 @@ def test_plan_places_every_piece_once():
         for rank in range(past - first):
             fill[sequence + rank // uses] += size
     assert given_out == counts and max(fill.values()) <= 64
-    assert len(fill) <= -(-sum(s * n for s, n in counts.items()) // 64) + 1
+    # The sum of lengths alone would allow fewer than any plan can reach here (2737 and 2741 for seed 3).
+    assert fewest(counts, 64) <= len(fill) <= fewest(counts, 64) + 3
 
 
 def test_packing_takes_awkward_rows(spark):
@@ -444,6 +459,18 @@ def test_large_families_stay_linear_and_whole(spark):
     assert minhash.band_count(0.8) == 16 and minhash.band_count(0.5) == 32
 
 
+def plain_families(texts):
+    """Smallest id reachable through pairs whose sets of five-word shingles are 0.8 alike, by all pairs."""
+    def shingles(text):
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", words)
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+    sets, ids = {i: shingles(t) for i, t in texts.items()}, sorted(texts)
+    def alike(a, b):
+        return len(a & b) >= .8 * len(a | b)
+    return groups([(a, b) for n, a in enumerate(ids) for b in ids[:n] if alike(sets[a], sets[b])], ids)
+
+
 # Pipeline
 
 def test_stages_keep_the_columns_and_take_effect(spark, given, tmp_path):
@@ -457,9 +484,7 @@ def test_stages_keep_the_columns_and_take_effect(spark, given, tmp_path):
     kept = {r.doc_id for r in quality.judge(given).where("kept").collect()}
     assert sizes[1] == len(kept) < sizes[0]
     after = {r.doc_id: r.text for r in spark.read.parquet(str(tmp_path / "0")).collect()}
-    prints = {i: plain_simhash(t) for i, t in after.items()}
-    ids = sorted(prints)
-    lowest = groups([(a, b) for i, a in enumerate(ids) for b in ids[:i] if (prints[a] ^ prints[b]).bit_count() <= 2], ids)
+    lowest = plain_families(after)
     assert {r.doc_id for r in spark.read.parquet(str(tmp_path / "1")).collect()} == set(lowest.values())
     clean = spark.read.parquet(str(tmp_path / "2")).collect()
     assert sizes[3] == sizes[2] and any("[EMAIL]" in r.text for r in clean) and not any(pii.base_spans(r.text) for r in clean)

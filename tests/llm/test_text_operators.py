@@ -1,6 +1,7 @@
 """Operators on single texts: quality, toxicity, language, personal data, WARC."""
 
 import hashlib
+import time
 import random
 import re
 import zlib
@@ -350,3 +351,11 @@ def test_warc_takes_awkward_rows(spark):
     assert found.count() == 2 * len(rows)
     assert found.where("record_id IS NULL OR content IS NULL OR block_digest IS NULL").count() == 0
     assert warc.build(made.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["<!-- ", "<script ", "<", "<title>", "<title ", "<html ", "<a ", "</script ", "<br ", "<p ", "-", " \t", "&lt;"])
+def test_pages_full_of_openers_are_linear(spark, piece):
+    page = "<p>before</p>" + piece * (1_000_000 // len(piece))
+    begin = time.time()
+    found = {r.record_type: r for r in warc.build(pages(spark, [(1, "http://a/", page)])).collect()}
+    assert time.time() - begin < 20 and found["conversion"].content.startswith("before")
