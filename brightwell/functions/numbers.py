@@ -62,3 +62,17 @@ def count_when(condition: Column | str) -> Column:
 
 def sum_when(condition: Column | str, value: Column | str) -> Column:
     return F.sum(F.when(_col(condition), _col(value)).otherwise(0))
+
+
+def sample_deviation(n: Column | str, total: Column | str, squares: Column | str) -> Column:
+    """Sample standard deviation from a count, a sum and a sum of squares (decimals of four
+    and eight digits), which merge; NULL for fewer than two values.
+
+    The difference of the two large terms is taken on decimals, exactly, while they fit
+    into 38 digits, and on doubles beyond."""
+    n, total, squares = _col(n), _col(total), _col(squares)
+    short = total.try_cast("decimal(18,4)")
+    exact = n.try_cast("decimal(10,0)") * squares.try_cast("decimal(27,8)") - short * short
+    rough = n * squares.cast("double") - total.cast("double") * total.cast("double")
+    spread = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
+    return F.sqrt(F.try_divide(spread, n.cast("double") * (n - 1)))

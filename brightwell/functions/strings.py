@@ -26,7 +26,8 @@ CATEGORY_SPELLINGS = (
 # The characters that separate words, those of Unicode included.
 WHITE_SPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
                "\u2028\u2029\u202f\u205f\u3000")
-BLANKS = f"[{WHITE_SPACE}]+"
+#: The same characters as a pattern: the white space of Unicode, and four separators that are not part of it.
+BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def strip(text: Column) -> Column:

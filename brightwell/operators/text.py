@@ -64,7 +64,9 @@ def word_lengths(df: DataFrame, text: str) -> DataFrame:
 def bigrams(df: DataFrame, text: str) -> DataFrame:
     """Neighbouring words of one line, with counts; pairs never cross a line end."""
     lines = df.select(F.explode(F.split(F.lower(F.col(text)), "\n")).alias("line"))
-    split = lines.select(words(F.col("line")).alias("w")).where(F.size("w") > 1)
+    # A line of one word gives empty slices. A condition on their number would be pushed
+    # below the split, and each line would be split twice.
+    split = lines.select(words(F.col("line")).alias("w"))
     n = F.size("w") - 1
     pairs = F.arrays_zip(F.slice("w", 1, n).alias("first_word"), F.slice("w", 2, n).alias("second_word"))
     return (split.select(F.inline(pairs).alias("first_word", "second_word"))

@@ -3,7 +3,8 @@
 Input columns: event_timestamp, transaction_type, channel, country, city,
 merchant, account_id, amount_usd, transaction_fee, is_high_value,
 is_international, risk_score. All functions return unsorted rows and run on a
-table or a stream. Columns whose values are listed (``known``) are counted by
+table or a stream. Sliding reports on a table come from panes (``panes.sliding``),
+so no row is repeated for each window. Columns whose values are listed (``known``) are counted by
 bit masks. Other distinct counts are exact on a table and estimates with bounded
 state on a stream, but for countries, cities and channels in the fraud report,
 whose score needs exact counts: without a list it keeps their sets.
@@ -25,6 +26,7 @@ from brightwell.functions.numbers import (
     percent,
     ratio,
     round_half_up,
+    sample_deviation,
     sum_when,
 )
 from brightwell.operators.aggregate import (
@@ -37,6 +39,7 @@ from brightwell.operators.aggregate import (
     percentiles,
     value_masks,
 )
+from brightwell.streaming.panes import State, sliding
 
 TS = "event_timestamp"
 NOTHING: Mapping[str, Sequence] = {}
@@ -202,21 +205,46 @@ def running_totals(df: DataFrame) -> DataFrame:
         distinct_count(df, "account_id").alias("unique_customers"))
 
 
+def slid(df: DataFrame, size: str, slide: str, keys: Sequence[str], states: Mapping[str, State],
+         distinct: Mapping[str, str], where: Column | None = None) -> DataFrame:
+    """Sliding windows: from panes on a table; on a stream, which keeps one state for
+    each window and key anyway, by Spark's own windows."""
+    if not df.isStreaming:
+        return sliding(df, size, slide, keys, states, distinct, where)
+    metrics = {name: state.aggregate for name, state in states.items()}
+    metrics |= {name: distinct_count(df, column) for name, column in distinct.items()}
+    found = windowed(df, size, keys, metrics, slide)
+    return found if where is None else found.where(where)
+
+
+def usd_states() -> dict[str, State]:
+    """What most sliding reports merge: rows, amounts and risk."""
+    return {"__n": State(rows()), "__usd": State(F.sum(USD)), "__usd_n": State(F.count(USD)),
+            "__low": State(F.min(USD), "min"), "__high": State(F.max(USD), "max"),
+            "__risk": State(F.sum("risk_score")), "__risk_n": State(F.count("risk_score"))}
+
+
+def mean_usd() -> Column:
+    return ratio("__usd", "__usd_n")
+
+
+def mean_risk() -> Column:
+    return round_half_up(ratio("__risk", "__risk_n"), 1)
+
+
 def moving_averages(df: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Moving mean and volatility by type."""
-    spread = F.stddev_samp(F.col(USD).cast("double"))
-    return windowed(df, size, ["transaction_type"], {
-        "transaction_count": rows(), "moving_avg_amount": round_half_up(mean(USD)),
-        "total_volume": round_half_up(_usd_sum()),
-        "min_amount": round_half_up(F.min(USD)), "max_amount": round_half_up(F.max(USD)),
-        "amount_stddev": round_half_up(spread),
-        "unique_customers": distinct_count(df, "account_id"),
-        "avg_risk_score": round_half_up(mean("risk_score"), 1),
-        "first_event": F.min(TS), "last_event": F.max(TS),
-        "volatility_pct": percent(spread, mean(USD)),
-    }, slide).withColumns({
-        "start_time": F.date_format("window_start", "HH:mm:ss"),
-        "end_time": F.date_format("window_end", "HH:mm:ss")})
+    square = F.col(USD).cast("decimal(18,4)") * F.col(USD).cast("decimal(18,4)")
+    spread = sample_deviation("__usd_n", "__usd", "__squares")
+    states = {**usd_states(), "__squares": State(F.sum(square)), "first_event": State(F.min(TS), "min"), "last_event": State(F.max(TS), "max")}
+    return slid(df, size, slide, ["transaction_type"], states, {"unique_customers": "account_id"}).select(
+        "window_start", "window_end", "transaction_type",
+        F.col("__n").alias("transaction_count"), round_half_up(mean_usd()).alias("moving_avg_amount"),
+        round_half_up("__usd").alias("total_volume"), round_half_up("__low").alias("min_amount"),
+        round_half_up("__high").alias("max_amount"), round_half_up(spread).alias("amount_stddev"),
+        "unique_customers", mean_risk().alias("avg_risk_score"), "first_event", "last_event",
+        percent(spread, mean_usd()).alias("volatility_pct"),
+        F.date_format("window_start", "HH:mm:ss").alias("start_time"), F.date_format("window_end", "HH:mm:ss").alias("end_time"))
 
 
 def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seconds",
@@ -227,78 +255,72 @@ def fraud_windows(df: DataFrame, size: str = "10 minutes", slide: str = "30 seco
     that is not listed costs a set of its values per window and account.
     """
     seen = {"country": "countries_list", "city": None, "channel": "channels_list"}
-    metrics, counts, lists = {}, {}, {}
-    for column, listed in seen.items():
+    states, counts, lists, distinct = {}, {}, {}, {}
+    for column in (*seen, "merchant"):
         values = sorted(known.get(column, ()))
         if values:
-            masks = {f"__{column}{i}": mask for i, mask in enumerate(value_masks(column, values))}
-            metrics |= masks
+            masks = {f"__{column}{i}": State(mask, "or") for i, mask in enumerate(value_masks(column, values))}
+            states |= masks
             counts[f"{column}_count"] = masked_count([F.col(name) for name in masks])
             found = masked_values([F.col(name) for name in masks], values)
+        elif column == "merchant":
+            distinct["merchant_count"] = column
         else:
-            metrics[f"__{column}"] = F.array_sort(F.collect_set(column))
+            states[f"__{column}"] = State(F.array_sort(F.collect_set(column)), "set")
             counts[f"{column}_count"] = F.size(f"__{column}").cast("long")
             found = F.col(f"__{column}")
-        if listed:
-            lists[listed] = F.array_join(found, ",")
-    activity = windowed(df, size, ["account_id"], {
-        "transaction_count": rows(), "usd": _usd_sum(), **metrics,
-        "merchant_count": few_distinct(df, "merchant", known.get("merchant")),
-        "high_value_count": count_when("is_high_value"),
-        "avg_risk_score": round_half_up(mean("risk_score"), 1),
-        "max_amount": round_half_up(F.max(USD)),
-        "first_ts": F.min(TS), "last_ts": F.max(TS),
-    }, slide).withColumns(counts)
+        if seen.get(column):
+            lists[seen[column]] = F.array_join(found, ",")
+    states |= {**usd_states(), "high_value_count": State(count_when("is_high_value")),
+               "__first": State(F.min(TS), "min"), "__last": State(F.max(TS), "max")}
     # Points per sign of fraud.
     score = points([
-        (F.col("transaction_count") >= 10, 30), (F.col("country_count") >= 3, 25),
-        (F.col("usd") >= 10_000, 20), (F.col("high_value_count") >= 3, 15),
-        (F.col("channel_count") >= 3, 10)])
-    return (activity.withColumn("fraud_score", score).where(F.col("fraud_score") >= min_score)
+        (F.col("__n") >= 10, 30), (counts["country_count"] >= 3, 25), (F.col("__usd") >= 10_000, 20),
+        (F.col("high_value_count") >= 3, 15), (counts["channel_count"] >= 3, 10)])
+    activity = slid(df, size, slide, ["account_id"], states, distinct, score >= min_score)
+    return (activity.withColumns({**counts, "fraud_score": score, "transaction_count": F.col("__n")})
             .withColumns({
-                **lists,
+                **lists, "avg_risk_score": mean_risk(), "max_amount": round_half_up("__high"),
                 "fraud_level": at_least(F.col("fraud_score"), FRAUD_LEVELS, "MINIMAL"),
-                "total_amount": round_half_up("usd"),
-                "avg_amount_per_txn": round_half_up(ratio("usd", "transaction_count")),
+                "total_amount": round_half_up("__usd"), "avg_amount_per_txn": round_half_up(ratio("__usd", "__n")),
                 "activity_span_minutes": round_half_up(
-                    seconds_between(F.col("first_ts"), F.col("last_ts")) / F.lit(60.0), 1)})
-            .drop("usd", "first_ts", "last_ts", *metrics))
+                    seconds_between(F.col("__first"), F.col("__last")) / F.lit(60.0), 1)})
+            .select("window_start", "window_end", "account_id", "transaction_count", *[f"{c}_count" for c in seen], "merchant_count",
+                    "high_value_count", "avg_risk_score", "max_amount", "fraud_score", *lists, "fraud_level", "total_amount",
+                    "avg_amount_per_txn", "activity_span_minutes"))
 
 
 def velocity_windows(df: DataFrame, size: str = "3 minutes", slide: str = "30 seconds") -> DataFrame:
     """Rates per minute by country and channel."""
     per_minute = (F.unix_timestamp("window_end") - F.unix_timestamp("window_start")) / F.lit(60.0)
-    return windowed(df, size, ["country", "channel"], {
-        "txn_count": rows(), "usd": _usd_sum(),
-        "unique_accounts": distinct_count(df, "account_id"),
-        "peak": F.max(USD), "min_amount": round_half_up(F.min(USD)),
-    }, slide).withColumns({
-        "time_range": _time_range("HH:mm", "-"),
-        "volume": round_half_up("usd"),
-        "txn_per_minute": round_half_up(F.col("txn_count") / per_minute, 1),
-        "volume_per_minute": round_half_up(F.col("usd").cast("double") / per_minute),
-        "customers_per_minute": round_half_up(F.col("unique_accounts") / per_minute, 1),
-        "peak_amount": round_half_up("peak"),
-        "peak_to_avg_ratio": round_half_up(
-            ratio(F.col("peak").cast("double") * F.col("txn_count"), "usd"), 1),
-        "velocity_level": at_least(F.col("txn_count") / per_minute, VELOCITY_LEVELS, "LOW"),
-    }).drop("usd", "peak")
+    found = slid(df, size, slide, ["country", "channel"], usd_states(), {"unique_accounts": "account_id"})
+    return found.select(
+        "window_start", "window_end", "country", "channel", F.col("__n").alias("txn_count"), "unique_accounts",
+        round_half_up("__low").alias("min_amount"), _time_range("HH:mm", "-").alias("time_range"),
+        round_half_up("__usd").alias("volume"),
+        round_half_up(F.col("__n") / per_minute, 1).alias("txn_per_minute"),
+        round_half_up(F.col("__usd").cast("double") / per_minute).alias("volume_per_minute"),
+        round_half_up(F.col("unique_accounts") / per_minute, 1).alias("customers_per_minute"),
+        round_half_up("__high").alias("peak_amount"),
+        round_half_up(ratio(F.col("__high").cast("double") * F.col("__n"), "__usd"), 1).alias("peak_to_avg_ratio"),
+        at_least(F.col("__n") / per_minute, VELOCITY_LEVELS, "LOW").alias("velocity_level"))
 
 
 def trend_windows(df: DataFrame, size: str = "15 minutes", slide: str = "5 minutes",
                   known: Mapping[str, Sequence] = NOTHING) -> DataFrame:
     """Mix, channel share, risk and customers over a sliding window."""
-    mix = {f"{kind}_pct": percent(count_when(F.col("transaction_type") == kind), rows())
-           for kind in MIX_TYPES}
-    shares = {f"{channel}_volume_pct": percent(_usd_sum(F.col("channel") == channel), _usd_sum())
-              for channel in ("online", "mobile", "atm")}
-    return windowed(df, size, [], {
-        "total_transactions": rows(), "total_volume": round_half_up(_usd_sum()),
-        "avg_amount": round_half_up(mean(USD)), **mix, **shares,
-        "avg_risk_score": round_half_up(mean("risk_score"), 1),
-        "high_value_pct": percent(count_when("is_high_value"), rows()),
-        "countries_active": few_distinct(df, "country", known.get("country")),
-        "unique_customers": distinct_count(df, "account_id"),
-    }, slide).withColumns({
-        "start_time": F.date_format("window_start", "HH:mm"),
-        "txn_per_customer": round_half_up(ratio("total_transactions", "unique_customers"), 1)})
+    parts = {f"__{kind}": State(count_when(F.col("transaction_type") == kind)) for kind in MIX_TYPES}
+    shares = ("online", "mobile", "atm")
+    parts |= {f"__{channel}": State(_usd_sum(F.col("channel") == channel)) for channel in shares}
+    masks = {f"__country{i}": State(m, "or") for i, m in enumerate(value_masks("country", known["country"]))} if known.get("country") else {}
+    distinct = {"unique_customers": "account_id"} | ({} if masks else {"countries_active": "country"})
+    found = slid(df, size, slide, [], {**usd_states(), **parts, **masks, "__high_value": State(count_when("is_high_value"))}, distinct)
+    if masks:
+        found = found.withColumn("countries_active", masked_count([F.col(name) for name in masks]))
+    return found.select(
+        "window_start", "window_end", F.col("__n").alias("total_transactions"), round_half_up("__usd").alias("total_volume"),
+        round_half_up(mean_usd()).alias("avg_amount"), *[percent(f"__{kind}", "__n").alias(f"{kind}_pct") for kind in MIX_TYPES],
+        *[percent(f"__{channel}", "__usd").alias(f"{channel}_volume_pct") for channel in shares], mean_risk().alias("avg_risk_score"),
+        percent("__high_value", "__n").alias("high_value_pct"), "countries_active", "unique_customers",
+        F.date_format("window_start", "HH:mm").alias("start_time"),
+        round_half_up(ratio("__n", "unique_customers"), 1).alias("txn_per_customer"))
