@@ -13,7 +13,7 @@ from brightwell.functions.numbers import money, n_rows, round_half_up
 from brightwell.operators.aggregate import attach_by_key
 from brightwell.plans import derived
 from brightwell.plans.registry import query, sql_count, sql_mean, sql_percent, sql_ratio, sql_round
-from brightwell.streaming import combine, decode, latency, routing, rules, state, windows
+from brightwell.streaming import combine, decode, latency, patterns, routing, rules, state, windows
 
 AS_DOUBLE = ("transaction_fee", "tax_amount", "amount_usd", "net_amount")
 
@@ -497,6 +497,41 @@ def interval_join(t):
         F.col("b.right_ts").alias("purchase_ts"))
 
 
+def _outer_join(how):
+    def build(t):
+        events = t.events.select("user_id", "event_id", "ts", "event_type")
+        joined = combine.join_within(events.where("event_type = 'click'"), events.where("event_type = 'purchase'"),
+                                     "user_id", "ts", "ts", "2 HOURS", how=how)
+        return joined.select(F.coalesce("user_id", "right_user_id").alias("user_id"), F.col("event_id").alias("click_id"),
+                             F.col("right_event_id").alias("purchase_id"))
+    return build
+
+
+for _how in ("left", "right", "full"):
+    query(f"interval_join_{_how}", f"""
+SELECT coalesce(a.user_id, b.user_id) AS user_id, a.event_id AS click_id, b.event_id AS purchase_id
+FROM (SELECT * FROM events WHERE event_type = 'click') a {_how.upper()} JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
+ON a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 2 HOURS""")(_outer_join(f"{_how}_outer"))
+
+
+FUNNEL = (patterns.Step("view", "event_type = 'view'"), patterns.Step("click", "event_type = 'click' AND value > 10"),
+          patterns.Step("purchase", "event_type = 'purchase'"))
+
+
+@query("three_step_pattern", """
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events),
+n AS (SELECT *, min(CASE WHEN event_type = 'click' AND value > 10 THEN place END) OVER w AS next_click,
+  min(CASE WHEN event_type = 'purchase' THEN place END) OVER w AS next_purchase FROM e
+  WINDOW w AS (PARTITION BY user_id ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT a.user_id, a.ts AS view_ts, a.event_id AS view_event_id, b.ts AS click_ts, b.event_id AS click_event_id,
+  c.ts AS purchase_ts, c.event_id AS purchase_event_id
+FROM n a JOIN n b ON b.user_id = a.user_id AND b.place = a.next_click JOIN n c ON c.user_id = a.user_id AND c.place = b.next_purchase
+WHERE a.event_type = 'view' AND c.ts <= a.ts + INTERVAL 3 DAYS""")
+def three_step_pattern(t):
+    """A view, then a click of some value, then a purchase, within three days."""
+    return patterns.find(t.events, "user_id", "ts", "event_id", FUNNEL, "3 days")
+
+
 @query("merged_streams", f"""
 SELECT origin, count(*) AS n_rows, {sql_round('sum(CAST(value AS DECIMAL(18,2)))')} AS total_value FROM (
   SELECT 0 AS origin, value FROM events WHERE event_type = 'purchase'

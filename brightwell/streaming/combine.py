@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.operators.relational import keep_first, union_all
+from brightwell.operators.skew import attach
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -37,30 +38,61 @@ def join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     instead of being paired row by row.
 
     Both sides get a watermark, so stream state older than the bound is dropped.
-    The right columns come back as ``right_<name>``. ``how`` is inner or
-    left_outer; on streams unmatched rows come once the watermark has passed. A
-    right or full outer join would report the copy of a right row that was offered
-    to the other bucket as unmatched.
+    The right columns come back as ``right_<name>``. ``how`` is inner, left_outer,
+    right_outer or full_outer; on streams unmatched rows come once the watermark has
+    passed. Of the side that is kept whole each row is in one bucket, as a copy that
+    found no partner in the other bucket would be reported as unmatched: for
+    right_outer it is the left rows that are offered twice. full_outer adds to the
+    left outer join the right rows without a partner. On tables these need no second
+    join of the rows: whether a partner exists follows from the first and the last
+    time of the left rows in a bucket.
     """
-    if how not in ("inner", "left_outer"):
-        raise ValueError("join_within supports inner and left_outer joins")
+    if how not in ("inner", "left_outer", "right_outer", "full_outer"):
+        raise ValueError("how must be inner, left_outer, right_outer or full_outer")
     span = F.expr(f"INTERVAL {within}")
     start = F.lit("1970-01-01").cast("timestamp_ntz")
     seconds = F.unix_timestamp(start + span) - F.unix_timestamp(start)
 
     def bucket(ts):
         return F.floor(F.unix_timestamp(ts) / seconds)
+    a = with_watermark(left, left_ts, delay)
     renamed = right.withColumnsRenamed({name: f"right_{name}" for name in right.columns})
-    a = with_watermark(left, left_ts, delay).withColumn("__bucket", bucket(left_ts)).alias("a")
     b = with_watermark(renamed, f"right_{right_ts}", delay)
-    here = bucket(f"right_{right_ts}")
-    b = b.withColumn("__right_bucket", F.explode(F.array(here, here - 1))).alias("b")
-    condition = (
-        (F.col(f"a.{key}") == F.col(f"b.right_{key}"))
-        & (F.col("a.__bucket") == F.col("b.__right_bucket"))
-        & (F.col(f"b.right_{right_ts}") >= F.col(f"a.{left_ts}"))
-        & (F.col(f"b.right_{right_ts}") <= F.col(f"a.{left_ts}") + span))
-    return a.join(b, condition, how).drop("__bucket", "__right_bucket")
+    here, there = bucket(left_ts), bucket(f"right_{right_ts}")
+
+    def joined(kind: str) -> DataFrame:
+        twice = kind == "right_outer"
+        x = a.withColumn("__bucket", F.explode(F.array(here, here + 1)) if twice else here).alias("a")
+        y = b.withColumn("__right_bucket", there if twice else F.explode(F.array(there, there - 1))).alias("b")
+        condition = (
+            (F.col(f"a.{key}") == F.col(f"b.right_{key}"))
+            & (F.col("a.__bucket") == F.col("b.__right_bucket"))
+            & (F.col(f"b.right_{right_ts}") >= F.col(f"a.{left_ts}"))
+            & (F.col(f"b.right_{right_ts}") <= F.col(f"a.{left_ts}") + span))
+        return x.join(y, condition, kind).drop("__right_bucket")
+    if how != "full_outer":
+        return joined(how).drop("__bucket")
+    whole = joined("left_outer").drop("__bucket")
+    if left.isStreaming or right.isStreaming:
+        alone = joined("right_outer").where(F.col("__bucket").isNull()).drop("__bucket")
+    else:
+        alone = _without_partner(a, b, key, left_ts, right_ts, here, there, span)
+        alone = alone.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in a.schema], *b.columns)
+    return whole.unionByName(alone)
+
+
+def _without_partner(a: DataFrame, b: DataFrame, key: str, left_ts: str, right_ts: str, here: Column, there: Column, span: Column) -> DataFrame:
+    """Right rows that follow no left row of their key in time. A bucket is as long as the
+    bound: a left row of the same bucket is near enough if it is not later, one of the
+    bucket before if it is late enough."""
+    edges = a.groupBy(F.col(key).alias("__key"), here.alias("__at")).agg(F.min(left_ts).alias("__first"), F.max(left_ts).alias("__last"))
+    edges = edges.where(F.col("__key").isNotNull() & F.col("__at").isNotNull())
+    rows = b.withColumns({"__key": F.col(f"right_{key}"), "__at": there})
+    rows = attach(rows, edges.select("__key", "__at", "__first"), ["__key", "__at"])
+    rows = attach(rows, edges.select("__key", (F.col("__at") + 1).alias("__at"), "__last"), ["__key", "__at"])
+    moment = F.col(f"right_{right_ts}")
+    partner = (F.col("__first") <= moment) | (F.col("__last") >= moment - span)
+    return rows.where(~F.coalesce(partner, F.lit(False))).select(*b.columns)
 
 
 def unique_events(df: DataFrame, keys: Sequence[str], ts: str | None = None,

@@ -1,9 +1,11 @@
 """Streams must give what tables give; late rows, restarts and routing."""
 
+import dataclasses
 import datetime as dt
 import json
 import os
 import pathlib
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -13,7 +15,7 @@ from brightwell.operators import text
 from brightwell.session import STREAM_DEFAULTS
 from brightwell.sinks import streams as sinks
 from brightwell.sources import streams as sources
-from brightwell.streaming import combine, decode, latency, routing, rules, run, state, windows
+from brightwell.streaming import combine, decode, latency, patterns, routing, rules, run, state, windows
 from tests.conftest import at, rows
 
 ENVELOPE = "key STRING, value STRING, topic STRING, partition INT, offset LONG, timestamp TIMESTAMP"
@@ -316,11 +318,12 @@ def test_interval_joins(spark, tmp_path):
         ("a", at("10:10:00")), ("a", at("10:10:00")), ("b", at("10:45:00"))]
 
 
-@pytest.mark.parametrize("how", ["inner", "left_outer"])
+@pytest.mark.parametrize("how", ["inner", "left_outer", "right_outer", "full_outer"])
 def test_bucketed_interval_join_equals_the_plain_one(spark, how):
     df = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS user",
                                      "timestamp_seconds((id * 7919) % 20000) AS ts", "id")
-    left, right = df.where("id % 2 = 0"), df.where("id % 2 = 1 OR id % 10 = 0")
+    odd = spark.sql("SELECT CAST(NULL AS BIGINT) AS user, timestamp_seconds(5) AS ts, 900L AS id UNION ALL SELECT 1L, CAST(NULL AS TIMESTAMP), 901L")
+    left, right = df.where("id % 2 = 0").union(odd), df.where("id % 2 = 1 OR id % 10 = 0").union(odd)
     got = combine.join_within(left, right, "user", "ts", "ts", "17 minutes", how=how)
     other = right.selectExpr("user AS right_user", "ts AS right_ts", "id AS right_id")
     plain = left.join(other, F.expr("user = right_user AND right_ts BETWEEN ts AND ts + INTERVAL 17 MINUTES"), how)
@@ -335,6 +338,84 @@ def test_outer_interval_join_emits_the_lonely_rows(spark, tmp_path):
     assert (2, None) in got and (1, 3) in got
 
 
+@pytest.mark.parametrize("how", ["right_outer", "full_outer"])
+def test_right_and_full_interval_joins_of_streams(spark, tmp_path, how):
+    """Rows of a batch later than the watermark are dropped; the others give what a table gives."""
+    late = [("a", "10:20:00", "purchase", 90), ("b", "09:00:00", "click", 91)]
+    folder = tmp_path / "in"
+    def both(moment, i):  # the watermark follows the slower side
+        return [("d", f"{moment}:00", "click", i), ("d", f"{moment}:00", "view", i + 1)]
+    stream = events_stream(spark, folder, *STORY, both("20:00", 80), both("20:10", 82), late, both("23:00", 84), both("23:50", 86))
+    kinds = ("kind = 'click'", "kind <> 'click'")
+    joined = combine.join_within(*[stream.where(k) for k in kinds], "user", "ts", "ts", "30 minutes", "1 minute", how)
+    got = rows(collect_stream(joined.select("id", "right_id"), f"s_{how}", "append"))
+    table = spark.read.schema(EVENT).json(str(folder)).where("id < 80")
+    plain = rows(combine.join_within(*[table.where(k) for k in kinds], "user", "ts", "ts", "30 minutes", how=how).select("id", "right_id"))
+    assert [r for r in got if max(v or 0 for v in r) < 80] == plain and not {90, 91} & {v for r in got for v in r}
+    assert ({(2, None)} <= set(plain)) == (how == "full_outer") and (1, 3) in plain and (None, 5) in plain
+
+
+STEPS = [patterns.Step("view", "kind = 'view'"), patterns.Step("click", "kind = 'click' AND id % 3 > 0"), patterns.Step("buy", "kind = 'purchase'")]
+
+
+def plain_matches(events, steps, span):
+    """Matches by a walk over each user's ordered events."""
+    tests = {"view": lambda e: e[2] == "view", "click": lambda e: e[2] == "click" and e[3] % 3 > 0, "buy": lambda e: e[2] == "purchase"}
+    found = []
+    for user in {e[0] for e in events}:
+        line = sorted((e for e in events if e[0] == user), key=lambda e: (e[1], e[3]))
+        for i, first in enumerate(line):
+            run, at = [first], i
+            if not tests[steps[0].name](first):
+                continue
+            for step in steps[1:]:
+                later = range(at + 1, min(at + 2, len(line)) if step.strict else len(line))
+                at = next((j for j in later if tests[step.name](line[j])), None)
+                if at is None:
+                    break
+                run.append(line[at])
+            if len(run) == len(steps) and run[-1][1] <= first[1] + span:
+                found.append((user, *[v for e in run for v in (e[1], e[3])]))
+    return found
+
+
+def many_events(n, seed):
+    draw = random.Random(seed)
+    made = []
+    for i in range(n):
+        moment = at("06:00:00") + dt.timedelta(seconds=30 * draw.randrange(600))
+        made.append((draw.choice("aaab"), moment, draw.choice(["view", "click", "purchase"]), i))
+    return made
+
+
+@pytest.mark.parametrize("strict, slices", [(False, None), (False, 40), (True, None)])
+def test_patterns_on_tables_equal_a_plain_walk(spark, strict, slices):
+    steps = [*STEPS[:2], dataclasses.replace(STEPS[2], strict=strict)]
+    made = many_events(300, 3)
+    df = spark.createDataFrame([*made, ("a", None, "view", 900), (None, at("06:00:00"), "view", 901)], "user string, ts timestamp, kind string, id int")
+    got = patterns.find(df, "user", "ts", "id", steps, "20 minutes", slices=slices)
+    wanted = plain_matches(made, steps, dt.timedelta(minutes=20))
+    assert got.columns == ["user", "view_ts", "view_id", "click_ts", "click_id", "buy_ts", "buy_id"]
+    assert rows(got) == sorted(wanted, key=lambda r: [(v is None, str(v)) for v in r]) and len(wanted) > 10
+    assert patterns.find(df.limit(0), "user", "ts", "id", steps, "1 hour").count() == 0
+    with pytest.raises(ValueError):
+        patterns.find(df, "user", "ts", "id", [STEPS[0], STEPS[0]], "1 hour")
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_patterns_on_streams_replay_in_order(spark, tmp_path, strict):
+    steps = [*STEPS[:2], dataclasses.replace(STEPS[2], strict=strict)]
+    made = many_events(160, 5)
+    random.Random(1).shuffle(made)
+    batches = [[(u, t.strftime("%H:%M:%S"), k, i) for u, t, k, i in made[b::4]] for b in range(4)]
+    end = [[("z", "23:00:00", "view", 990)], [("z", "23:30:00", "view", 991)], [("a", "07:00:00", "view", 992)]]
+    stream = events_stream(spark, tmp_path / "in", *batches, *end)
+    found = patterns.find(stream, "user", "ts", "id", steps, "20 minutes", delay="6 hours")
+    got = rows(collect_stream(found, f"s_pattern_{strict}", "append"))
+    wanted = plain_matches(made, steps, dt.timedelta(minutes=20))
+    assert got == sorted(wanted, key=lambda r: [(v is None, str(v)) for v in r]) and len(wanted) > 5
+
+
 def test_deduplication(spark, tmp_path):
     stream = events_stream(spark, tmp_path / "in", *STORY, [("a", "15:31:00", "purchase", 3)])
     bounded = combine.unique_events(stream, ["user", "id"], "ts", "10 minutes")
