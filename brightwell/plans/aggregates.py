@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from brightwell.functions.bands import DISTANCE_GROUPS, below, first_match
 from brightwell.functions.numbers import mean, money, n_rows, round_half_up, total
 from brightwell.operators import aggregate as agg
-from brightwell.operators import ordered, skew
+from brightwell.operators import ordered, rollups, skew
 from brightwell.plans.registry import (
     SQL_REVENUE,
     query,
@@ -20,7 +22,7 @@ from brightwell.plans.registry import (
     sql_total,
 )
 from brightwell.plans.relational import revenue
-from brightwell.session import cut_lineage
+from brightwell.session import checkpoint_folder, cut_lineage
 
 
 _GLOBAL_SQL = f"""SELECT count(*) AS n_rows, {sql_total(sql_money('l_extendedprice'))} AS sum_l_extendedprice,
@@ -500,3 +502,62 @@ def salted_join(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("suppkey"), "l_quantity")
     joined = skew.salted_join(lines, t.supplier.select(F.col("s_suppkey").alias("suppkey"), "s_nationkey"), "suppkey")
     return joined.groupBy("s_nationkey").agg(n_rows().alias("n_rows"), total(money("l_quantity")).alias("sum_qty"))
+
+
+def _rollup(t, keys, metrics):
+    return rollups.Rollup(t.spark, f"{checkpoint_folder(t.spark)}/rollup-{uuid.uuid4().hex}", keys, metrics)
+
+
+@query("sketch_rollup", """
+WITH e AS (SELECT event_type, date_trunc('month', ts) AS month, user_id FROM events)
+SELECT event_type, CAST(month AS DATE) AS month, count(*) AS n_events, count(DISTINCT user_id) AS users, TRUE AS users_are_close,
+  TRUE AS median_is_close FROM e GROUP BY GROUPING SETS ((event_type, month), (event_type), ())""")
+def sketch_rollup(t):
+    """Daily sketches, stored and merged to months, types and all. Estimates of users lie
+    within three standard errors, medians within three per cent of the ranks."""
+    daily = _rollup(t, ["event_type", "day"], {
+        "n_events": rollups.Metric("count"), "estimate": rollups.Metric("approx_distinct", "user_id"),
+        "median": rollups.Metric("approx_quantile", "value")})
+    daily.apply(1, t.events.withColumn("day", F.to_date("ts")))
+    month = F.trunc("day", "month")
+    exact = t.events.withColumn("month", F.trunc(F.to_date("ts"), "month"))
+    made = []
+    for keys in (["event_type", "month"], ["event_type"], []):
+        merged = daily.read(keys, {"month": month} if "month" in keys else None)
+        # One row for each group of the report; beside it each event is held once.
+        sides = exact.select(*keys, "user_id", "value").withColumn("__all", F.lit(0)).join(
+            merged.select(*keys, "median").withColumn("__all", F.lit(0)), [*keys, "__all"])
+        known = sides.groupBy(*keys, "__all").agg(
+            F.count_distinct("user_id").alias("users"), F.count("value").alias("n_values"),
+            F.count_if(F.col("value") < F.col("median")).alias("below"), F.count_if(F.col("value") <= F.col("median")).alias("upto"))
+        both = merged.withColumn("__all", F.lit(0)).join(known, [*keys, "__all"])
+        rank = F.col("n_values") * F.lit(0.5)
+        made.append(both.select(
+            *[F.col(k) if k in keys else F.lit(None).cast(kind).alias(k) for k, kind in (("event_type", "string"), ("month", "date"))],
+            "n_events", "users", (F.abs(F.col("estimate") - F.col("users")) <= 3 * rollups.DISTINCT_ERROR * F.col("users") + 1).alias("users_are_close"),
+            ((F.col("below") - 0.03 * F.col("n_values") - 1 <= rank) & (F.col("upto") + 0.03 * F.col("n_values") + 1 >= rank)).alias("median_is_close")))
+    return made[0].union(made[1]).union(made[2])
+
+
+@query("incremental_metrics", f"""
+SELECT event_type, count(*) AS n_events, {sql_total('CAST(value AS DECIMAL(18,2))')} AS total_value,
+  min(CAST(value AS DECIMAL(18,2)))::DOUBLE AS least, max(CAST(value AS DECIMAL(18,2)))::DOUBLE AS most,
+  count(DISTINCT user_id) AS users, max(ts) AS last_ts FROM events GROUP BY event_type""")
+def incremental_metrics(t):
+    """Events in four increments. Some come with a wrong value and user first, which a later
+    increment takes back; one increment is sent again, and states are compacted between."""
+    kept = _rollup(t, ["event_type"], {
+        "n_events": rollups.Metric("count"), "total_value": rollups.Metric("sum", "amount"), "least": rollups.Metric("min", "amount"),
+        "most": rollups.Metric("max", "amount"), "users": rollups.Metric("distinct", "user_id"), "last_ts": rollups.Metric("max", "ts")})
+    events = t.events.select("event_type", "event_id", "user_id", "ts", money("value").alias("amount"))
+    odd = F.col("event_id") % 10 == 0
+    wrong = events.withColumns({"amount": F.when(odd, F.col("amount") + 1000).otherwise(F.col("amount")),
+                                "user_id": F.when(odd, -F.col("event_id")).otherwise(F.col("user_id"))})
+    part = F.col("event_id") % 3
+    for number in (1, 2):
+        kept.apply(number, wrong.where(part == number - 1))
+    kept.compact()
+    kept.apply(3, wrong.where(part == 2))
+    kept.apply(4, events.where(odd), retracted=wrong.where(odd))
+    kept.apply(2, wrong.where(part == 1))
+    return kept.read().withColumns({name: F.col(name).cast("double") for name in ("total_value", "least", "most")})
