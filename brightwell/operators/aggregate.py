@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightwell.functions.numbers import mean, money, percent, ratio, round_half_up, total
+from brightwell.session import cut_lineage
 
 
 def profile(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
@@ -111,13 +112,13 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[
 
     Equal values are counted first. Values fall into ranges on a logarithmic
     scale; the counts of a key's ranges tell in which range each point lies, and
-    only the values of these ranges are put in order. No task sorts a whole key,
-    and nothing runs before the result is asked for.
+    only the values of these ranges are put in order. No task sorts a whole key.
+    The counts are checkpointed, so the rows are read once.
     """
     number = F.col(value).cast("double")
     scale = F.signum(number) * F.floor(F.log2(F.abs(number) + 1) * RANGES_PER_OCTAVE)
-    counts = (df.withColumn("__range", scale).groupBy(*keys, "__range", value)
-              .agg(F.count(value).alias("__n")))
+    counts = cut_lineage(df.select(*keys, value).withColumn("__range", scale).groupBy(*keys, "__range", value)
+                         .agg(F.count(value).alias("__n")))
     per_range = counts.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
     line = Window.partitionBy(*keys).orderBy("__range")
     ranges = per_range.withColumns({

@@ -44,8 +44,11 @@ def ordered_columns(df: DataFrame, order_by: Sequence[Column | str], wanted: Wan
                     partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Add the wanted window columns. ``slices`` is the number of shuffle partitions
     unless given."""
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _sliced(df, list(partition_by), order_by, wanted, slices)
+    return _sliced(df, list(partition_by), order_by, wanted, slices or _shuffle_partitions(df))
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _window_columns(window, wanted: Wanted) -> dict[str, Column]:
@@ -60,21 +63,30 @@ def _window_columns(window, wanted: Wanted) -> dict[str, Column]:
 
 
 def _sliced(df, keys, order_by, wanted, slices):
-    sort = [F.col(key) for key in keys] + list(order_by)
-    sliced = cut_lineage(
-        df.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
-        .withColumn("__pos", F.monotonically_increasing_id())
-        .withColumn("__slice", F.shiftright("__pos", _INDEX_BITS)))
-    index = F.col("__pos").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
-
-    carry = _carry(sliced, keys, wanted)
+    sliced = _slices(df, keys, order_by, slices)
     if not keys and not (wanted.running_sum or wanted.lag or wanted.lead):
         # Only a global number: the row index inside the slice is already it.
+        carry = _carry(sliced, keys, wanted)
+        index = F.col("__pos").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
         joined = sliced.join(F.broadcast(carry), "__slice", "left")
         return joined.withColumn(
             wanted.row_number, index + 1 + F.coalesce(F.col("__rows_before"), F.lit(0))
         ).drop(*_helpers(carry, keys))
+    return _computed(sliced, df.columns, keys, wanted)
 
+
+def _slices(df, keys, order_by, slices):
+    """The rows in order, checkpointed in slices, with ``__pos`` and ``__slice``."""
+    sort = [F.col(key) for key in keys] + list(order_by)
+    return cut_lineage(
+        df.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
+        .withColumn("__pos", F.monotonically_increasing_id())
+        .withColumn("__slice", F.shiftright("__pos", _INDEX_BITS)))
+
+
+def _computed(sliced, columns, keys, wanted):
+    """``columns`` of slices and the wanted ones."""
+    carry = _carry(sliced, keys, wanted)
     window = Window.partitionBy("__slice", *keys).orderBy("__pos")
     local = sliced.withColumns(_window_columns(window, wanted)).withColumns({
         "__first": F.lag("__pos").over(window).isNull(),
@@ -82,7 +94,7 @@ def _sliced(df, keys, order_by, wanted, slices):
     match = [F.col("l.__slice") == F.col("c.__slice")] + [
         F.col(f"l.{key}").eqNullSafe(F.col(f"c.{key}")) for key in keys]
     joined = local.alias("l").join(F.broadcast(carry).alias("c"), match, "left")
-    result = [F.col(f"l.{name}") for name in df.columns]
+    result = [F.col(f"l.{name}") for name in columns]
     if wanted.row_number:
         result.append((F.col(f"l.{wanted.row_number}") + F.coalesce("c.__rows_before", F.lit(0)))
                       .alias(wanted.row_number))
@@ -190,12 +202,14 @@ def sessions(df: DataFrame, key: str, ts: str, gap: str, tie_break: str,
              name: str = "session_number", **options) -> DataFrame:
     """Number the activity sessions of each key: a new one after ``gap`` of silence."""
     order = [F.col(ts), F.col(tie_break)]
-    stepped = ordered_columns(df, order, Wanted(lag={"__before": ts}), [key], **options)
+    # Both passes run on the same slices: one sort, one checkpoint.
+    sliced = _slices(df, [key], order, options.get("slices") or _shuffle_partitions(df))
+    held = [*df.columns, "__pos", "__slice"]
+    stepped = _computed(sliced, held, [key], Wanted(lag={"__before": ts}))
     fresh = F.col("__before").isNull() | (
         F.col(ts) >= F.col("__before") + F.expr(f"INTERVAL {gap}"))
-    flagged = stepped.withColumn("__fresh", fresh.cast("long")).drop("__before")
-    return (ordered_columns(flagged, order, Wanted(running_sum={name: "__fresh"}), [key], **options)
-            .drop("__fresh"))
+    flagged = stepped.withColumn("__fresh", fresh.cast("long"))
+    return _computed(flagged, df.columns, [key], Wanted(running_sum={name: "__fresh"}))
 
 
 def followed_by(df: DataFrame, key: str, ts: str, kind: str, first: str, then: str,

@@ -216,13 +216,29 @@ def test_percentiles_are_exact_in_large_groups(spark):
 
 
 def test_equal_rows_fill_all_salts(spark):
-    equal = spark.range(10_000).selectExpr("1 AS k", "'x' AS v").union(spark.createDataFrame([(2, "y")], "k INT, v STRING"))
+    equal = spark.range(0, 10_000, 1, 64).selectExpr("1 AS k", "'x' AS v").union(spark.createDataFrame([(2, "y")], "k INT, v STRING"))
     assert skew.with_salt(equal, 16).where("k = 1").groupBy("__salt").count().count() == 16
     other = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k INT, w STRING")
     joined = skew.salted_join(equal, other, "k")
     assert rows(joined.groupBy("k", "v", "w").count()) == [(1, "x", "a", 10_000), (2, "y", "b", 1)]
-    with pytest.raises(ValueError):
-        skew.hot_keys(equal, ["k"], 1e-9)
+    for find in (skew.hot_keys, skew.hot_hashes):
+        with pytest.raises(ValueError):
+            find(equal, ["k"], 1e-9)
+    # A repeated task gives the same salts; nothing is written for the join.
+    assert rows(skew.with_salt(equal, 16)) == rows(skew.with_salt(equal, 16))
+    assert "Scan ExistingRDD" not in skew.salted_join(spark.range(100).withColumnRenamed("id", "k"), spark.range(9).selectExpr("id AS k", "1 AS w"), "k")._jdf.queryExecution(
+        ).executedPlan().toString().replace("Scan ExistingRDD[__hot", "")
+
+
+def test_frequent_keys_are_found_in_one_pass(spark):
+    df = spark.range(100_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 50 = 1 THEN 'b' WHEN id % 500 = 2 THEN 'c' ELSE 'k' || id END AS k",
+                                         "id % 2 AS j")
+    hashes = {k: df.sparkSession.range(1).select(F.xxhash64(F.lit(k))).first()[0] for k in "abc"}
+    found = {r[0] for r in skew.hot_hashes(df, ["k"], 0.01).collect()}
+    assert hashes["a"] in found and hashes["b"] in found and hashes["c"] not in found and len(found) <= 200
+    assert skew.hot_hashes(df.limit(0), ["k"]).count() == 0 and skew.hot_hashes(df, ["k", "j"]).count() >= 3
+    maps = df.selectExpr("k", "map('x', j) AS m").limit(10)
+    assert skew.with_salt(maps, 4).count() == 10
 
 
 # Text and logs --------------------------------------------------------------------
