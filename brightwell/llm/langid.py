@@ -24,12 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwell.llm.common import crc_part
+from brightwell.llm.common import crc_part, cut_lineage
 
 SIZE = 8_192
 #: Documents of each language that the model is fitted on, about; languages at most.
 PER_LANGUAGE = 400
-LANGUAGES = 200
 CENTROIDS = 3
 #: Share of a language's training texts that may be farther away than the limit.
 REJECT = 0.005
@@ -123,12 +122,13 @@ def clustered(rows: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROIDS) -> Model:
     """Fit on the documents that ``docs`` offers (doc_id, text, lang).
 
-    Tasks send back sparse counts, so the driver's share is bounded by the sample:
-    ``per_language`` documents of each of the ``LANGUAGES`` commonest languages.
+    ``per_language`` documents of each language are drawn, of however many languages.
+    A language's centroids are made by one task from its own draw; the driver gets the
+    centroids alone.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+             .collect()}
     if not sizes:
         return Model([], np.zeros((0, SIZE)), np.zeros(0), np.ones(SIZE))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])
@@ -142,23 +142,25 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROIDS) -
                                 "at": [a.tolist() for a in at], "n": [r[a].tolist() for r, a in zip(rows, at)]})
 
     picked = known.where(drawn < F.element_at(share, F.col("lang"))).select("doc_id", "text", "lang")
-    found = picked.mapInPandas(run, "doc_id long, lang string, at array<int>, n array<double>").toPandas()
-    found["size"] = found["n"].map(sum)
-    found = found.sort_values(["lang", "doc_id", "size"])  # the fit then does not depend on which task came first
-    vectors = np.zeros((len(found), SIZE))
-    for i, (at, n) in enumerate(zip(found["at"], found["n"])):
-        vectors[i, at] = n
-    idf = np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(axis=0))) + 1
-    rows, langs = weighted(vectors, idf), found["lang"].to_numpy()
-    names, centres, limits = [], [], []
-    for lang in sorted(set(langs)):
-        own = rows[langs == lang]
+    found = cut_lineage(picked.mapInPandas(run, "doc_id long, lang string, at array<int>, n array<double>"))
+    held = np.zeros(SIZE)
+    for r in found.select(F.explode("at").alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect():
+        held[r["at"]] = r["n"]
+    idf = np.log((1 + found.count()) / (1 + held)) + 1
+
+    def centres(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(size=group["n"].map(sum))
+        group = group.sort_values(["doc_id", "size"])  # the fit then does not depend on which task came first
+        vectors = np.zeros((len(group), SIZE))
+        for i, (at, n) in enumerate(zip(group["at"], group["n"])):
+            vectors[i, at] = n
+        own = weighted(vectors, idf)
         made = clustered(own, k)
-        limit = np.quantile((own @ made.T).max(axis=1), REJECT)
-        names += [lang] * len(made)
-        centres.append(made)
-        limits += [limit] * len(made)
-    return Model(names, np.concatenate(centres), np.array(limits), idf)
+        limit = float(np.quantile((own @ made.T).max(axis=1), REJECT))
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "place": range(len(made)), "centre": made.tolist(), "limit": limit})
+    made = found.groupBy("lang").applyInPandas(lambda g: centres(g), "lang string, place int, centre array<double>, limit double").collect()
+    made.sort(key=lambda r: (r["lang"], r["place"]))
+    return Model([r["lang"] for r in made], np.array([r["centre"] for r in made]).reshape(-1, SIZE), np.array([r["limit"] for r in made]), idf)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -23,6 +23,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -37,8 +39,7 @@ from brightwell.llm.common import crc_part, cut_lineage
 
 #: Labelled documents that the lexicon and the curve are fitted on, about.
 SAMPLE = 10_000
-#: Candidate entries looked at, and the least documents an entry must explain.
-CANDIDATES = 20_000
+#: The least documents an entry must explain.
 SUPPORT = 5
 #: Least share of toxic documents among those with an entry, and how often a clean
 #: document counts (one more is added): first for entries that are proof by
@@ -226,13 +227,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
                        .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
 
 
-def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """entry and in how many of the texts it stands; only ``wanted`` entries if given."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """entry and in how many of the texts it stands."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch["text"]:
-                counts.update(entries(text) if wanted is None else entries(text) & wanted)
+                counts.update(entries(text))
         if counts:  # a frame without rows would have no text column
             yield pd.DataFrame({"entry": list(counts), "n": list(counts.values())})
     return rows.select("text").mapInPandas(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
@@ -241,11 +242,14 @@ def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 def learned(sample: DataFrame) -> dict[str, float]:
     """Entries chosen greedily, with their weights (log-odds)."""
     toxic, clean = sample.where(F.col("toxic") > 0), sample.where(F.col("toxic") <= 0)
-    likely = {r["entry"]: r["n"] for r in _counted(toxic, None).where(F.col("n") >= SUPPORT)
-              .orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
-    if not likely:
+    often = _counted(toxic).where(F.col("n") >= SUPPORT)
+    both = often.join(_counted(clean).withColumnRenamed("n", "clear"), "entry", "left").select("entry", "n", F.coalesce("clear", F.lit(0)).alias("clear"))
+    # Rare and clear entries come through as common ones do: only what no grade takes is left behind.
+    passes = [F.col("n") / (F.col("n") + times * F.col("clear") + 1) >= least for least, times in PRECISION]
+    found = both.where(functools.reduce(operator.or_, passes)).collect()
+    if not found:
         return {}
-    clear = {r["entry"]: r["n"] for r in _counted(clean, frozenset(likely)).collect()}
+    likely, clear = {r["entry"]: r["n"] for r in found}, {r["entry"]: r["clear"] for r in found}
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count(F.lit(1)).alias("all")).first()
     odds = (totals["all"] - totals["bad"] + 1) / (totals["bad"] + 1)
     grades = [frozenset(e for e, n in likely.items() if n / (n + times * clear.get(e, 0) + 1) >= least)

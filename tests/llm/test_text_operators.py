@@ -158,8 +158,7 @@ def test_learns_words_and_beginnings(spark):
 
 def test_counts_bear_texts_without_a_word(spark):
     rows = spark.createDataFrame([("ab",), ("12 !",), (None,)], "text string").repartition(9, "text")
-    assert {r.entry: r.n for r in toxicity._counted(rows, None).collect()} == {"=ab": 1}
-    assert toxicity._counted(rows, frozenset(["=zz"])).count() == 0
+    assert {r.entry: r.n for r in toxicity._counted(rows).collect()} == {"=ab": 1}
 
 
 def test_held_out_toxicity(spark):
@@ -359,3 +358,17 @@ def test_pages_full_of_openers_are_linear(spark, piece):
     begin = time.time()
     found = {r.record_type: r for r in warc.build(pages(spark, [(1, "http://a/", page)])).collect()}
     assert time.time() - begin < 20 and found["conversion"].content.startswith("before")
+
+
+def test_rare_entries_are_not_crowded_out(spark):
+    """Far more common entries than any fixed list of candidates would hold."""
+    common = " ".join(f"w{i:05d}" for i in range(22_000))
+    rows = [(f"{common} zorgle", 1)] * 5 + [(common, 1)] * 3 + [(common, 0)] * 12 + [(prose(i), 0) for i in range(20)]
+    learned = toxicity.learned(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    assert any("zorgle".startswith(e.lstrip("=")) and len(e) > 2 for e in learned)
+
+
+def test_many_languages_are_learned(spark):
+    rows = [(i, " ".join(f"{chr(0x4E00 + i % 230)}{chr(0x3041 + k)}" for k in range(30)), f"l{i % 230:03d}") for i in range(460)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model.languages) == {f"l{i:03d}" for i in range(230)}
