@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brightwell.functions.dates import seconds_between
 from brightwell.functions.numbers import money, n_rows, round_half_up
+from brightwell.operators import versions
 from brightwell.operators.aggregate import attach_by_key
 from brightwell.plans import derived
 from brightwell.plans.registry import query, sql_count, sql_mean, sql_percent, sql_ratio, sql_round
@@ -542,6 +543,16 @@ def merged_streams(t):
         n_rows().alias("n_rows"), round_half_up(F.sum(money("value"))).alias("total_value"))
 
 
+@query("as_of_versions", """
+SELECT o_orderkey, o_custkey, o_orderdate, (SELECT max_by(u.o_orderkey, (u.o_orderdate, u.o_orderkey)) FROM orders u
+  WHERE u.o_custkey = o.o_custkey AND u.o_orderdate <= o.o_orderdate AND u.o_orderpriority = '1-URGENT') AS urgent_orderkey FROM orders o""")
+def as_of_versions(t):
+    """Each order with its customer's latest urgent order at its own date."""
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderdate", "o_orderkey")
+    found = versions.as_of(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), urgent, "o_custkey", "o_orderdate", "o_orderdate")
+    return found.select("o_orderkey", "o_custkey", "o_orderdate", F.col("version_o_orderkey").alias("urgent_orderkey"))
+
+
 @query("probably_new_events", """
 SELECT count(DISTINCT (user_id, event_type)) AS n_keys, TRUE AS none_twice, TRUE AS nearly_all FROM events""")
 def probably_new_events(t):
