@@ -6,14 +6,18 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from brightwell.plans.registry import CHECKS, QUERIES
 from tools.check import same_type, table
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
 def duck():
+    return connected()
+
+
+def connected():
     connection = duckdb.connect()
     connection.sql("SET TimeZone = 'UTC'")
     for path in pathlib.Path(FOLDER).glob("*.parquet"):
@@ -23,9 +27,11 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query_equals_sql(spark, duck, name):
-    df = QUERIES[name](spark, FOLDER)
+    compare(QUERIES[name](spark, FOLDER), duck.sql(CHECKS[name]))
+
+
+def compare(df, wanted):
     got = df.toArrow()
-    wanted = duck.sql(CHECKS[name])
     assert table(got.column_names, zip(*[c.to_pylist() for c in got.columns])) == table(
         wanted.columns, wanted.fetchall())
     types = dict(zip(wanted.columns, map(str, wanted.types)))
@@ -38,5 +44,5 @@ def test_query_without_sql_gives_rows(spark, name):
 
 
 def test_names_agree(spark):
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(CHECKS) <= set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == QUERIES["tumbling_hourly"](spark, FOLDER).columns
