@@ -504,7 +504,7 @@ def salted_join(t):
     return joined.groupBy("s_nationkey").agg(n_rows().alias("n_rows"), total(money("l_quantity")).alias("sum_qty"))
 
 
-def _rollup(t, keys, metrics):
+def _stored_rollup(t, keys, metrics):
     return rollups.Rollup(t.spark, f"{checkpoint_folder(t.spark)}/rollup-{uuid.uuid4().hex}", keys, metrics)
 
 
@@ -515,7 +515,7 @@ SELECT event_type, CAST(month AS DATE) AS month, count(*) AS n_events, count(DIS
 def sketch_rollup(t):
     """Daily sketches, stored and merged to months, types and all. Estimates of users lie
     within three standard errors, medians within three per cent of the ranks."""
-    daily = _rollup(t, ["event_type", "day"], {
+    daily = _stored_rollup(t, ["event_type", "day"], {
         "n_events": rollups.Metric("count"), "estimate": rollups.Metric("approx_distinct", "user_id"),
         "median": rollups.Metric("approx_quantile", "value")})
     daily.apply(1, t.events.withColumn("day", F.to_date("ts")))
@@ -546,7 +546,7 @@ SELECT event_type, count(*) AS n_events, {sql_total('CAST(value AS DECIMAL(18,2)
 def incremental_metrics(t):
     """Events in four increments. Some come with a wrong value and user first, which a later
     increment takes back; one increment is sent again, and states are compacted between."""
-    kept = _rollup(t, ["event_type"], {
+    kept = _stored_rollup(t, ["event_type"], {
         "n_events": rollups.Metric("count"), "total_value": rollups.Metric("sum", "amount"), "least": rollups.Metric("min", "amount"),
         "most": rollups.Metric("max", "amount"), "users": rollups.Metric("distinct", "user_id"), "last_ts": rollups.Metric("max", "ts")})
     events = t.events.select("event_type", "event_id", "user_id", "ts", money("value").alias("amount"))
