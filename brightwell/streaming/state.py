@@ -1,6 +1,6 @@
 """Operators with state of their own: approximate duplicates, sequences that expire.
 
-State is bounded: a fixed bitmap per bucket of keys, or one event per key that is
+State is bounded by the keys of two periods, or is one event per key that is
 dropped when the watermark has passed its time to live. Spark keeps it in the
 state store, so a lost executor is replaced from the checkpoint.
 """
@@ -11,76 +11,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from brightwell.streaming.combine import with_watermark
-
+from brightwell.streaming.filters import Growing, sift
 
 #: Bits of a filter for each expected key of a period.
 BITS_A_KEY = 12
 
 
+def key_hash(keys: list[str]) -> Column:
+    """64-bit hash of a key; a null in one column is not a null in another."""
+    return F.xxhash64(*[x for k in keys for x in (F.isnull(k), F.col(k))])
+
+
 def probably_new(df: DataFrame, keys: list[str], ts: str, keep: str = "1 hour", delay: str = "10 minutes",
-                 buckets: int = 64, bits: int = 1 << 20, hashes: int = 5, expected: int | None = None) -> DataFrame:
+                 buckets: int = 256, bits: int = 1 << 13, hashes: int = 1, expected: int | None = None,
+                 error: float = 0.01) -> DataFrame:
     """Rows whose key has probably not been seen within ``keep``.
 
-    On a stream each bucket of keys has a Bloom filter for the current and one for
-    the last period of length ``keep``. A repeated key within ``keep`` is never let
-    through (in arrival order); a new one is held back with the error of the two
-    filters, each about (1 - e^(-hashes n / bits))^hashes for n keys of a bucket in a
-    period. State is ``buckets`` times two bitmaps, however many keys there are. With
-    ``expected`` keys in a period there are at least so many buckets that a filter has
-    ``BITS_A_KEY`` bits a key: an error of about 0.5 % each with 5 hashes.
+    On a stream each bucket of keys has a chain of Bloom filters (``filters.Growing``)
+    for the current and one for the last period of length ``keep``; older ones are
+    dropped whole. A repeated key within ``keep`` is never let through (in arrival
+    order); a new one is held back with a chance below ``error``, whatever the number
+    of keys: a full filter is followed by one of four times its size. State grows with
+    the keys of two periods, at some 3 bytes a key; more ``buckets`` make its pieces
+    smaller. ``bits`` is the size of a chain's first filter, ``hashes`` the fewest hash
+    functions; ``expected`` keys in a period make the first filter large enough for them.
 
     A table is treated as one batch in the order of time, and exactly: the first row
     of a key in a period stays if the key is not in the period before. That takes an
     aggregate and a join, no filter, so neither many keys nor a hot one cost rows. Rows
-    without a time are let through and not remembered.
+    without a time are let through and not remembered. For tables too many or too large
+    to be read again see ``operators.known``.
     """
     span = pd.Timedelta(keep)
     if not df.isStreaming:
         return _first_of_periods(df, keys, ts, span.value // 1000)
     if expected is not None:
-        buckets = max(buckets, -(-expected * BITS_A_KEY // bits))
+        bits = max(bits, 1 << (-(-expected * BITS_A_KEY // buckets) - 1).bit_length())
     names = df.columns
-    marked = with_watermark(df, ts, delay).withColumn("__hash", F.xxhash64(*keys)).withColumn(
-        "__bucket", F.pmod(F.col("__hash"), F.lit(buckets)))
-
-    def places(value: int) -> list[int]:
-        value &= (1 << 64) - 1
-        step = (value >> 32) | 1
-        return [(value + i * step) % bits for i in range(hashes)]
-
-    def sift(pdf: pd.DataFrame, filters: dict[int, np.ndarray]) -> np.ndarray:
-        keep_row = np.ones(len(pdf), dtype=bool)
-        for row, (value, moment) in enumerate(zip(pdf["__hash"], pdf[ts])):
-            if pd.isna(moment):
-                continue
-            period, at = moment.value // span.value, places(int(value))
-            for p in (period - 1, period):
-                if p not in filters:
-                    filters[p] = np.zeros(bits // 8, dtype=np.uint8)
-            seen = any(all(filters[p][i >> 3] >> (i & 7) & 1 for i in at) for p in (period - 1, period))
-            keep_row[row] = not seen
-            for i in at:
-                filters[period][i >> 3] |= 1 << (i & 7)
-        return keep_row
+    hashed = key_hash(keys)
+    marked = with_watermark(df, ts, delay).withColumn("__hash", hashed).withColumn("__bucket", F.pmod(hashed, F.lit(buckets)))
+
+    def chain(counts=(), raw=()) -> Growing:
+        return Growing(error / 2, bits, hashes, counts, raw)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        filters: dict[int, np.ndarray] = {}
+        chains: dict[int, Growing] = {}
         if state.exists:
-            for period, raw in zip(*state.get):
-                filters[period] = np.frombuffer(raw, dtype=np.uint8).copy()
+            owners, counts, raw = state.get
+            for period in sorted(set(owners)):
+                mine = [i for i, p in enumerate(owners) if p == period]
+                chains[period] = chain([counts[i] for i in mine], [raw[i] for i in mine])
         for pdf in batches:
             pdf = pdf.sort_values(ts, kind="stable")
-            yield pdf[sift(pdf, filters)][names]
-        newest = sorted(filters)[-2:]
-        state.update((newest, [filters[p].tobytes() for p in newest]))
+            timed = pdf[ts].notna().to_numpy()
+            fresh = np.ones(len(pdf), dtype=bool)
+            micros = pdf.loc[timed, ts].astype("datetime64[us]").to_numpy().astype(np.int64)
+            fresh[timed] = sift(pdf.loc[timed, "__hash"].to_numpy(dtype=np.int64).view(np.uint64),
+                                micros // (span.value // 1000), chains, chain)
+            yield pdf[fresh][names]
+        newest = [(p, n, f.tobytes()) for p in sorted(chains)[-2:] for n, f in zip(chains[p].counts, chains[p].filters)]
+        state.update(tuple([row[i] for row in newest] for i in range(3)))
 
     return marked.groupBy("__bucket").applyInPandasWithState(
-        step, df.schema, "periods array<long>, filters array<binary>", "append", GroupStateTimeout.NoTimeout)
+        step, df.schema, "periods array<long>, counts array<long>, filters array<binary>", "append", GroupStateTimeout.NoTimeout)
 
 
 def _first_of_periods(df: DataFrame, keys: list[str], ts: str, micros: int) -> DataFrame:
