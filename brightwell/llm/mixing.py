@@ -14,8 +14,9 @@ fall short by less than one token each.
 
 The prefix is found without sorting a leaf: the shuffle's keys are hashes, cut
 into 4,096 ranges whose tokens are summed; only the range in which a budget ends
-is sorted. The table of leaves is checked against ``MAX_LEAVES`` before it is
-broadcast. Null domain, language or source are values of their own. A null text
+is sorted. A tree of up to ``BROADCAST_LEAVES`` leaves is broadcast to the documents;
+a larger one is joined by leaf and salt, so that a hot leaf is spread over ``SALTS``
+tasks. The result is the same. Null domain, language or source are values of their own. A null text
 has no tokens and comes along when its range or epoch is taken. Rows that repeat
 count each for itself. An empty table gives no rows.
 """
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 
 from brightwell.llm.common import cut_lineage, text_bytes
 
-MAX_LEAVES = 100_000
+#: Leaves that are broadcast at most, and tasks that a leaf's documents are dealt to beyond.
+BROADCAST_LEAVES = 100_000
+SALTS = 64
 LEVELS = ("domain", "lang", "source")
 
 
@@ -68,10 +71,7 @@ def _weight(column: str, named: dict[str, int], rest: int) -> Column:
 def leaves(docs: DataFrame, mix: Mix) -> DataFrame:
     """domain, lang, source, tokens, budget of each leaf."""
     sizes = cut_lineage(docs.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")))
-    found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")).first()
-    if found["n"] > MAX_LEAVES:
-        raise ValueError(f"the tree has more than {MAX_LEAVES} leaves; name fewer sources")
-    supply = found["tokens"] or 0
+    supply = sizes.agg(F.sum("tokens")).first()[0] or 0
     budget = min(supply * mix.budget_percent // 100, supply * mix.max_epochs)
     tree = sizes.withColumns({"_cap": (F.col("tokens") * mix.max_epochs).cast("decimal(38,0)"),
                               "_budget": F.lit(budget).cast("decimal(38,0)")})
@@ -110,6 +110,16 @@ def _share(tree: DataFrame, parent: list[str], level: str, weight: Column) -> Da
         "_given", *[f"_{c}" for c in (*parent, level)])
 
 
+def _with_leaves(docs: DataFrame, known: DataFrame, names: list[str], many: bool, how: str = "inner") -> DataFrame:
+    """``docs`` with the row that ``known`` has for their leaf in columns ``names``."""
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(LEVELS, names)]
+    if not many:
+        return docs.join(F.broadcast(known), same, how)
+    salted = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(SALTS)).cast("int"))
+    each = known.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(each, [*same, F.col("_salt") == F.col("_to")], how).drop("_salt", "_to")
+
+
 def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
     """The rows of ``docs`` that make up the mix, once per epoch they are taken in,
     with columns epoch (from 1), budget of the leaf, and domain and tokens."""
@@ -122,12 +132,12 @@ def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
     share = plan.select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "budget",
                         F.expr("CASE WHEN tokens > 0 THEN budget div tokens ELSE 0 END").alias("_whole"),
                         F.expr("CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END").alias("_part"))
-    share = F.broadcast(cut_lineage(share))  # at most MAX_LEAVES rows
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LEVELS]
+    share = cut_lineage(share)
+    many = share.count() > BROADCAST_LEAVES
     # The order of the epoch after the whole ones, in 4,096 ranges.
     order = F.md5(F.concat_ws(":", F.lit(mix.seed), (F.col("_whole") + 1).cast("string"),
                               F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    placed = sized.join(share, same).withColumn("_order", order).withColumn("_range", F.substring("_order", 1, 3))
+    placed = _with_leaves(sized, share, [f"_{c}" for c in LEVELS], many).withColumn("_order", order).withColumn("_range", F.substring("_order", 1, 3))
     sums = placed.where(F.col("_part") > 0).groupBy(*LEVELS, "_range").agg(
         F.sum("tokens").alias("_sum"), F.first("_part").alias("_goal"))
     running = Window.partitionBy(*LEVELS).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -135,8 +145,7 @@ def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
     # The range in which each leaf's budget ends: at most one per leaf.
     ends = ranges.where((F.col("_before") < F.col("_goal")) & (F.col("_before") + F.col("_sum") >= F.col("_goal")))
     ends = cut_lineage(ends.select(*[F.col(c).alias(f"_e{c}") for c in LEVELS], F.col("_range").alias("_end"), "_before"))
-    at_end = [F.col(c).eqNullSafe(F.col(f"_e{c}")) for c in LEVELS]
-    placed = placed.join(F.broadcast(ends), at_end, "left")
+    placed = _with_leaves(placed, ends, [f"_e{c}" for c in LEVELS], many, "left")
     edge = placed.where(F.col("_range") == F.col("_end"))
     # Narrow rows of the last ranges, to find the order at which each leaf stops.
     last = Window.partitionBy(*LEVELS).orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -145,8 +154,7 @@ def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
              .withColumn("_reached", F.col("_before") + F.sum("tokens").over(last))
              .where(F.col("_reached") >= F.col("_part")).groupBy(*LEVELS).agg(F.min("_order").alias("_stop")))
     stops = cut_lineage(stops.select(*[F.col(c).alias(f"_s{c}") for c in LEVELS], "_stop"))
-    at_stop = [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in LEVELS]
-    placed = placed.join(F.broadcast(stops), at_stop, "left")
+    placed = _with_leaves(placed, stops, [f"_s{c}" for c in LEVELS], many, "left")
     times = F.col("_whole") + F.coalesce((F.col("_order") <= F.col("_stop")).cast("long"), F.lit(0))
     taken = placed.withColumn("_times", times).where(F.col("_times") > 0)
     return taken.select("_row.*", "domain", "tokens", "budget",

@@ -309,10 +309,12 @@ def test_mixing_takes_awkward_rows(spark):
     assert mixing.mixed(docs.limit(0), mix).count() == 0
 
 
-def test_too_many_leaves_are_refused(spark, monkeypatch, given):
-    monkeypatch.setattr(mixing, "MAX_LEAVES", 3)
-    with pytest.raises(ValueError):
-        mixing.mixed(given, queries.MIX)
+def test_mixing_joins_trees_that_are_not_broadcast(spark, given, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 3)
+    rows = [tuple(r) for r in given.select("doc_id", "text", "lang", "source").collect()]
+    many = mixing.mixed(given, queries.MIX)
+    assert Counter((r.doc_id, r.epoch) for r in many.collect()) == plain_mix(rows, queries.MIX)
+    assert many.columns == [*given.columns, "domain", "tokens", "budget", "epoch"]
 
 
 # Packing
