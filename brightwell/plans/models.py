@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightwell.functions.numbers import n_rows, round_half_up
+from brightwell.operators import candidates
 from brightwell.operators import graph as g
 from brightwell.operators import regression as reg
 from brightwell.plans import derived
@@ -204,3 +205,22 @@ def _rank_sql(rounds: int) -> str:
 @query("page_rank", _rank_sql(10))
 def page_rank(t):
     return g.page_rank(derived.place_graph(t)).select("id", round_half_up("rank", 6).alias("rank"))
+
+
+@query("graph_scored_links", """
+WITH e AS (SELECT 'C' || l.c AS x, 'P' || l.p AS y FROM (SELECT DISTINCT o_custkey AS c, l_partkey AS p FROM lineitem
+    JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_quantity >= 40) l
+  UNION SELECT 'C' || c_custkey, 'N' || c_nationkey FROM customer UNION SELECT 'C' || c_custkey, c_mktsegment FROM customer),
+links AS (SELECT least(x, y) AS a, greatest(x, y) AS b FROM e), both_ways AS (SELECT a AS c, b AS v FROM links UNION ALL SELECT b, a FROM links)
+SELECT p.v AS a, q.v AS b, count(*) AS common FROM both_ways p JOIN both_ways q ON p.c = q.c AND p.v < q.v
+WHERE NOT EXISTS (SELECT 1 FROM links WHERE links.a = p.v AND links.b = q.v)
+GROUP BY p.v, q.v ORDER BY common DESC, p.v, q.v LIMIT 200""")
+def graph_scored_links(t):
+    """The 200 pairs that share most of parts sent back, nation and segment."""
+    def end(prefix, column):
+        return F.concat(F.lit(prefix), F.col(column).cast("string"))
+    back = t.lineitem.where("l_returnflag = 'R' AND l_quantity >= 40").join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    edges = (back.select(end("C", "o_custkey").alias("src"), end("P", "l_partkey").alias("dst"))
+             .union(t.customer.select(end("C", "c_custkey"), end("N", "c_nationkey")))
+             .union(t.customer.select(end("C", "c_custkey"), "c_mktsegment")))
+    return candidates.scored_links(edges, 200)
