@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightwell.llm.bridges import alike, bridges
 from brightwell.llm.common import cut_lineage
 from brightwell.llm.components import components, one_of_each, row_keys
 
@@ -204,7 +205,7 @@ def _sets(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _bucketed(keyed: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b) of (key, node) rows, and the nodes of large buckets.
+    """Candidate pairs (a, b) of (key, node) rows, and the rows of large buckets.
 
     All pairs of a bucket of ``bucket`` nodes or fewer; in larger ones each node with
     one leader, which the key picks.
@@ -217,7 +218,7 @@ def _bucketed(keyed: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
         F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     large = shared.where(F.col("n") > bucket)
     stars = large.where(F.col("node") != F.col("lead")).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
-    return pairs.union(stars), large.select("node").distinct()
+    return pairs.union(stars), large.select("key", "node")
 
 
 def _labelled(docs: DataFrame, threshold: float, bands: int | None, bucket: int) -> DataFrame:
@@ -242,21 +243,26 @@ def _labelled(docs: DataFrame, threshold: float, bands: int | None, bucket: int)
         found = [F.xxhash64(F.lit(i), *[F.substring("sign", 4 * p + 1, 4) for p in group]) for i, group in enumerate(groups)]
         return df.select("node", F.explode(F.array(*found)).alias("key"))
 
-    pairs, crowd = _bucketed(keyed(nodes, [range(b * places, (b + 1) * places) for b in range(bands)]), bucket)
+    pairs, large = _bucketed(keyed(nodes, [range(b * places, (b + 1) * places) for b in range(bands)]), bucket)
     # Nodes of large buckets meet again in narrower ones.
     draw = np.random.default_rng(SEED)
     narrow = [sorted(draw.choice(HASHES, min(HASHES, 2 * places), replace=False).tolist()) for _ in range(NARROW)]
+    crowd = large.select("node").distinct()
     more, _ = _bucketed(keyed(nodes.join(crowd, "node", "left_semi"), narrow), bucket)
     pairs = cut_lineage(pairs.union(more).distinct())
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     rows = nodes.join(wanted, "node", "left_semi").select("node", "_first", "_second")
     sets = cut_lineage(_sets(keys.join(rows, ["_first", "_second"]).select("node", "text").dropDuplicates(["node"]), ["node"]))
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b"))
-    shared = F.size(F.array_intersect("ia", "ib"))
-    links = both.where(shared / (F.size("ia") + F.size("ib") - shared) >= threshold).select("a", "b")
-    labels = components(links)
-    named = nodes.join(labels, F.col("node") == F.col("id"), "left").select("node", F.coalesce("component", "node").alias("label"))
+    labels = components(alike(pairs, sets, "node", threshold, "node"))
+    named = cut_lineage(nodes.select("node").join(labels, F.col("node") == F.col("id"), "left")
+                        .select("node", F.coalesce("component", "node").alias("label")))
+    # Leaders can leave a member out. Large buckets of more than one component are searched again, whole.
+    tagged = large.join(named, "node")
+    mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
+    unsettled = cut_lineage(tagged.join(mixed.select("key"), "key", "left_semi").select("node", "label").distinct())
+    if not unsettled.isEmpty():
+        joined = components(bridges(sets.join(unsettled, "node"), threshold))
+        named = named.join(joined, F.col("label") == F.col("id"), "left").select("node", F.coalesce("component", "label").alias("label"))
     return made.drop("sign").join(named, "node").select("doc_id", "_first", "_second", "label")
 
 
@@ -273,8 +279,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int | None =
     its size. There each node is held against one leader, and all nodes of such
     bands are dealt anew by ``NARROW`` bands of twice the places, where a pair of
     similarity 0.8 meets with a chance of about 0.99 (again with one leader in large
-    buckets). So candidates grow with the number of nodes. In large families of
-    near copies a member that is within the threshold of no leader it meets can be missed.
+    buckets). So candidates grow with the number of nodes. What leaders leave apart in a
+    large band is searched by prefixes of the sets (``bridges``), which loses no link.
     """
     found = _labelled(docs, threshold, bands, bucket)
     lowest = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))

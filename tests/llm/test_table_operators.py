@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brightwell.llm import minhash, mixing, packing, pii, queries, quality, sharding, simhash
+from brightwell.llm import bridges, minhash, mixing, packing, pii, queries, quality, sharding, simhash
 from brightwell.llm.common import number_rows
 from brightwell.llm.components import components
 from tests.llm.helpers import SCHEMA, awkward, documents, prose, values
@@ -461,6 +461,45 @@ def test_large_families_stay_linear_and_whole(spark):
     assert minhash.band_count(0.8) == 16 and minhash.band_count(0.5) == 32
 
 
+def family(base, copies, changes, seed):
+    """Copies of a text with some words changed, fewer to more."""
+    draw, texts = random.Random(seed), []
+    for i in range(copies):
+        copy = list(base)
+        for at in draw.sample(range(len(base)), changes[i % len(changes)]):
+            copy[at] = f"n{draw.randrange(10 ** 6)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_no_link_of_a_large_family_is_lost(spark):
+    """Copies near the limit: most pairs are below it, so a leader leaves many out."""
+    texts = family(varied(1, 200), 150, (3, 4, 5), 7) + family(varied(2, 300), 120, (0, 9, 10, 11), 8)
+    texts += [" ".join(varied(3, 150) + varied(60 + i, 60 + i)) for i in range(60)]
+    wanted = plain_families({i + 1: t for i, t in enumerate(texts)})
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert found == wanted
+    assert len(set(wanted.values())) > 20
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.65, 0.8])
+def test_bridges_are_all_alike_pairs_of_two_components(spark, monkeypatch, threshold):
+    monkeypatch.setattr(bridges, "DEAL", 8)
+    draw, sets = random.Random(9), []
+    for core in range(6):
+        common = [draw.getrandbits(63) - (1 << 62) for _ in range(draw.choice([1, 9, 40]))]
+        for _ in range(30):
+            own = [draw.getrandbits(63) - (1 << 62) for _ in range(draw.randrange(0, 14))]
+            sets.append(sorted(set(draw.sample(common, draw.randrange(len(common) // 2, len(common) + 1)) + own)))
+    labels = [draw.choice([f"big{i // 30}", f"big{i // 30}", f"l{i}"]) for i in range(len(sets))]
+    rows = [(i, labels[i], items) for i, items in enumerate(sets)]
+    found = bridges.bridges(spark.createDataFrame(rows, "node int, label string, items array<long>"), threshold)
+    wanted = {frozenset((labels[i], labels[j])) for i in range(len(sets)) for j in range(i) if labels[i] != labels[j] and sets[i] and sets[j]
+              and len(set(sets[i]) & set(sets[j])) / len(set(sets[i]) | set(sets[j])) >= threshold}
+    assert {frozenset((r.a, r.b)) for r in found.collect()} == wanted and wanted
+    assert bridges.bridges(spark.createDataFrame([], "node int, label string, items array<long>"), threshold).count() == 0
+
+
 def plain_families(texts):
     """Smallest id reachable through pairs whose sets of five-word shingles are 0.8 alike, by all pairs."""
     def shingles(text):
