@@ -52,12 +52,31 @@ sums AS (SELECT lang, 'c' AS kind, i, sum(chars[i]) AS n FROM judged, range(1, {
 refs AS (SELECT lang AS known, list(n ORDER BY i) FILTER (WHERE kind = 'c') AS rc, list(n ORDER BY i) FILTER (WHERE kind = 'w') AS rw
   FROM sums WHERE lang IN ({_listed(quality.COMMON_WORDS)[1:-1]}) GROUP BY lang),
 near AS (SELECT r, min({_distance('chars', 'rc')}) AS dc, min({_distance('commons', 'rw')}) AS dw
-  FROM judged, refs WHERE NOT base_failed GROUP BY r)
+  FROM judged, refs WHERE NOT base_failed GROUP BY r),
+strange AS MATERIALIZED (SELECT w.r, w.lang, w.w, j.chars, j.n_words FROM w JOIN judged j ON j.r = w.r
+  WHERE w.lang NOT IN ({_listed(quality.COMMON_WORDS)[1:-1]}) AND j.n_words >= {quality.MIN_WORDS}),
+their_chars AS (SELECT lang AS known, list(n ORDER BY i) AS oc FROM (
+  SELECT lang, i, sum(chars[i]) AS n FROM strange, range(1, {quality.BINS + 1}) s(i) GROUP BY lang, i) GROUP BY lang),
+their_docs AS (SELECT lang AS known, count(*) AS n_docs, sum(n_words) AS n FROM strange GROUP BY lang),
+their_words AS (SELECT lang, x, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, x) AS k
+  FROM (SELECT lang, unnest(w) AS x FROM strange) GROUP BY lang, x QUALIFY k <= {quality.LEARNED}),
+their_top AS (SELECT lang AS known, list(x ORDER BY k) AS top, list(n ORDER BY k) AS tn FROM their_words GROUP BY lang),
+theirs AS (SELECT *, list_append(tn, CAST(n - list_sum(tn) AS BIGINT)) AS ow FROM their_chars JOIN their_docs USING (known) JOIN their_top USING (known)),
+told AS (SELECT r, chars, oc, ow, n_docs, n_words, list_transform(top, lambda x: len(list_filter(w, lambda y: y = x))) AS few
+  FROM strange JOIN theirs ON theirs.known = strange.lang),
+far AS (SELECT r, n_docs, {_distance('chars', 'oc')} AS oc,
+  {_distance('list_append(few, n_words - CAST(list_sum(few) AS BIGINT))', 'ow')} AS ow FROM told),
+tested AS (SELECT judged.*, dc, dw, far.r IS NOT NULL AS has_own, coalesce(lang IN ({_listed(quality.COMMON_WORDS)[1:-1]}), false) AS listed,
+  n_chars >= {limits.min_chars} AND coalesce(dc, 0) > {limits.chars} + {chance(quality.BINS, 'n_chars')} AS far_chars,
+  n_words >= {limits.min_words} AND coalesce(dw, 0) > {limits.words} + {chance(own, 'n_words')} AS far_words,
+  n_chars >= {limits.min_chars} AND oc > {limits.chars} + {limits.few} / sqrt(n_docs) + {chance(quality.BINS, 'n_chars')} AS own_chars,
+  n_words >= {limits.min_words} AND ow > {limits.words} + {limits.few} / sqrt(n_docs) + {chance(own, 'n_words')} AS own_words
+  FROM judged LEFT JOIN near ON near.r = judged.r LEFT JOIN far ON far.r = judged.r)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_chars >= {limits.min_chars} AND coalesce(dc, 0) > {limits.chars} + {chance(quality.BINS, 'n_chars')})
-  AND NOT (n_words >= {limits.min_words} AND coalesce(dw, 0) > {limits.words} + {chance(own, 'n_words')}) AS kept
-FROM judged LEFT JOIN near ON near.r = judged.r"""
+  NOT base_failed AND NOT CASE WHEN listed THEN far_chars OR far_words WHEN NOT has_own THEN false
+    ELSE (own_chars AND (dc IS NULL OR far_chars)) OR (own_words AND (dw IS NULL OR far_words)) END AS kept
+FROM tested"""
 
 
 def mixture(mix) -> str:

@@ -9,10 +9,11 @@ have rough histograms, so each test needs a minimum length, and limits widen by
 the distance that chance alone gives a text of that length.
 
 Null text counts as without words: it fails the base rules. Equal rows get equal
-verdicts. Any other language with ``LEAST_DOCS`` such documents has a reference too,
-with common words counted from the data; its documents must be near that or one
-of the listed references. Documents of a language without a reference, or of none,
-pass the divergence tests. All work on a text is linear but for one sort of its
+verdicts. Any other language with such documents has a reference too, with common
+words counted from the data; its documents must be near that or one of the listed
+references. A reference of few documents says little, so its limits are wider by
+``few`` over the root of their number: one document more never turns a test on.
+Documents of a language without a reference, or of none, pass the divergence tests. All work on a text is linear but for one sort of its
 word windows.
 """
 
@@ -40,22 +41,26 @@ SYMBOLS = CLASSES[3]
 BLANKS = " \t\n\x0b\x0c\r"
 BINS = len(CLASSES) + 3
 MIN_WORDS = 50
-#: Documents of ``MIN_WORDS`` words that make a reference of a language that is not listed,
-#: and common words learned of it.
-LEAST_DOCS = 20
+#: Common words learned of a language that is not listed.
 LEARNED = 16
+#: References that are broadcast at most (about a kilobyte each), and tasks that a
+#: language's documents are dealt to beyond.
+BROADCAST_LANGS = 10_000
+SALTS = 64
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Largest distances of a kept document, least lengths for the tests, and how
-    many times the distance expected by chance is added."""
+    """Largest distances of a kept document, least lengths for the tests, how many
+    times the distance expected by chance is added, and what is added for a reference
+    of one document of a language that is not listed."""
 
     chars: float = 0.17
     words: float = 0.08
     min_chars: int = 200
     min_words: int = 50
     chance: float = 2.0
+    few: float = 0.5
 
 
 def vocabulary(common: Mapping[str, str] = COMMON_WORDS) -> list[str]:
@@ -213,14 +218,14 @@ def own_histogram(words: Column, common: Column) -> Column:
 
 
 def other_references(docs: DataFrame) -> DataFrame | None:
-    """(_lang, _chars, _common, _words) of each language that is not listed but has
-    ``LEAST_DOCS`` long documents; None if there is none. A row per language."""
+    """(_lang, _docs, _chars, _common, _words) of each language that is not listed but
+    has long documents; None if there is none. A row per language."""
     texts = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON_WORDS)).select(
         F.col("lang").alias("_lang"), F.col("text").alias("_text"), words_of(F.col("text")).alias("_all")).where(F.size("_all") >= MIN_WORDS)
     sums = [F.sum(F.col("_h")[i]).alias(f"c{i}") for i in range(BINS)]
     chars = texts.select("_lang", F.size("_all").alias("_n"), char_histogram(F.col("_text")).alias("_h")).groupBy("_lang").agg(
-        F.count(F.lit(1)).alias("_docs"), F.sum("_n").cast("long").alias("_n"), *sums).where(F.col("_docs") >= LEAST_DOCS)
-    chars = cut_lineage(chars.select("_lang", "_n", F.array(*[f"c{i}" for i in range(BINS)]).alias("_chars")))
+        F.count(F.lit(1)).alias("_docs"), F.sum("_n").cast("long").alias("_n"), *sums)
+    chars = cut_lineage(chars.select("_lang", "_docs", "_n", F.array(*[f"c{i}" for i in range(BINS)]).alias("_chars")))
     if chars.isEmpty():
         return None
     counted = (texts.join(chars.select("_lang"), "_lang", "left_semi").select("_lang", F.explode("_all").alias("_word"))
@@ -229,10 +234,20 @@ def other_references(docs: DataFrame) -> DataFrame | None:
     top = counted.withColumn("_rank", rank).where(F.col("_rank") <= LEARNED).groupBy("_lang").agg(
         F.sort_array(F.collect_list(F.struct("_rank", "_word", "_count"))).alias("_top"))
     return cut_lineage(chars.join(top, "_lang").select(
-        "_lang", "_chars", F.col("_top._word").alias("_common"), F.concat("_top._count", F.array(
+        "_lang", "_docs", "_chars", F.col("_top._word").alias("_common"), F.concat("_top._count", F.array(
             F.col("_n") - F.aggregate("_top._count", F.lit(0).cast("long"), lambda a, b: a + b))).alias("_words")))
 
 
+def beside(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Each row with the reference of its language, nulls where there is none."""
+    same = F.col("lang") == F.col("_lang")
+    if others.count() <= BROADCAST_LANGS:
+        return rows.join(F.broadcast(others), same, "left")
+    each = others.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+    return dealt.join(each, same & (F.col("_salt") == F.col("_to")), "left").drop("_salt", "_to")
+
+
 def nearest(counts: Column, histograms: Sequence[Sequence[int] | Column]) -> Column:
     """Distance from the nearest reference; 0 if there is none."""
     found = [distance(counts, h) for h in histograms]
@@ -240,25 +255,25 @@ def nearest(counts: Column, histograms: Sequence[Sequence[int] | Column]) -> Col
 
 
 def divergent(m: Column, known: Mapping[str, tuple[list[int], list[int]]], limits: Limits = Limits(),
-              lang: Column | None = None, other: tuple[Column, Column, Column] | None = None) -> Column:
+              lang: Column | None = None, other: tuple[Column, Column, Column, Column] | None = None) -> Column:
     """Whether a measured document is too far from every reference.
 
     By chance alone the squared distance of n draws over k bins from their source
     is about (k - 1) / (8 n ln 2). Of the common words only those of one language
     are drawn in earnest. With ``lang``, other languages than the listed ones are
     held against their own reference too, if ``other`` has it (class counts, counts
-    of its words in the document and in the reference; null for none), and pass else.
+    of its words in the document and in the reference, its documents; null for none), and pass else.
     """
     n_chars = F.aggregate(m["chars"], F.lit(0).cast("long"), lambda a, b: a + b)
     own = max(len(words.split()) for words in COMMON_WORDS.values()) + 1
 
-    def over(distance_: Column, n: Column, least: int, limit: float, bins: int) -> Column:
+    def over(distance_: Column, n: Column, least: int, limit: Column, bins: int) -> Column:
         chance = F.sqrt(F.lit((bins - 1) / (8 * 0.6931471805599453)) / n)
         return (n >= least) & (distance_ > limit + limits.chance * chance)
 
-    def far(chars: Column, words: Column) -> tuple[Column, Column]:
-        return (over(chars, n_chars, limits.min_chars, limits.chars, BINS),
-                over(words, m["n_words"], limits.min_words, limits.words, own))
+    def far(chars: Column, words: Column, wider: Column | float = 0.0) -> tuple[Column, Column]:
+        return (over(chars, n_chars, limits.min_chars, limits.chars + F.lit(wider), BINS),
+                over(words, m["n_words"], limits.min_words, limits.words + F.lit(wider), own))
     listed = [[known[k][which] for k in sorted(known)] for which in (0, 1)]
     chars, words = far(nearest(m["chars"], listed[0]), nearest(m["commons"], listed[1]))
     if lang is None:
@@ -266,8 +281,8 @@ def divergent(m: Column, known: Mapping[str, tuple[list[int], list[int]]], limit
     strange = ~F.coalesce(lang.isin(*COMMON_WORDS), F.lit(False))
     if other is None:
         return ~strange & (chars | words)
-    theirs, spoken, reference = other
-    own_chars, own_words = far(distance(m["chars"], theirs), distance(spoken, reference))
+    theirs, spoken, reference, n_docs = other
+    own_chars, own_words = far(distance(m["chars"], theirs), distance(spoken, reference), limits.few / F.sqrt(n_docs))
     if not known:  # nothing listed to be near to
         chars = words = F.lit(True)
     return F.when(~strange, (chars | words) if known else F.lit(False)).when(theirs.isNull(), F.lit(False)).otherwise(
@@ -281,10 +296,10 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     if others is None:
         figures = cut_lineage(docs.select("doc_id", "lang", m.alias("m")))
     else:
-        rows = docs.select("doc_id", "lang", "text").join(F.broadcast(others), F.col("lang") == F.col("_lang"), "left")
-        figures = cut_lineage(rows.select("doc_id", "lang", m.alias("m"), "_chars", _spoken().alias("_spoken"), "_words"))
+        rows = beside(docs.select("doc_id", "lang", "text"), others)
+        figures = cut_lineage(rows.select("doc_id", "lang", m.alias("m"), "_chars", _spoken().alias("_spoken"), "_words", "_docs"))
     known = references(figures, "m")
-    other = None if others is None else (F.col("_chars"), F.col("_spoken"), F.col("_words"))
+    other = None if others is None else (F.col("_chars"), F.col("_spoken"), F.col("_words"), F.col("_docs"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     return figures.select("doc_id", *[F.col(f"m.{n}").alias(n) for n in names],
                           (~F.col("m.base_failed") & ~divergent(F.col("m"), known, limits, F.col("lang"), other)).alias("kept"))
@@ -302,9 +317,7 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     # before would measure it anew for each part of the condition.
     if others is None:
         return docs.where(let(measure(F.col("text")), lambda m: ~m["base_failed"] & ~divergent(m, known, limits, F.col("lang"))))
-    # The row travels as one column, so that no name of its own can clash. There are
-    # as many references as languages.
-    rows = docs.select(F.struct("*").alias("_row"), "text", "lang").join(
-        F.broadcast(others), F.col("lang") == F.col("_lang"), "left")
+    # The row travels as one column, so that no name of its own can clash.
+    rows = beside(docs.select(F.struct("*").alias("_row"), "text", "lang"), others)
     return rows.where(let(measure(F.col("text")), lambda m: let(_spoken(), lambda spoken: ~m["base_failed"] & ~divergent(
-        m, known, limits, F.col("lang"), (F.col("_chars"), spoken, F.col("_words")))))).select("_row.*")
+        m, known, limits, F.col("lang"), (F.col("_chars"), spoken, F.col("_words"), F.col("_docs")))))).select("_row.*")

@@ -7,11 +7,13 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from brightwell.llm import langid, pii, quality, toxicity, warc
+from brightwell.llm import checks, langid, pii, quality, toxicity, warc
 from tests.llm.helpers import SCHEMA, awkward, documents, prose, values
 
 FOLDER = "/root/testdata/sf0.001"
@@ -115,6 +117,34 @@ def test_other_languages_are_held_against_their_own(spark, listed):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == wanted
 
 
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_verdicts_of_any_language_equal_the_sql(spark, monkeypatch, most):
+    """Languages of one document and of many, none, listed ones; references broadcast and joined by salt."""
+    monkeypatch.setattr(quality, "BROADCAST_LANGS", most)
+    def strange(seed, n=90, sign=""):
+        draw = random.Random(seed)
+        return " ".join("".join(draw.choice("абвгдежз") for _ in range(draw.choice([1, 1, 2]))) + sign for _ in range(n))
+    rows = [(i, strange(i), "ru") for i in range(25)] + [(30, strange(30, sign="##"), "ru"), (31, strange(31), "bg"), (32, strange(32), None)]
+    rows += [(40 + i, strange(40 + i, sign="#" * (i > 1)), "mk") for i in range(4)] + [(50, None, "mk"), (51, strange(51, 20), "sr")]
+    rows += [(60 + i, prose(i, 150), "en") for i in range(30)] + [(95, strange(95), "en"), (96, prose(96, 150), "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "lang"])
+    wanted = duckdb.sql(checks.divergence()).fetchall()
+    found = quality.judge(docs)
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+    kept = {r[0] for r in wanted if r[-1]}
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == kept and 31 in kept and not kept & {30, 50, 51, 95}
+
+
+def test_one_more_document_turns_no_test_on(spark):
+    """The limits of a language narrow little by little as documents of it come in."""
+    m = spark.range(1, 2000).select(F.struct(F.array(*[F.lit(9).cast("long")] * quality.BINS).alias("chars"), F.lit(90).cast("long").alias("n_words"),
+                                              F.array(F.lit(1), F.lit(89)).alias("commons")).alias("m"), F.col("id").alias("n"))
+    other = (F.array(*[F.lit(k) for k in (11, 9, 9, 9, 9, 9, 9, 7)]), F.array(F.lit(1), F.lit(1)), F.array(F.lit(1), F.lit(1)), F.col("n"))
+    found = [r[0] for r in m.select(quality.divergent(F.col("m"), {}, quality.Limits(chars=0.0, chance=0.0, min_chars=0), F.lit("ru"), other), "n").orderBy("n").collect()]
+    assert not found[19] and found[-1] and found == sorted(found)
+
+
 def test_clean_labels_are_kept(spark, given, labels):
     found = quality.judge(given).join(labels, "doc_id").where("NOT base_failed").groupBy("quality").agg(
         F.avg(F.col("kept").cast("int")).alias("share"))
