@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the model is fitted on, about.
 SAMPLE = 4_000
+#: Labelled proposals that one document of the sample gives at most.
+PER_TEXT = 64
 #: Least calibrated probability of a pick, by kind.
 THRESHOLDS = {"email": 0.95, "ip": 0.95, "card": 0.95, "phone": 0.95}
 
@@ -291,11 +293,11 @@ def calibrate(raw: np.ndarray, y: np.ndarray, steps: int = 30) -> tuple[float, f
     return float(a), float(b)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, per_text: int = PER_TEXT) -> Model:
     """Fit and calibrate on about ``sample`` documents, chosen by a hash of the row.
 
     Tasks send back one row of numbers per labelled proposal, no text, and at most
-    64 from a document, so the driver's share is bounded by the sample.
+    ``per_text`` from a document, so the driver's share is bounded by the sample.
     """
     rows = docs.count()
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
@@ -306,7 +308,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             out = []
             for text, half in zip(batch["text"], batch["half"]):
                 known = [p for p in proposals(text, list(base_matches(text))) if p.label == p.label]
-                known = sorted(known, key=lambda p: _order(text[p.start:p.end]))[:64]
+                known = sorted(known, key=lambda p: _order(text[p.start:p.end]))[:per_text]
                 out += [(int(half), p.label, [float(v) for v in features(text, p)]) for p in known]
             yield pd.DataFrame(out, columns=["half", "label", "x"])
 
