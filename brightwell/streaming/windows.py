@@ -37,6 +37,7 @@ from brightwell.operators.aggregate import (
     masked_count,
     masked_values,
     percentiles,
+    sketched_count,
     value_masks,
 )
 from brightwell.streaming.panes import State, sliding
@@ -178,7 +179,7 @@ def basic_windows(df: DataFrame, size: str = "1 minute", rsd: float = 0.05) -> D
         "total_transactions": rows(),
         "total_volume_usd": round_half_up(_usd_sum()), "avg_amount_usd": round_half_up(mean(USD)),
         "min_amount_usd": round_half_up(F.min(USD)), "max_amount_usd": round_half_up(F.max(USD)),
-        "unique_accounts": F.approx_count_distinct("account_id", rsd)})
+        "unique_accounts": sketched_count("account_id", rsd)})
 
 
 def grouped_windows(df: DataFrame, size: str = "2 minutes") -> DataFrame:

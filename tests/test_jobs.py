@@ -13,6 +13,7 @@ from brightwell.functions import bands, dates, numbers, strings, udfs
 from brightwell.operators import aggregate as agg
 from brightwell.operators import catalog, layout, logs, quality, skew, text
 from brightwell.operators import relational as rel
+from brightwell.streaming import windows
 from tests.conftest import rows
 
 
@@ -165,6 +166,21 @@ def test_approximate_distinct_is_close(spark):
     assert abs(estimate - 100_000) <= 100_000 * 0.06
 
 
+def test_first_totals_count_few_accounts_of_many_windows(spark):
+    """Two pairs of four accounts meet in a register of a plain sketch in groups 2379 and 36140."""
+    ids = spark.range(160_000).select((F.col("id") / 4).cast("long").alias("minute"), F.concat(
+        F.lit("ACC"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("account_id"))
+    totals = ids.where("minute IN (2379, 36140)").unionByName(spark.createDataFrame(
+        [(1, None), (1, None), (2, ""), (2, "a"), (2, "a")], "minute LONG, account_id STRING"))
+    totals = totals.select("account_id", F.timestamp_seconds(F.col("minute") * 60).alias("event_timestamp"), F.lit(1).cast("decimal(18,2)").alias("amount_usd"))
+    found = windows.basic_windows(totals)
+    assert rows(found, (F.unix_timestamp("window_start") / 60).cast("int"), "unique_accounts", "total_transactions") == [
+        (1, 0, 2), (2, 2, 3), (2379, 4, 4), (36140, 4, 4)]
+    many = spark.range(400_000).select((F.col("id") % 200).alias("g"), F.col("id").cast("string").alias("a"))
+    far = many.groupBy("g").agg(agg.sketched_count("a").alias("n")).where("abs(n - 2000) > 0.15 * 2000")
+    assert far.count() == 0
+
+
 def test_salted_jobs_equal_plain_jobs(spark):
     large = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 200 END AS k", "id")
     other = spark.range(150).selectExpr("id AS k", "id * 10 AS w")
