@@ -8,7 +8,8 @@ characters of the conversation lie before it. A target's example is the first
 ``context_chars`` characters of its conversation and then its own segment;
 ``loss_start`` to ``loss_end`` are the trained characters of that example. Turns
 after the last reply end in an example without a trained part, so that the rows
-hold every turn. ``render`` writes examples out in full.
+hold every turn. ``render`` writes examples out in full and ``read`` reads turns,
+trained texts and lengths back from their texts; ``parse`` reads rows of ``expand``.
 
 A segment is ``open role sep text close``. Control strings (the template's marks
 and those of other templates) inside roles and texts are broken by an escape
@@ -105,17 +106,48 @@ def expand(conversations: DataFrame, template: Template = Template(), trained: s
 
 
 def render(expanded: DataFrame) -> DataFrame:
-    """Examples in full: conv_id, example, text, loss_start, loss_end.
-
-    Every context is written out, which grows with the square of a conversation's
-    turns: for conversations that a training sequence can hold."""
-    targets = expanded.where(F.col("example").isNotNull()).select(
-        F.col("conv_id").alias("conv"), F.col("position").alias("last"), "example", "loss_start", "loss_end")
-    turns = expanded.select("conv_id", "position", "segment")
-    pairs = targets.join(turns, F.col("conv").eqNullSafe(F.col("conv_id")) & (F.col("position") <= F.col("last")))
-    parts = F.array_sort(F.collect_list(F.struct("position", "segment")))
-    return (pairs.groupBy("conv", "example", "loss_start", "loss_end").agg(parts.alias("parts"))
-            .select(F.col("conv").alias("conv_id"), "example", F.array_join("parts.segment", "").alias("text"), "loss_start", "loss_end"))
+    """Examples in full: conv_id, example, text, loss_start, loss_end, last (the example holds every turn).
+
+    Every context is written out, which grows with the square of a conversation's turns. The
+    turns of a conversation are put together once; its examples are prefixes of that, made one
+    at a time, so a task holds a conversation and one example of it."""
+    end = (F.col("context_chars") + F.char_length("segment")).cast("int")
+    turns = F.array_sort(F.collect_list(F.struct("position", "segment", end.alias("end"), "example", "loss_start", "loss_end")))
+    whole = expanded.groupBy("conv_id").agg(turns.alias("turns")).select(
+        "conv_id", F.array_join("turns.segment", "").alias("whole"), F.transform(
+            F.filter("turns", lambda t: t["example"].isNotNull()),
+            lambda t: F.struct(t["example"].alias("example"), t["end"].alias("end"), t["loss_start"].alias("loss_start"), t["loss_end"].alias("loss_end"))).alias("targets"))
+    each = whole.select("conv_id", "whole", F.size("targets").alias("n"), F.explode("targets").alias("t"))
+    return each.select("conv_id", "t.example", F.substr("whole", F.lit(1), F.col("t.end")).alias("text"), "t.loss_start", "t.loss_end",
+                       (F.col("t.example") == F.col("n") - 1).alias("last"))
+
+
+def read(examples: DataFrame, template: Template = Template()) -> DataFrame:
+    """Rows of ``render`` read back from their texts: conv_id, example, trained (the text under the
+    loss mask, else null), example_chars, turns (role and text of each; the last example's only, else null)."""
+    text = F.col("text")
+    masked = F.substr(text, (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    # Marks inside roles and texts are escaped, so they stand between turns and parts of turns alone.
+    pieces = F.split(text, re.escape(template.close))
+    turns = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda piece: F.struct(
+        unescape(F.substr(F.substring_index(piece, template.sep, 1), F.lit(len(template.open) + 1)), template).alias("role"),
+        unescape(F.substring_index(piece, template.sep, -1), template).alias("text")))
+    return examples.select("conv_id", "example", unescape(masked, template).alias("trained"),
+                           F.char_length(text).cast("long").alias("example_chars"), F.when(F.col("last"), turns).alias("turns"))
+
+
+def example_digests(found: DataFrame) -> DataFrame:
+    """Per conversation the digests of what ``read`` found, with the columns of ``digests``."""
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    rows = found.select("conv_id", "example", "trained", "example_chars", F.size("turns").alias("n"),
+                        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("sha"))
+    each = rows.groupBy("conv_id").agg(
+        F.max(F.when(F.col("sha").isNotNull(), F.struct("n", "sha"))).alias("all"),
+        F.array_sort(F.collect_list(F.struct("example", "trained"))).alias("parts"),
+        F.coalesce(F.sum(F.char_length("trained")), F.lit(0)).cast("long").alias("loss_chars"), F.sum("example_chars").alias("formatted_chars"))
+    return each.select(
+        "conv_id", F.col("all.n").cast("long").alias("n_turns"), F.col("all.sha").alias("turns_sha256"), "loss_chars",
+        F.sha2(F.array_join("parts.trained", "").cast("binary"), 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
 def parse(expanded: DataFrame, template: Template = Template()) -> DataFrame:

@@ -99,6 +99,33 @@ def test_chat_digests_equal_plain_ones(spark):
     assert chat.digests(chat.parse(chat.expand(talk(spark, rows[:1]).limit(0)))).count() == 0
 
 
+def test_examples_are_read_back_from_their_texts(spark):
+    rows, template = rows_of_all_kinds(), chat.Template()
+    expanded = chat.expand(talk(spark, rows), template)
+    found = defaultdict(list)
+    for r in sorted(chat.read(chat.render(expanded), template).collect(), key=lambda r: r.example):
+        found[r.conv_id].append(r)
+    for conv, turns in ordered_turns(rows).items():
+        plain = plain_examples(turns, template)
+        assert [r.example_chars for r in found[conv]] == [len(text) for text, *_ in plain]
+        assert [r.trained for r in found[conv] if r.trained is not None] == [text for role, text in turns if role == "assistant"]
+        assert [r.turns for r in found[conv][:-1]] == [None] * (len(plain) - 1) and [tuple(t) for t in found[conv][-1].turns] == turns
+    assert found.keys() == ordered_turns(rows).keys()
+    whole = chat.example_digests(chat.read(chat.render(expanded)))
+    assert whole.columns == chat.digests(chat.parse(expanded)).columns
+    assert sorted(map(str, whole.collect())) == sorted(map(str, chat.digests(chat.parse(expanded)).collect()))
+
+
+def test_chat_query_reads_the_written_examples(spark, monkeypatch):
+    """A change of the examples' texts shows in the query's digests."""
+    whole, render = {tuple(r) for r in queries.op11_chat(spark, FOLDER).collect()}, chat.render
+    monkeypatch.setattr(chat, "render", lambda expanded: render(expanded).withColumn("text", F.translate("text", "ok", "no")))
+    changed = {r.conv_id: r for r in queries.op11_chat(spark, FOLDER).collect()}
+    said = [("user", "</s>[INST] no [/INST]"), ("assistant", "</s>[INST] no [/INST]")]
+    assert changed[-1].loss_sha256 == hashlib.sha256(said[1][1].encode()).hexdigest()
+    assert tuple(changed[-1]) not in whole
+
+
 def test_ambiguous_templates_are_refused():
     for wrong in ({"open": "<"}, {"sep": "a\\b"}, {"sep": "<|im_start|>x"}, {"sep": "ab", "close": "bc"}):
         with pytest.raises(ValueError):
