@@ -60,6 +60,19 @@ def one_of_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     return alone.union(first).select("_row.*")
 
 
+def merged(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two groupings of the same rows as one: rows that share a label in either, or through
+    others, get one label. Both have the columns that ``one_of_each`` takes."""
+    key = ["_first", "_second"]
+    both = one.select(*key, "label").distinct().join(other.select(*key, F.col("label").alias("with")).distinct(), key)
+    pairs = cut_lineage(both.select("label", "with").distinct())
+    # A label of the other grouping links the labels it holds to the smallest.
+    lowest = pairs.groupBy("with").agg(F.min("label").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    joined = components(pairs.join(lowest, "with").select("a", F.col("label").alias("b")))
+    return one.join(joined, F.col("label") == F.col("id"), "left").select(
+        "doc_id", *key, F.coalesce("component", "label").alias("label"))
+
+
 def _relink(links: DataFrame, keep_larger: bool) -> DataFrame:
     """Link neighbours (u, v) of u to the smallest of u and its neighbours."""
     lowest = links.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("low")).select(

@@ -221,7 +221,7 @@ def _bucketed(keyed: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
     return pairs.union(stars), large.select("key", "node")
 
 
-def _labelled(docs: DataFrame, threshold: float, bands: int | None, bucket: int) -> DataFrame:
+def grouped(docs: DataFrame, threshold: float = 0.8, bands: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, _first, _second, label), a row for each of ``docs``: its group."""
     bands = band_count(threshold) if bands is None else bands
     places = HASHES // bands
@@ -282,7 +282,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int | None =
     buckets). So candidates grow with the number of nodes. What leaders leave apart in a
     large band is searched by prefixes of the sets (``bridges``), which loses no link.
     """
-    found = _labelled(docs, threshold, bands, bucket)
+    found = grouped(docs, threshold, bands, bucket)
     lowest = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return found.join(lowest, "label").select("doc_id", "component_id")
 
@@ -290,4 +290,4 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int | None =
 def keep_one(docs: DataFrame, threshold: float = 0.8, bands: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """Of each group of ``near_duplicates`` one row, with the columns of ``docs``: that
     of the smallest doc_id (null ones last), and of several the smallest in column order."""
-    return one_of_each(docs, _labelled(docs, threshold, bands, bucket))
+    return one_of_each(docs, grouped(docs, threshold, bands, bucket))

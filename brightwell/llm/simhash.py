@@ -115,6 +115,13 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return prints.join(known, F.col("print") == F.col("_print")).select("doc_id", "print", "component_id")
 
 
+def grouped(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, _first, _second, label), a row for each of ``docs``: its component."""
+    prints = cut_lineage(fingerprints(row_keys(docs)))
+    named = _labelled(prints, bucket).select("_print", "label")
+    return prints.join(named, F.col("print") == F.col("_print")).select("doc_id", "_first", "_second", "label")
+
+
 def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Of each component of near-duplicates one row, with the columns of ``docs``.
 
@@ -122,6 +129,4 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     and of several the smallest in column order stays. Components are told apart by
     their fingerprints, so ids may be null or repeat.
     """
-    prints = cut_lineage(fingerprints(row_keys(docs)))
-    named = _labelled(prints, bucket).select("_print", "label")
-    return one_of_each(docs, prints.join(named, F.col("print") == F.col("_print")).select("doc_id", "_first", "_second", "label"))
+    return one_of_each(docs, grouped(docs, bucket))

@@ -16,7 +16,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightwell.llm import minhash, mixing, packing, pii, quality, queries
+from brightwell.llm import components, minhash, mixing, packing, pii, quality, queries, simhash
 from brightwell.llm.common import table
 from brightwell.session import checkpoint_folder
 
@@ -30,9 +30,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with a Jaccard similarity of 0.8 or more
-    on five-word shingles: that of the smallest doc_id."""
-    return minhash.keep_one(docs)
+    """One document of each component, that of the smallest doc_id. Texts are linked if
+    their SimHash fingerprints, found by deletion variants, differ in two bits at most,
+    or if the Jaccard similarity of their five-word shingles is 0.8 or more."""
+    return components.one_of_each(docs, components.merged(minhash.grouped(docs), simhash.grouped(docs)))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -433,6 +433,21 @@ def varied(seed, n):
     return [f"w{draw.randrange(5000)}" for _ in range(n)]
 
 
+def test_stage_links_by_fingerprints_and_by_sets(spark):
+    """A repeated phrase rules a SimHash and is a few of many shingles to a Jaccard similarity."""
+    phrase, tails = varied(1, 5), [varied(2, 100), varied(3, 100)]
+    texts = [" ".join(phrase * 400 + tails[0]), " ".join(phrase * 400 + tails[1]), " ".join(phrase * 2 + tails[1]), " ".join(varied(4, 200))]
+    sets, prints = [set(minhash.shingles(t).tolist()) for t in texts], [simhash.simhash(t) for t in texts]
+    alike = {(a, b) for a in range(4) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    near = {(a, b) for a in range(4) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2}
+    assert (alike, near) == ({(2, 1)}, {(1, 0)})
+    docs = documents(spark, texts)
+    assert values(minhash.keep_one(docs), "doc_id") == [(1,), (2,), (4,)] and values(simhash.keep_one(docs), "doc_id") == [(1,), (3,), (4,)]
+    assert values(corpus_pipeline.near_duplicates(spark, docs, FOLDER), "doc_id") == [(1,), (4,)]
+    odd = awkward(spark)
+    assert len(values(corpus_pipeline.near_duplicates(spark, odd, FOLDER))) == len(values(minhash.keep_one(odd)))
+
+
 def test_stage_catches_planted_near_copies(spark):
     draw, texts, kept = random.Random(3), [], []
     for i in range(60):
