@@ -9,6 +9,7 @@ import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from __spark_entry__ import QUERIES
 from brightwell.functions import bands, dates, numbers, strings, udfs
 from brightwell.operators import aggregate as agg
 from brightwell.operators import catalog, layout, logs, quality, skew, text
@@ -160,6 +161,12 @@ def test_completion_and_sums_are_exact(spark):
     assert cents.first()["t"] == 1.0
 
 
+def test_no_sketch_for_every_user(spark):
+    plan = plan_of(QUERIES["agg_approx_distinct"](spark, "/root/testdata/sf0.001"))
+    kept = [line for line in plan.splitlines() if "Aggregate(" in line and "approx_count_distinct" in line]
+    assert kept and not [line for line in kept if "user_id" in line.split("functions=")[0]]
+
+
 def test_approximate_distinct_is_close(spark):
     df = spark.range(100_000)
     estimate = df.agg(F.approx_count_distinct("id", 0.02).alias("n")).first()["n"]
