@@ -247,26 +247,48 @@ def hub_activity(out_side: DataFrame, in_side: DataFrame, hub: str, distance: st
         F.try_divide(F.sum("d").cast("double"), F.sum("k")).alias("weighted_avg")))
 
 
-def distinct_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+#: Rows aimed at in a task that keeps a group for nearly every row.
+TASK_ROWS = 500_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks of about ``TASK_ROWS`` rows, as many as there are cores at least. The
+    count of a stored table comes from its footers."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
+def dealt(df: DataFrame, keys: Sequence[str], tasks: int | None) -> DataFrame:
+    """Rows dealt by keys before they are grouped by them.
+
+    For groups of a few rows each, where partial results on the map side save nothing
+    and one task's groups would grow with the file that it reads. With ``tasks`` of
+    ``tasks_for``, a task's groups stay bounded at any size of the table.
+    """
+    return df if tasks is None else df.repartition(tasks, *keys)
+
+
+def distinct_per_key(df: DataFrame, key: str, value: str, name: str, tasks: int | None = None) -> DataFrame:
     """Distinct values of each key, as an aggregate of its own: beside other
-    aggregates, two distinct counts would copy every row."""
-    return df.select(key, value).distinct().groupBy(key).agg(F.count(value).alias(name))
+    aggregates, two distinct counts would copy every row. With ``tasks`` pairs are dealt."""
+    return dealt(df.select(key, value), [key, value], tasks).distinct().groupBy(key).agg(F.count(value).alias(name))
 
 
 def customer_value(lines: DataFrame, customer: str, order: str, value: Column, quantity: str,
-                   product: str, price: str) -> DataFrame:
+                   product: str, price: str, tasks: int | None = None) -> DataFrame:
     """Orders, items, value and variety per customer, with the mean order value.
 
     Lines are first summed per order. Rows without a customer are left out.
+    ``tasks`` of ``tasks_for`` keep the groups of a task bounded.
     """
     lines = lines.where(F.col(customer).isNotNull())
-    per_order = lines.groupBy(customer, order).agg(
-        F.sum(money(quantity)).alias("__items"), F.sum(value).alias("__value"),
-        F.sum(money(price)).alias("__price"), F.count(price).alias("__priced"))
+    slim = lines.select(customer, order, money(quantity).alias("__quantity"), value.alias("__amount"), money(price).alias("__cost"))
+    per_order = dealt(slim, [customer, order], tasks).groupBy(customer, order).agg(
+        F.sum("__quantity").alias("__items"), F.sum("__amount").alias("__value"),
+        F.sum("__cost").alias("__price"), F.count("__cost").alias("__priced"))
     totals = per_order.groupBy(customer).agg(
         F.count(order).alias("order_count"), total("__items").alias("total_items"),
         total("__value").alias("customer_value"), ratio(F.sum("__price"), F.sum("__priced")).alias("avg_item_price"))
-    variety = distinct_per_key(lines, customer, product, "product_variety")
+    variety = distinct_per_key(lines, customer, product, "product_variety", tasks)
     return attach_by_key(totals, variety, [customer]).withColumn(
         "avg_order_value", round_half_up(ratio("customer_value", "order_count")))
 
@@ -287,15 +309,17 @@ def market_summary(orders: DataFrame, market: str, customer: str, value: str, li
 
 
 def product_matrix(lines: DataFrame, products: DataFrame, product: str, name: str, order: str,
-                   customer: str, value: Column, quantity: str) -> DataFrame:
+                   customer: str, value: Column, quantity: str, tasks: int | None = None) -> DataFrame:
     """Volume, reach and revenue per product. Lines are first summed per order, and
-    names are joined to the finished totals: one row per product instead of one per line."""
-    per_order = lines.groupBy(product, order).agg(
-        F.sum(money(quantity)).alias("__quantity"), F.sum(value).alias("__value"))
+    names are joined to the finished totals: one row per product instead of one per line.
+    ``tasks`` of ``tasks_for`` keep the groups of a task bounded."""
+    slim = lines.select(product, order, money(quantity).alias("__items"), value.alias("__amount"))
+    per_order = dealt(slim, [product, order], tasks).groupBy(product, order).agg(
+        F.sum("__items").alias("__quantity"), F.sum("__amount").alias("__value"))
     totals = per_order.groupBy(product).agg(
         total("__quantity").alias("total_quantity"), F.count(order).alias("order_frequency"),
         total("__value").alias("total_revenue"))
-    totals = attach_by_key(totals, distinct_per_key(lines, product, customer, "customer_reach"), [product])
+    totals = attach_by_key(totals, distinct_per_key(lines, product, customer, "customer_reach", tasks), [product])
     return totals.join(products.select(product, F.col(name).alias("product_name")), product).withColumns({
         "revenue_per_unit": round_half_up(ratio("total_revenue", "total_quantity")),
         "avg_quantity_per_order": round_half_up(ratio("total_quantity", "order_frequency"))})

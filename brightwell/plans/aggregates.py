@@ -246,7 +246,7 @@ SELECT o_custkey, count(DISTINCT o_orderkey) AS order_count, {sql_total(sql_mone
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""")
 def customer_value(t):
     return agg.customer_value(_sales(t), "o_custkey", "o_orderkey", revenue(), "l_quantity", "l_partkey",
-                              "l_extendedprice")
+                              "l_extendedprice", agg.tasks_for(t.lineitem))
 
 
 @query("market_summary", f"""
@@ -273,7 +273,8 @@ SELECT *, {sql_round(sql_ratio('total_revenue', 'total_quantity'))} AS revenue_p
   {sql_round(sql_ratio('total_quantity', 'order_frequency'))} AS avg_quantity_per_order FROM s""")
 def product_matrix(t):
     lines = _sales(t).withColumnRenamed("l_partkey", "p_partkey")
-    return agg.product_matrix(lines, t.part, "p_partkey", "p_name", "o_orderkey", "o_custkey", revenue(), "l_quantity")
+    return agg.product_matrix(lines, t.part, "p_partkey", "p_name", "o_orderkey", "o_custkey", revenue(), "l_quantity",
+                              agg.tasks_for(t.lineitem))
 
 
 @query("category_performance", f"""

@@ -167,6 +167,16 @@ def test_no_sketch_for_every_user(spark):
     assert kept and not [line for line in kept if "user_id" in line.split("functions=")[0]]
 
 
+@pytest.mark.parametrize("name", ["product_matrix", "customer_value"])
+def test_pairs_are_dealt_before_they_are_grouped(spark, name):
+    """Groups of a few rows each must not be gathered by the task that reads a file."""
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    pairs = re.findall(r"hashpartitioning\((\w+)#\d+L?, (\w+)#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
+    assert len(set(pairs)) == 2 and {"p_partkey", "o_custkey"} & set(pairs[0])
+    rows_a_task = spark.range(5 * agg.TASK_ROWS + 1)
+    assert agg.tasks_for(rows_a_task) == 6 and agg.tasks_for(spark.range(0)) == spark.sparkContext.defaultParallelism
+
+
 def test_approximate_distinct_is_close(spark):
     df = spark.range(100_000)
     estimate = df.agg(F.approx_count_distinct("id", 0.02).alias("n")).first()["n"]
