@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightwell.functions.numbers import mean, money, percent, ratio, round_half_up, total
+from brightwell.operators.skew import with_salt
 from brightwell.session import cut_lineage
 
 
@@ -247,6 +248,8 @@ def hub_activity(out_side: DataFrame, in_side: DataFrame, hub: str, distance: st
         F.try_divide(F.sum("d").cast("double"), F.sum("k")).alias("weighted_avg")))
 
 
+#: Parts of a route that holds many rows.
+ROUTE_SALTS = 16
 #: Rows aimed at in a task that keeps a group for nearly every row.
 TASK_ROWS = 500_000
 
@@ -372,10 +375,20 @@ def carrier_performance(df: DataFrame, carrier: str, cancelled: Column, distance
 
 
 def route_performance(df: DataFrame, origin: str, dest: str, carrier: str, cancelled: Column,
-                      distance: str, min_flights: int = 5) -> DataFrame:
-    return df.groupBy(origin, dest).agg(
-        F.count(F.lit(1)).alias("flight_count"), F.count_distinct(carrier).alias("carriers_serving"),
-        mean(money(distance)).alias("avg_distance"), F.count_if(cancelled).alias("cancelled_count"),
+                      distance: str, min_flights: int = 5, tasks: int | None = None) -> DataFrame:
+    """Volume, carriers, distance and cancellations by route.
+
+    Most routes hold a few rows, so rows are dealt by route, carrier and a salt and then by
+    route: no task's groups grow with the table (``tasks`` of ``tasks_for``), and a route that
+    holds many of the rows is spread over the salts."""
+    slim = df.select(F.col(origin), F.col(dest), F.col(carrier), money(distance).alias("__distance"), cancelled.alias("__cancelled"))
+    flown = [origin, dest, carrier, "__salt"]
+    parts = dealt(with_salt(slim, ROUTE_SALTS), flown, tasks).groupBy(*flown).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__distance").alias("__sum"), F.count("__distance").alias("__known"),
+        F.count_if("__cancelled").alias("__off"))
+    return dealt(parts, [origin, dest], tasks).groupBy(origin, dest).agg(
+        F.sum("__n").alias("flight_count"), F.count_distinct(carrier).alias("carriers_serving"),
+        ratio(F.sum("__sum"), F.sum("__known")).alias("avg_distance"), F.sum("__off").alias("cancelled_count"),
     ).where(F.col("flight_count") >= min_flights)
 
 

@@ -330,7 +330,7 @@ SELECT l_suppkey, l_partkey, count(*) AS flight_count, count(DISTINCT l_linestat
 FROM lineitem GROUP BY ALL HAVING count(*) >= 3""")
 def route_performance(t):
     return agg.route_performance(t.lineitem, "l_suppkey", "l_partkey", "l_linestatus",
-                                 F.col("l_returnflag") == "R", "l_quantity", 3)
+                                 F.col("l_returnflag") == "R", "l_quantity", 3, agg.tasks_for(t.lineitem))
 
 
 @query("haul_mix", f"""

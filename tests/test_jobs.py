@@ -177,6 +177,20 @@ def test_pairs_are_dealt_before_they_are_grouped(spark, name):
     assert agg.tasks_for(rows_a_task) == 6 and agg.tasks_for(spark.range(0)) == spark.sparkContext.defaultParallelism
 
 
+def test_routes_are_dealt_before_they_are_grouped(spark):
+    df = spark.range(4000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 WHEN id = 1 THEN NULL ELSE id % 700 END AS o", "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS d",
+        "nullif(id % 5, 4) AS c", "id % 2 = 0 AS off", "CAST(nullif(id % 11, 3) AS DOUBLE) AS km")
+    found = agg.route_performance(df, "o", "d", "c", F.col("off"), "km", 2, 3)
+    wanted = df.groupBy("o", "d").agg(
+        F.count(F.lit(1)).alias("flight_count"), F.count_distinct("c").alias("carriers_serving"),
+        numbers.mean(numbers.money("km")).alias("avg_distance"), F.count_if("off").alias("cancelled_count")).where("flight_count >= 2")
+    assert found.dtypes == wanted.dtypes and rows(found) == rows(wanted) and wanted.count() > 500
+    plan = plan_of(QUERIES["route_performance"](spark, "/root/testdata/sf0.001"))
+    assert re.search(r"l_suppkey#\d+L?, l_partkey#\d+L?, l_linestatus#\d+, __salt#\d+, \d+\), REPARTITION_BY_NUM", plan)
+    assert re.search(r"\(l_suppkey#\d+L?, l_partkey#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
+
+
 def test_approximate_distinct_is_close(spark):
     df = spark.range(100_000)
     estimate = df.agg(F.approx_count_distinct("id", 0.02).alias("n")).first()["n"]
