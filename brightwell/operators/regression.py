@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from brightwell.functions.bands import ERROR_BANDS, below
 from brightwell.functions.numbers import round_half_up
+from brightwell.operators.aggregate import dealt, tasks_for
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features",
@@ -158,9 +159,11 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str, keys: Seq
 
     The feature vectors are built once and kept for all fits; each model's test
     metrics, four numbers, are fetched while they are. Rows with a NULL feature
-    take part in neither.
+    take part in neither. Rows are dealt out first: every pass of every fit runs on
+    as many tasks as the kept rows have, which would else be those of the files.
     """
-    picked = assemble(df.select(*dict.fromkeys([*keys, *features, label])), features)
+    names = list(dict.fromkeys([*keys, *features, label]))
+    picked = assemble(dealt(df.select(*names), names, tasks_for(df)), features)
     train, test = (part.select("features", label).persist() for part in train_test(picked, keys, train_share))
     try:
         found = []

@@ -120,6 +120,23 @@ def test_model_comparison(houses):
     assert rows(table.where("best_rmse"), "model") == [("linear",)] == rows(table.where("best_r2"), "model")
 
 
+def test_models_are_fitted_on_rows_dealt_out(spark, houses, monkeypatch):
+    """A table read by one task is not fitted by one task."""
+    real, seen = reg.regressor, []
+
+    class Watched:
+        def __init__(self, *args, **params):
+            self.inner = real(*args, **params)
+
+        def fit(self, train):
+            seen.append(train.rdd.getNumPartitions())
+            return self.inner.fit(train)
+
+    monkeypatch.setattr(reg, "regressor", Watched)
+    reg.compare_models(houses.coalesce(1), FEATURES, "price", ["id"], ["linear"])
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
 def test_closed_form_and_comparables(houses):
     line = reg.closed_form(houses.selectExpr("area AS x", "3.0 * area + 2 AS y"), "x", "y").first()
     assert (line["slope"], line["intercept"], line["r2"]) == pytest.approx((3, 2, 1))
