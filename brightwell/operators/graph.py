@@ -90,9 +90,10 @@ def triangle_count(edges: DataFrame) -> DataFrame:
     Links point from the end of lower degree to the end of higher degree. No
     vertex then has more than sqrt(2E) links going out, whatever its degree,
     so a hub does not multiply its neighbours. Each candidate is closed by one
-    equi-join with the links.
+    equi-join with the links. The links are read three times for the degrees of
+    their ends and so are written once, instead of being made from the edges anew.
     """
-    links = undirected(edges)
+    links = cut_lineage(undirected(edges))
     degree = links.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(
         F.count(F.lit(1)).alias("deg"))
     ranked = (links.join(degree.select(F.col("v").alias("a"), F.col("deg").alias("da")), "a")

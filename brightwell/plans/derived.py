@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brightwell.operators.aggregate import dealt, tasks_for
 from brightwell.operators.graph import Graph
 from brightwell.plans.registry import Tables
 from brightwell.streaming import latency, rules
@@ -238,9 +239,12 @@ def trade_graph(t: Tables) -> Graph:
     """Customers point to the suppliers they bought from; both point to their nation."""
     def node(prefix, column):
         return F.concat(F.lit(prefix), F.col(column).cast("string"))
-    bought = (t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-              .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-              .select(node("C", "o_custkey").alias("src"), node("S", "l_suppkey").alias("dst")).distinct())
+    # Pairs are compared as numbers, once: few lines of an order share a supplier.
+    pairs = (t.lineitem.select("l_orderkey", "l_suppkey")
+             .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .select("o_custkey", "l_suppkey"))
+    bought = dealt(pairs, ["o_custkey", "l_suppkey"], tasks_for(t.lineitem)).distinct().select(
+        node("C", "o_custkey").alias("src"), node("S", "l_suppkey").alias("dst"))
     places = place_graph(t)
     homes = places.edges.where("src NOT LIKE 'N%'")
     return Graph(places.vertices.where("id NOT LIKE 'R%'"), bought.unionByName(homes))

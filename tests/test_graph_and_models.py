@@ -105,6 +105,21 @@ def test_linear_regression_finds_the_formula(houses, tmp_path):
     assert reg.calibration(scored, "price").first()["well_calibrated"]
 
 
+def test_links_are_made_from_the_edges_once(spark, friends, monkeypatch):
+    kept, cut = [], g.cut_lineage
+    monkeypatch.setattr(g, "cut_lineage", lambda df: kept.append(df.columns) or cut(df))
+    made = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    edges = friends.edges.coalesce(1).mapInPandas(watched, "src STRING, dst STRING")
+    assert rows(g.triangle_count(edges)) == [(1,)]
+    assert made.value == 7 and kept[0] == ["a", "b"]
+
+
 def test_metrics_with_real_errors(spark):
     df = spark.createDataFrame([(100.0, 105.0), (200.0, 170.0), (300.0, 225.0), (0.0, 1.0), (50.0, 100.0)], "price DOUBLE, prediction DOUBLE")
     one = reg.metrics(df, "price").first()
