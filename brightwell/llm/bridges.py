@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightwell.llm.common import cut_lineage
+from brightwell.llm.common import cut_lineage, for_once
 
 #: Counters of the order of items (two megabytes), a power of two.
 COUNTERS = 1 << 18
@@ -46,7 +46,7 @@ PREFIX = "token long, code long, label long, size int, place int, short boolean"
 def counters(sets: DataFrame) -> np.ndarray:
     """How often the items of each counter occur."""
     at = F.col("item").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
-    rows = sets.select(F.explode("items").alias("item")).groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    rows = for_once(sets.select(F.explode("items").alias("item")).groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n"))).toArrow()
     out = np.zeros(COUNTERS, dtype=np.int64)
     out[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return out

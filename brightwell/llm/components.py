@@ -9,10 +9,10 @@ Links are checkpointed each round.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from brightwell.llm.common import cut_lineage
+from brightwell.llm.common import cut_lineage, for_once
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,10 +23,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = cut_lineage(links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    digest = _digest(links)
     while True:
         large = _relink(links.union(links.select(F.col("v"), F.col("u"))), keep_larger=True)
         small = cut_lineage(_relink(large, keep_larger=False))
-        if _same(links, small):
+        before, digest = digest, _digest(small)
+        if before == digest:
             break
         links = small
     ends = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -87,8 +89,6 @@ def _relink(links: DataFrame, keep_larger: bool) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _same(one: DataFrame, other: DataFrame) -> bool:
-    """Whether two sets of distinct links are equal, by count and summed hashes."""
-    def digest(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return digest(one) == digest(other)
+def _digest(links: DataFrame) -> list[Row]:
+    """Equal for equal sets of distinct links: their count and summed hashes."""
+    return for_once(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))).collect()

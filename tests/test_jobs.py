@@ -2,8 +2,10 @@
 
 import collections
 import datetime as dt
+import os
 import re
 import string
+import time
 
 import pytest
 from pyspark import StorageLevel
@@ -14,6 +16,7 @@ from brightwell.functions import bands, dates, numbers, strings, udfs
 from brightwell.operators import aggregate as agg
 from brightwell.operators import catalog, layout, logs, quality, skew, text
 from brightwell.operators import relational as rel
+from brightwell.session import RELEASE, cut_lineage
 from brightwell.streaming import windows
 from tests.conftest import rows
 
@@ -433,3 +436,27 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "SinglePartition" not in plan
     with pytest.raises(ValueError):
         skew.salted_join(lines, lines, "l_orderkey", how="full")
+
+
+def shuffle_files(spark):
+    """Files that shuffles have left on this machine."""
+    tops = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in tops for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_checkpoint(spark):
+    """They must not pile up over the rounds of a loop until the driver collects its garbage."""
+    before, setting = shuffle_files(spark), spark.conf.get(RELEASE)
+    df = spark.range(1000).selectExpr("id % 10 AS k", "id AS v")
+    most = df.groupBy("k").agg(F.max("v").alias("v"))
+    held = [cut_lineage(most.join(df.groupBy("k").agg(F.min("v").alias("w")), "k").withColumn("n", F.lit(n))) for n in range(3)]
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(RELEASE) == setting
+    # What was cut, and what it came from, can be read again and again.
+    for _ in range(2):
+        assert [rows(h) for h in held] == [sorted((k, 990 + k, k, n) for k in range(10)) for n in range(3)]
+        assert rows(most) == [(k, 990 + k) for k in range(10)]
