@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwell.llm.common import cut_lineage
+from brightwell.llm.common import cut_lineage, exploded
 from brightwell.llm.components import components, one_of_each, row_keys
 
 BUCKET = 64
@@ -82,7 +82,7 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     variants = prints.repartition(parts, "print").select("print", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")).select("print", key.alias("key"))
     sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    shared = cut_lineage(variants.join(sizes, "key"))
+    shared = cut_lineage(variants.join(exploded(sizes), "key"))
 
     few = shared.where(F.col("n") <= bucket).select("key", "print")
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.print") < F.col("y.print")) & (
@@ -93,7 +93,7 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     flips = many.select("print", F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("bit")).select(
         "print", F.when(F.col("bit") < 0, fp).otherwise(fp.bitwiseXOR(F.expr("shiftleft(1L, greatest(bit, 0))"))).alias("flip"))
     first = flips.groupBy(F.col("flip").alias("to")).agg(F.min("print").alias("first"))
-    stars = flips.join(first, F.col("flip") == F.col("to")).where(F.col("print") != F.col("first")).select("first", "print")
+    stars = flips.join(exploded(first), F.col("flip") == F.col("to")).where(F.col("print") != F.col("first")).select("first", "print")
     return pairs.union(stars).distinct()
 
 

@@ -205,6 +205,34 @@ def test_links_lose_nothing(spark, bucket):
     assert groups(found, signed) == wanted
 
 
+def kept_plans(monkeypatch, module):
+    """The plans that ran for what ``module`` keeps from now on."""
+    plans, cut = [], module.cut_lineage
+
+    def watched(df):
+        df.collect()
+        plans.append(plan_of(df))
+        return cut(df)
+
+    monkeypatch.setattr(module, "cut_lineage", watched)
+    return plans
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_variants_of_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes them by the fingerprints before, of which each gives 64 or 65."""
+    plans = kept_plans(monkeypatch, simhash)
+    df = spark.createDataFrame([(i,) for i in (0, 1, 2, 3, 7, 1 << 40, -1, -2)], "print long")
+    found = simhash.links(df, 0)
+    joined = {frozenset((r.a, r.b)) for r in found.collect()}
+    assert {i for pair in joined for i in pair} == {0, 1, 2, 3, 7, 1 << 40, -1, -2} and frozenset((-1, -2)) in joined
+    for plan in [*plans, plan_of(found)]:
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components_of_documents(spark, given):
     docs = given.union(spark.createDataFrame([(10_000 + i, t, None, None, None) for i, t in enumerate(
         [None, "", "a b", "A B", prose(1, 90)])], SCHEMA))
