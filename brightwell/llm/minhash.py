@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightwell.llm.bridges import alike, bridges
-from brightwell.llm.common import cut_lineage
+from brightwell.llm.common import cut_lineage, exploded
 from brightwell.llm.components import components, one_of_each, row_keys
 
 HASHES = 64
@@ -212,7 +212,8 @@ def _bucketed(keyed: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
     """
     order = F.xxhash64("key", "node")
     leads = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("h"), F.col("node"))).alias("lead"))
-    shared = cut_lineage(keyed.join(leads.where(F.col("n") > 1).select("key", "n", F.col("lead.node").alias("lead")), "key"))
+    leads = leads.where(F.col("n") > 1).select("key", "n", F.col("lead.node").alias("lead"))
+    shared = cut_lineage(keyed.join(exploded(leads), "key"))
     few = shared.where(F.col("n") <= bucket).select("key", "node")
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b"))

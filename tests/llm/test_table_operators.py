@@ -233,6 +233,15 @@ def test_variants_of_fingerprints_are_not_broadcast(spark, monkeypatch):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_bands_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes the bands of each node by one row."""
+    plans = kept_plans(monkeypatch, minhash)
+    keyed = spark.range(40).select(F.col("id").alias("node"), F.explode(F.array(F.col("id") % 20, F.lit(100) + F.col("id") % 3)).alias("key"))
+    pairs, large = minhash._bucketed(keyed, 4)
+    assert pairs.count() == 20 + 40 - 3 and large.count() == 40
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+
+
 def test_components_of_documents(spark, given):
     docs = given.union(spark.createDataFrame([(10_000 + i, t, None, None, None) for i, t in enumerate(
         [None, "", "a b", "A B", prose(1, 90)])], SCHEMA))
