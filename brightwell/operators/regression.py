@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from itertools import pairwise
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -15,6 +17,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from brightwell.functions.bands import ERROR_BANDS, below
 from brightwell.functions.numbers import round_half_up
@@ -152,24 +155,138 @@ def closed_form(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.regr_r2(fy, fx).alias("r2"))
 
 
+#: Steps of the distribution of a feature from which the edges of its bins are taken.
+STEPS = 1_000
+
+
+def edges(df: DataFrame, features: Sequence[str], most: int) -> dict[str, list[float]]:
+    """What parts each feature into bins, ``most`` at most, as tree models do: between all
+    values if they are that few, else bins of about as many rows. From all rows; values of
+    less than a thousandth of the rows may share a bin with their neighbours."""
+    found = df.approxQuantile(list(features), [i / STEPS for i in range(STEPS + 1)], 0.2 / STEPS)
+    out = {}
+    for name, steps in zip(features, found):
+        values = sorted(set(steps))
+        after = dict(pairwise(values))
+        lows = values if len(values) <= most else [steps[i * STEPS // most] for i in range(1, most)]
+        out[name] = sorted({(low + after[low]) / 2 for low in lows if low in after})
+    return out
+
+
+def binned(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``df`` with features replaced by the numbers of their bins."""
+    def place(name: str, at: Sequence[float]) -> Column:
+        # By halving: a row is held against few of the edges.
+        def among(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            mid = (low + high) // 2
+            return F.when(F.col(name).cast("double") > at[mid], among(mid + 1, high)).otherwise(among(low, mid))
+        return among(0, len(at))
+    return df.withColumns({name: place(name, at) for name, at in cuts.items()})
+
+
+def _drawn(uniform: Column, rate: float, bootstrap: bool) -> Column:
+    """How often a forest's tree takes a row: a Poisson number, or once at most."""
+    if not bootstrap:
+        return (uniform < rate).cast("double")
+    part = below_ = math.exp(-rate)
+    found, k = F.when(uniform < below_, 0.0), 0
+    while below_ < 1 - 1e-12:
+        k += 1
+        part *= rate / k
+        below_ += part
+        found = found.when(uniform < below_, float(k))
+    return found.otherwise(k + 1.0)
+
+
+def cells(df: DataFrame, features: Sequence[str], label: str, draws: Sequence[int] = (), rate: float = 1.0,
+          bootstrap: bool = True) -> DataFrame:
+    """(features, weight, mean) of each cell of binned features: its rows and their mean label;
+    with ``draws``, seeds of draws of rows, weight0 and mean0 of the first draw, and so on."""
+    value = F.col(label).cast("double")
+    value = F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit("Labels MUST NOT be Null or NaN"))).otherwise(value)
+    rows = df.select(*features, value.alias("__value"), *[F.rand(seed).alias(f"__u{i}") for i, seed in enumerate(draws)])
+    y, found = F.col("__value"), [F.count(F.lit(1)).cast("double").alias("weight"), F.avg("__value").alias("mean")]
+    for i in range(len(draws)):
+        times = _drawn(F.col(f"__u{i}"), rate, bootstrap)
+        found += [F.sum(times).alias(f"weight{i}"), F.try_divide(F.sum(times * y), F.sum(times)).alias(f"mean{i}")]
+    return assemble(rows.groupBy(*features).agg(*found), features).drop(*features)
+
+
+class Forest:
+    """Trees of one forest, each fitted on its own draw of the rows."""
+
+    def __init__(self, trees: Sequence):
+        self.trees = trees
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"__tree{i}" for i in range(len(self.trees))]
+        for name, tree in zip(names, self.trees):
+            df = tree.transform(df, {tree.predictionCol: name})
+        return df.withColumn("prediction", sum(map(F.col, names), F.lit(0.0)) / len(names)).drop(*names)
+
+
+def tells_by_cells(kind: str, model) -> bool:
+    """Whether the counts and mean labels of the cells are all that a model sees of the rows."""
+    if kind not in ("decision_tree", "random_forest", "gbt") or model.getMinInstancesPerNode() > 1 or model.isSet("weightCol"):
+        return False
+    if kind == "gbt":
+        return model.getSubsamplingRate() == 1 and model.getLossType() == "squared" and not model.isSet("validationIndicatorCol")
+    return kind == "random_forest" or not model.isSet("varianceCol")
+
+
+def fit_cells(kind: str, model, train: DataFrame, features: Sequence[str], label: str):
+    """A tree model fitted on the cells of binned rows, which are ``maxBins`` to the power of
+    the features at most, in place of passes over all rows for every level of every tree.
+
+    Trees see features by their bins alone, and the gain of a split depends on counts and
+    sums of the labels, so it is the same for cells. Each tree of a forest has its own draw of
+    the rows, summed up by cell in the same pass."""
+    draws = range(model.getSeed(), model.getSeed() + model.getNumTrees()) if kind == "random_forest" else ()
+    forest = (model.getSubsamplingRate(), model.getBootstrap()) if draws else ()
+    known = cells(train, features, label, draws, *forest).persist()
+    try:
+        if not draws:
+            return model.fit(known, {model.labelCol: "mean", model.weightCol: "weight"})
+        alone = {model.numTrees: 1, model.bootstrap: False, model.subsamplingRate: 1.0}
+        if len(draws) > 1 and model.getFeatureSubsetStrategy() == "auto":
+            alone[model.featureSubsetStrategy] = "onethird"
+        return Forest([model.fit(known.where(F.col(f"weight{i}") > 0), alone | {
+            model.seed: seed, model.labelCol: f"mean{i}", model.weightCol: f"weight{i}"}) for i, seed in enumerate(draws)])
+    finally:
+        known.unpersist()
+
+
 def compare_models(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                    kinds: Sequence[str] = MODEL_KINDS, train_share: float = 0.8,
                    **params: Mapping) -> DataFrame:
     """Fit several models on the same split; one row of test metrics per model.
 
-    The feature vectors are built once and kept for all fits; each model's test
-    metrics, four numbers, are fetched while they are. Rows with a NULL feature
-    take part in neither. Rows are dealt out first: every pass of every fit runs on
-    as many tasks as the kept rows have, which would else be those of the files.
+    The split rows are kept for all fits; each model's test metrics, four numbers, are
+    fetched while they are. Rows with a NULL feature take part in neither. Rows are dealt
+    out first: every pass runs on as many tasks as the kept rows have, which would else be
+    those of the files. Tree models are fitted on cells of the rows (``fit_cells``) if
+    all features are numbers and their parameters allow it.
     """
     names = list(dict.fromkeys([*keys, *features, label]))
     picked = assemble(dealt(df.select(*names), names, tasks_for(df)), features)
-    train, test = (part.select("features", label).persist() for part in train_test(picked, keys, train_share))
+    train, test = (part.select(*dict.fromkeys([*features, label])).persist() for part in train_test(picked, keys, train_share))
+    numbers = label not in features and all(isinstance(df.schema[name].dataType, NumericType) for name in features)
+    cuts: dict[int, dict[str, list[float]]] = {}
     try:
         found = []
         for kind in kinds:
-            model = regressor(kind, label, **params.get(kind, {})).fit(train)
-            found.append((kind, *metrics(model.transform(test), label).first()))
+            model = regressor(kind, label, **params.get(kind, {}))
+            if numbers and tells_by_cells(kind, model):
+                most = model.getMaxBins()
+                if most not in cuts:
+                    cuts[most] = edges(train, features, most)
+                fitted = fit_cells(kind, model, binned(train, cuts[most]), features, label)
+                given = binned(test, cuts[most])
+            else:
+                fitted, given = model.fit(assemble(train, features).select("features", label)), test
+            found.append((kind, *metrics(fitted.transform(assemble(given, features).select("features", label)), label).first()))
     finally:
         train.unpersist()
         test.unpersist()

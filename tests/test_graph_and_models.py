@@ -152,6 +152,63 @@ def test_models_are_fitted_on_rows_dealt_out(spark, houses, monkeypatch):
     assert seen == [spark.sparkContext.defaultParallelism]
 
 
+TREES = ["decision_tree", "random_forest", "gbt"]
+
+
+@pytest.fixture(scope="module")
+def flats(spark):
+    return spark.range(6000).selectExpr(
+        "id", "cast(id * 7 % 20 AS DOUBLE) AS rooms", "cast(id * 13 % 31 AS DECIMAL(6,2)) AS floor", "id * 0.37 AS width",
+        "id * 7 % 20 * 3.0 + pow(id * 13 % 31, 2) + id * 7919 % 101 AS price")
+
+
+def test_tree_models_are_fitted_on_cells(flats, monkeypatch):
+    """Every pass of every tree would read all rows; cells are bounded by the bins."""
+    real, seen = reg.regressor, []
+
+    def watched(kind, label, **params):
+        model = real(kind, label, **params)
+        fit = model.fit
+        model.fit = lambda train, *more: seen.append(train.count()) or fit(train, *more)
+        return model
+
+    monkeypatch.setattr(reg, "regressor", watched)
+    reg.compare_models(flats, ["rooms", "width"], "price", ["id"], TREES, **{kind: {"maxBins": 8} for kind in TREES})
+    assert len(seen) == 12 and max(seen) <= 64
+    seen.clear()
+    reg.compare_models(flats, ["rooms", "width"], "price", ["id"], ["gbt", "decision_tree"], gbt={"subsamplingRate": 0.5}, decision_tree={"minInstancesPerNode": 2})
+    assert min(seen) > 4000
+
+
+def test_cells_give_the_trees_that_rows_give(flats):
+    features = ["rooms", "floor"]
+    train, test = (reg.assemble(part, features) for part in reg.train_test(flats, ["id"]))
+    found = {r["model"]: r for r in reg.compare_models(flats, features, "price", ["id"], TREES).collect()}
+    for kind in TREES:
+        wanted = reg.metrics(reg.regressor(kind, "price").fit(train).transform(test), "price").first()
+        for name in ("rmse", "mae", "r2"):
+            # A forest draws its rows at random.
+            assert found[kind][name] == pytest.approx(wanted[name], rel=0.25 if kind == "random_forest" else 1e-6)
+
+
+def test_cells_hold_all_rows(spark, flats):
+    cuts = reg.edges(flats, ["rooms", "width"], 32)
+    assert cuts["rooms"] == [i + 0.5 for i in range(19)] and len(cuts["width"]) == 31
+    placed = reg.binned(flats, cuts)
+    sizes = [r["n"] for r in placed.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 32 and sum(sizes) == 6000 and max(sizes) < 250
+    known = reg.cells(placed, ["rooms", "width"], "price", [1, 2]).toPandas()
+    plain = flats.agg(F.sum("price")).first()[0]
+    assert known["weight"].sum() == 6000 and (known["weight"] * known["mean"]).sum() == pytest.approx(plain)
+    for i in (0, 1):
+        drawn = known[known[f"weight{i}"] > 0]
+        assert 5600 < drawn[f"weight{i}"].sum() < 6400 and (drawn[f"weight{i}"] * drawn[f"mean{i}"]).sum() == pytest.approx(plain, rel=0.1)
+    assert list(known["weight0"]) != list(known["weight1"])
+    assert reg.edges(spark.sql("SELECT 1.0 AS rooms"), ["rooms"], 32) == {"rooms": []}
+    with pytest.raises(Exception, match="Labels"):
+        reg.cells(placed.withColumn("price", F.nullif("price", "price")), ["rooms"], "price").collect()
+
+
 def test_closed_form_and_comparables(houses):
     line = reg.closed_form(houses.selectExpr("area AS x", "3.0 * area + 2 AS y"), "x", "y").first()
     assert (line["slope"], line["intercept"], line["r2"]) == pytest.approx((3, 2, 1))
